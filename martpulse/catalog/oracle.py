@@ -226,10 +226,10 @@ union all select '年龄分布', '30岁及30岁以上', {_share("aged")} from n"
     "q21b_search_response": f"""with {RED_WIDGET}, {COUNTS}, best as (
   select *, row_number() over (order by {_score("red", "widget")} desc, order_detail_id) as rn from hit),
 detail as (
-  select json_group_array(json_object('order_detail_id', order_detail_id, 'order_id', order_id,
+  select to_json(list(json_object('order_detail_id', order_detail_id, 'order_id', order_id,
            'order_status', order_status, 'create_time', create_time, 'user_id', user_id, 'sku_id', sku_id,
            'user_gender', user_gender, 'user_age', user_age, 'user_level', user_level, 'sku_price', sku_price,
-           'sku_name', sku_name, 'dt', dt) order by rn) as rows
+           'sku_name', sku_name, 'dt', dt) order by rn)) as rows
   from best where rn <= 10)
 select cast(json_object('total', total, 'detail', rows, 'stat', json_array(
          json_object('options', json_array(json_object('name', '男', 'value', {_share("male")}),

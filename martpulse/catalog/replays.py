@@ -81,7 +81,7 @@ def order_rows(spark: SparkSession, feed: DataFrame, pieces: int = PIECES):
     source = at.feed("order")
     reports = replay(
         {source: feed},
-        lambda: jobs.start_orders(file_feed(streams, source), at.table, at.checkpoint, NOW),
+        lambda: jobs.start_orders(file_feed(streams, source), at.table, at.checkpoint, NOW, period="month"),
         pieces,
     )
     return read_latest(spark, at.table, jobs.ORDER_TABLE, ["id"], ["seen_at"]), reports

@@ -2,7 +2,7 @@
 
 Inner and left joins of tables are left to Spark: sizes decide between broadcast and shuffle, and a hot key's
 shuffle partition is split at run time. Two cases that run-time splitting does not cover are written out here:
-full outer joins, and joins inside streaming jobs.
+full outer joins, and joins of two streams.
 """
 
 from __future__ import annotations
@@ -31,10 +31,3 @@ def replicated(df: DataFrame, salts: int) -> DataFrame:
     """One copy of each row per salt, to meet a salted side."""
     return df.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
 
-
-def salted_left_join(many: DataFrame, one: DataFrame, key: str, row_id: str, salts: int = 8) -> DataFrame:
-    """``many`` left join ``one`` where no run-time splitting is at hand; ``one`` has one row per key."""
-    # Only keys that occur on the left are worth copying.
-    needed = one.join(many.select(key).distinct(), key, "left_semi")
-    joined = salted(many, F.col(row_id), salts).join(replicated(needed, salts), [key, "_salt"], "left")
-    return joined.drop("_salt")

@@ -12,11 +12,17 @@ from pyspark.sql import DataFrame, SparkSession
 from martpulse.operators.keyed import latest_per
 
 
-def write_batch(rows: DataFrame, batch_id: int, path: str, partition_by: str | None = None) -> None:
-    writer = rows.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
-    writer.parquet(f"{path}/batch_id={batch_id}")
+def even_files(rows: DataFrame, partition: str) -> DataFrame:
+    """Rows arranged for a write by ``partition``: small days share a task, a huge day is split."""
+    return rows.hint("rebalance", partition)
+
+
+def write_batch(rows: DataFrame, batch_id: int, path: str, partition: str | None = None) -> None:
+    target = f"{path}/batch_id={batch_id}"
+    if partition:
+        even_files(rows, partition).write.mode("overwrite").partitionBy(partition).parquet(target)
+    else:
+        rows.write.mode("overwrite").parquet(target)
 
 
 def read_all(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -30,8 +36,8 @@ def read_latest(spark: SparkSession, path: str, schema: str, keys: list[str], or
 
 
 def save_partitioned(rows: DataFrame, path: str, partition: str) -> None:
-    """Write a table by ``partition`` in files of even size: small days share a task, a huge day is split."""
-    rows.hint("rebalance", partition).write.mode("errorifexists").partitionBy(partition).parquet(path)
+    """Write a new table by ``partition``."""
+    even_files(rows, partition).write.mode("errorifexists").partitionBy(partition).parquet(path)
 
 
 def compact(

@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from martpulse import constants as K
 from martpulse import schemas
 from martpulse.functions.times import date_text, from_millis, hour_text
-from martpulse.operators.joins import replicated, salted, salted_left_join
+from martpulse.operators.joins import replicated, salted
 from martpulse.operators.keyed import latest_per
 from martpulse.plans import alerts, changes, sales
 from martpulse.plans.orders import order_rows
@@ -25,6 +25,25 @@ from martpulse.sources.sinks import read_latest, write_batch
 DOCUMENT_DAY = "ingest_date"
 
 
+def replanned(write: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
+    """Run-time re-planning for the queries that write a batch.
+
+    Spark switches it off for jobs with state, whose own plan must keep its partitions. What is done with a
+    finished batch is an ordinary query, though: its joins and file sizes should follow the batch.
+    """
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        conf = batch.sparkSession.conf
+        before = conf.get("spark.sql.adaptive.enabled")
+        conf.set("spark.sql.adaptive.enabled", "true")
+        try:
+            write(batch, batch_id)
+        finally:
+            conf.set("spark.sql.adaptive.enabled", before)
+
+    return run
+
+
 def _run(
     rows: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, trigger: dict, mode: str = "append"
 ) -> StreamingQuery:
@@ -32,7 +51,7 @@ def _run(
         rows.writeStream.outputMode(mode)
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
-        .foreachBatch(write)
+        .foreachBatch(replanned(write))
         .start()
     )
 
@@ -91,8 +110,8 @@ def start_devices(feed: DataFrame, table: str, checkpoint: str, trigger: dict |
 # --- orders -------------------------------------------------------------------------------------
 
 ORDER_TABLE = ", ".join(
-    f"{c} {'DOUBLE' if c == 'total_amount' else 'STRING'}" for c in K.ORDER_COLUMNS if c != "create_date"
-) + ", create_date STRING, seen_at TIMESTAMP"
+    f"{c} {'DOUBLE' if c == 'total_amount' else 'STRING'}" for c in K.ORDER_COLUMNS
+) + ", seen_at TIMESTAMP, create_period STRING"
 
 
 def parsed_orders(feed: DataFrame) -> DataFrame:
@@ -100,12 +119,17 @@ def parsed_orders(feed: DataFrame) -> DataFrame:
     return order_rows(orders, "timestamp")
 
 
-def start_orders(feed: DataFrame, table: str, checkpoint: str, trigger: dict | None = None):
-    """Order rows, upserted by id."""
-    rows = parsed_orders(feed).withColumnRenamed("timestamp", "seen_at")
+def start_orders(feed: DataFrame, table: str, checkpoint: str, trigger: dict | None = None, period: str = "day"):
+    """Order rows, upserted by id, in folders by day; ``period='month'`` suits a history of many small days."""
+    length = {"day": 10, "month": 7}[period]
+    rows = (
+        parsed_orders(feed)
+        .withColumnRenamed("timestamp", "seen_at")
+        .withColumn("create_period", F.substring("create_date", 1, length))
+    )
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_batch(latest_per(batch, ["id"], ["seen_at"]), batch_id, table, "create_date")
+        write_batch(latest_per(batch, ["id"], ["seen_at"]), batch_id, table, "create_period")
 
     return _run(rows, write, checkpoint, trigger or {"processingTime": K.TRIGGER_ORDERS})
 
@@ -231,8 +255,7 @@ def matched_sales(
 
 def start_sales(
     order_feed: DataFrame, detail_feed: DataFrame, users: Callable[[SparkSession], DataFrame], table: str,
-    checkpoint: str, as_of: str, trigger: dict | None = None, ingest_date: Column | None = None, salts: int = 8,
-    **options,
+    checkpoint: str, as_of: str, trigger: dict | None = None, ingest_date: Column | None = None, **options,
 ):
     """Sale documents with buyer, upserted by line id, by day of writing.
 
@@ -242,10 +265,7 @@ def start_sales(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         newest = latest_per(batch, ["order_detail_id"], ["order_ts", "detail_ts"])
-        known = sales.user_part(users(batch.sparkSession), F.lit(as_of).cast("date"))
-        rows = salted_left_join(newest, known, "user_id", "order_detail_id", salts)
-        rows = rows.withColumn("user_age", sales.default_age()).withColumn(DOCUMENT_DAY, day)
+        rows = sales.with_users(newest, users(batch.sparkSession), as_of).withColumn(DOCUMENT_DAY, day)
         write_batch(rows.select(*schemas.SALE_DETAIL_COLUMNS, DOCUMENT_DAY), batch_id, table, DOCUMENT_DAY)
 
-    matched = matched_sales(order_feed, detail_feed, salts=salts, **options)
-    return _run(matched, write, checkpoint, trigger or {"processingTime": K.TRIGGER_ORDERS})
+    return _run(matched_sales(order_feed, detail_feed, **options), write, checkpoint, trigger or {"processingTime": K.TRIGGER_ORDERS})
