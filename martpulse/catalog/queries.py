@@ -106,7 +106,7 @@ def order_feed(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def detail_feed(spark: SparkSession, folder: str) -> DataFrame:
-    details = shop.order_detail(spark, folder)
+    details = shop.order_detail(spark, folder).withColumn("order_price", F.col("order_price").cast("string"))
     return details.select(
         F.lit(K.TOPIC_ORDER_DETAIL).alias("topic"),
         F.to_json(F.struct(*[c for c in details.columns if c != "detail_ts"])).alias("value"),

@@ -1,12 +1,12 @@
 """Coupon alerts: several users take coupons on one device and nobody there looks at goods.
 
-Event rows have ``mid``, ``uid``, ``evid``, ``itemid`` and ``ts``. Times are first cut into panes as long as the
-window's slide; rows are counted per pane, and only those counts are copied into the windows that hold the pane.
+Event rows have ``mid``, ``uid``, ``evid``, ``itemid`` and ``ts``. Time is cut into panes as long as the window's
+slide, and a window is named by the pane it ends with.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martpulse import constants as K
@@ -29,27 +29,58 @@ def minute_id(mid: Column, at: Column) -> Column:
     return F.concat_ws("_", mid, F.floor(F.unix_seconds(at.cast("timestamp")) / 60).cast("string"))
 
 
+def micros(interval: str) -> Column:
+    """Length of an interval such as ``5 minutes``; a constant of the plan."""
+    return F.unix_micros(F.timestamp_micros(F.lit(0)) + F.expr(f"interval {interval}"))
+
+
 def detect(
     events: DataFrame, window: str = K.ALERT_WINDOW, slide: str = K.ALERT_SLIDE, min_users: int = K.ALERT_MIN_USERS
 ) -> DataFrame:
-    """Rows (mid, window_start, window_end, uid_count) of all alerts.
+    """Rows (mid, window_start, window_end, uid_count) of all alerts; ``window`` is a multiple of ``slide``.
 
-    Nothing is collected: users are made distinct per device and pane before the shuffle, and counted per
-    window with the user as part of the shuffle key, so a busy device is spread over its users.
+    A row is not copied into the many windows that hold it. Each mark (a user's coupons, or clicks, of a device in
+    a pane) counts for the windows that end from its pane up to the same user's next mark or the window's length,
+    so a window counts a user once. Where such a span begins, the device's count rises by one, where it ends, it
+    falls; running sums over these steps give the count of every window. Marks are made distinct before the
+    shuffle and a device has at most one step per pane, so no group grows with the number of events.
     """
-    marks = (
-        events.where(is_coupon() | is_click())
-        .groupBy(
-            F.window("ts", slide).alias("pane"), "mid",
-            F.when(is_coupon(), F.col("uid")).alias("coupon_uid"),
+    step, length = micros(slide), micros(window)
+    marks = events.where(is_click() | (is_coupon() & F.col("uid").isNotNull())).select(
+        "mid",
+        F.when(is_coupon(), F.col("uid")).alias("user"),
+        F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / step).alias("pane"),
+    ).distinct()
+    following = F.lead("pane").over(Window.partitionBy("mid", "user").orderBy("pane"))
+    last = F.least(following - 1, F.col("pane") + F.floor(length / step) - 1)
+    users, clicks = F.col("user").isNotNull().cast("int"), F.col("user").isNull().cast("int")
+    steps = (
+        marks.select("mid", "pane", users.alias("users"), clicks.alias("clicks"), last.alias("last"))
+        .select(
+            "mid",
+            F.inline(
+                F.array(
+                    F.struct(F.col("pane").alias("pane"), F.col("users").alias("users"), F.col("clicks").alias("clicks")),
+                    F.struct((F.col("last") + 1).alias("pane"), (-F.col("users")).alias("users"), (-F.col("clicks")).alias("clicks")),
+                )
+            ),
         )
-        .agg(F.max(is_click()).alias("clicked"))
+        .groupBy("mid", "pane")
+        .agg(F.sum("users").alias("users"), F.sum("clicks").alias("clicks"))
+    )
+    along = Window.partitionBy("mid").orderBy("pane")
+    so_far = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counts = steps.select(
+        "mid", "pane", F.lead("pane").over(along).alias("until"),
+        F.sum("users").over(so_far).alias("uid_count"), F.sum("clicks").over(so_far).alias("clicks"),
     )
-    per_window = marks.groupBy(windows_of_panes(window, slide).alias("win"), "mid").agg(
-        F.count_distinct("coupon_uid").alias("uid_count"), F.max("clicked").alias("clicked")
+    found = counts.where((F.col("uid_count") >= min_users) & (F.col("clicks") == 0)).select(
+        "mid", "uid_count", F.explode(F.sequence("pane", F.col("until") - 1)).alias("pane")
     )
-    return per_window.where((F.col("uid_count") >= min_users) & ~F.col("clicked")).select(
-        "mid", F.col("win.start").alias("window_start"), F.col("win.end").alias("window_end"), "uid_count"
+    end = (F.col("pane") + 1) * step
+    return found.select(
+        "mid", F.timestamp_micros(end - length).alias("window_start"), F.timestamp_micros(end).alias("window_end"),
+        "uid_count",
     )
 
 
@@ -78,7 +109,8 @@ def documents(
     panes = alerts.withColumn(
         "pane_start", F.explode(F.sequence("window_start", F.col("window_end") - step, step))
     )
-    members = events.select("mid", "evid", "uid", "itemid", F.window("ts", slide)["start"].alias("pane_start"))
+    pane_start = F.window(F.col("ts").cast("timestamp"), slide)["start"]
+    members = events.select("mid", "evid", "uid", "itemid", pane_start.alias("pane_start"))
     joined = members.join(panes, ["mid", "pane_start"])
     per_kind = joined.groupBy("id", "mid", "window_end", "evid").agg(
         F.count("*").alias("n"),

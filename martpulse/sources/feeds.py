@@ -41,12 +41,11 @@ def to_feed(records: DataFrame, topic: str, timestamp: Column) -> DataFrame:
     )
 
 
-def _parsed(feed: DataFrame, schema: T.StructType) -> DataFrame:
-    return feed.withColumn("_record", F.from_json("value", schema))
-
-
-def _is_good(schema: T.StructType, key: str) -> Column:
-    return F.col("_record").isNotNull() & F.col(f"_record.{key}").isNotNull()
+def _cast(name: str) -> Column:
+    kind = CASTS.get(name, "string")
+    if kind == "date":
+        return F.try_to_timestamp(F.col(name), F.lit("yyyy-MM-dd")).cast("date").alias(name)
+    return F.col(name).try_cast(kind).alias(name)
 
 
 def parse(feed: DataFrame, schema: T.StructType, key: str, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -54,15 +53,12 @@ def parse(feed: DataFrame, schema: T.StructType, key: str, keep: tuple[str, ...]
 
     Values that are no JSON object or lack ``key`` are left out; ``rejected`` returns exactly those.
     """
-    fields = [
-        F.try_to_timestamp(F.col(f"_record.{f.name}"), F.lit("yyyy-MM-dd")).cast("date").alias(f.name)
-        if CASTS.get(f.name) == "date"
-        else F.col(f"_record.{f.name}").try_cast(CASTS.get(f.name, "string")).alias(f.name)
-        for f in schema.fields
-    ]
-    return _parsed(feed, schema).where(_is_good(schema, key)).select(*fields, *keep)
+    # As the input of ``inline`` the text is parsed once; a filter on a parsed field would be pushed below the
+    # projection and parse it again.
+    fields = feed.select(*keep, F.inline(F.array(F.from_json("value", schema))))
+    return fields.where(F.col(key).isNotNull()).select(*[_cast(f.name) for f in schema.fields], *keep)
 
 
 def rejected(feed: DataFrame, schema: T.StructType, key: str) -> DataFrame:
     """Feed rows that ``parse`` leaves out."""
-    return _parsed(feed, schema).where(~F.coalesce(_is_good(schema, key), F.lit(False))).drop("_record")
+    return feed.where(F.from_json("value", schema)[key].isNull())

@@ -84,13 +84,13 @@ def order_info(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def order_detail(spark: SparkSession, folder: str) -> DataFrame:
-    """Order lines with the name of the goods."""
+    """Order lines with the name of the goods; prices stay numbers, the feed makes them texts."""
     lines = table(spark, folder, "lineitem").select(
         F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("id"),
         F.col("l_orderkey").cast("string").alias("order_id"),
         F.col("l_partkey").alias("p_partkey"),
         F.col("l_partkey").cast("string").alias("sku_id"),
-        F.col("l_extendedprice").cast("string").alias("order_price"),
+        F.col("l_extendedprice").alias("order_price"),
         F.col("l_quantity").cast("int").cast("string").alias("sku_num"),
         F.col("l_shipdate").alias("detail_ts"),
     )

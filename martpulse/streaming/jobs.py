@@ -232,7 +232,7 @@ SALE_TABLE = schemas.SALE_DETAIL + ", ingest_date STRING"
 
 def matched_sales(
     order_feed: DataFrame, detail_feed: DataFrame, expiry: str = K.JOIN_EXPIRY, early_details: str = "buffer",
-    salts: int = 8,
+    salts: int = 4,
 ) -> DataFrame:
     """Lines joined to their orders while both wait for each other at most ``expiry``.
 
