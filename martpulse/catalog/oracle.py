@@ -114,7 +114,8 @@ CHANGE_VALUES = """order_img as (
   select json_object('id', cast(o_orderkey as varchar), 'user_id', cast(o_custkey as varchar),
            'order_status', o_orderstatus, 'total_amount', cast(o_totalprice as varchar),
            'create_time', strftime(o_orderdate, '%Y-%m-%d') || ' ' || lpad(cast(o_orderkey % 24 as varchar), 2, '0')
-             || ':00:00') as value
+             || ':' || lpad(cast(o_orderkey % 60 as varchar), 2, '0') || ':'
+             || lpad(cast(o_orderkey % 60 as varchar), 2, '0')) as value
   from orders),
 line_img as (
   select json_object('id', concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey),

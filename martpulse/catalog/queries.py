@@ -96,7 +96,7 @@ def q05_dau_incremental(spark, folder):
 def order_feed(spark: SparkSession, folder: str) -> DataFrame:
     """Orders as the change log delivers them: every value a text."""
     info = shop.order_info(spark, folder)
-    records = info.withColumn("total_amount", F.col("total_amount").cast("string"))
+    records = info.drop("create_date", "create_hour").withColumn("total_amount", F.col("total_amount").cast("string"))
     at = F.col("order_ts").cast("timestamp")
     return records.select(
         F.lit(K.TOPIC_ORDER).alias("topic"),
@@ -114,27 +114,21 @@ def detail_feed(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def order_table(spark: SparkSession, folder: str) -> DataFrame:
-    """Order rows without the detour through text."""
-    info = shop.order_info(spark, folder)
-    return info.withColumn("create_date", F.split_part("create_time", F.lit(" "), F.lit(1)))
-
-
 def q06_order_parse_mask(spark, folder):
     parsed = parse(order_feed(spark, folder), schemas.ORDER_INFO, "id")
     return orders.order_rows(parsed).withColumn("total_amount", F.round("total_amount", 2))
 
 
 def q07_gmv_total(spark, folder):
-    return orders.turnover(shop.order_amounts(spark, folder), ORDER_DAY).select(money("sum_amount"))
+    return orders.turnover(shop.order_heads(spark, folder), ORDER_DAY).select(money("sum_amount"))
 
 
 def q07b_gmv_daily(spark, folder):
-    return orders.daily_turnover(shop.order_amounts(spark, folder)).select("create_date", money("sum_amount"))
+    return orders.daily_turnover(shop.order_heads(spark, folder)).select("create_date", money("sum_amount"))
 
 
 def q08_gmv_hours(spark, folder):
-    return orders.turnover_by_hour(shop.order_amounts(spark, folder), ORDER_DAY).select("hour", money("value"))
+    return orders.turnover_by_hour(shop.order_heads(spark, folder), ORDER_DAY).select("hour", money("value"))
 
 
 def q09_hourly_compare_dau(spark, folder):
@@ -146,7 +140,7 @@ def q09b_hourly_compare_json(spark, folder):
 
 
 def q10_hourly_compare_gmv(spark, folder):
-    series = cards.hourly_compare("order_amount", shop.order_amounts(spark, folder), ORDER_DAY)
+    series = cards.hourly_compare("order_amount", shop.order_heads(spark, folder), ORDER_DAY)
     return series.select("hour", money("yesterday"), money("today"))
 
 
@@ -174,7 +168,15 @@ def q12b_alert_per_minute(spark, folder):
 
 def sale_table(spark: SparkSession, folder: str) -> DataFrame:
     return sales.sale_detail(
-        order_table(spark, folder), shop.order_detail(spark, folder), shop.user_info(spark, folder), shop.AS_OF
+        shop.order_heads(spark, folder), shop.order_detail(spark, folder), shop.user_info(spark, folder), shop.AS_OF
+    )
+
+
+def found_sales(spark: SparkSession, folder: str) -> DataFrame:
+    """The same rows for a search: few lines match, so buyers are looked up for those alone."""
+    return sales.sale_detail(
+        shop.order_heads(spark, folder), shop.order_detail(spark, folder), shop.user_info(spark, folder), shop.AS_OF,
+        buyers_first=False,
     )
 
 
@@ -183,7 +185,7 @@ def q13_sale_detail(spark, folder):
 
 
 def _expiring(spark, folder, early):
-    joined = sales.expiring_sales(order_table(spark, folder), shop.order_detail(spark, folder), EXPIRY, early)
+    joined = sales.expiring_sales(shop.order_heads(spark, folder), shop.order_detail(spark, folder), EXPIRY, early)
     return joined.select("order_detail_id", "order_id", "order_status", "user_id", "sku_id", "sku_name", "sku_price", "dt")
 
 
@@ -196,12 +198,12 @@ def q14b_sale_detail_expiry_forward(spark, folder):
 
 
 def q15_unmatched_orders(spark, folder):
-    alone = sales.unmatched_orders(order_table(spark, folder), shop.order_detail(spark, folder))
+    alone = sales.unmatched_orders(shop.order_heads(spark, folder), shop.order_detail(spark, folder))
     return alone.select("order_id", "order_status", "dt", "user_id")
 
 
 def q15b_full_outer(spark, folder):
-    both = sales.joined_or_alone(order_table(spark, folder), shop.order_detail(spark, folder))
+    both = sales.joined_or_alone(shop.order_heads(spark, folder), shop.order_detail(spark, folder))
     return both.select("order_id", "order_detail_id", "order_status", "sku_price", "status")
 
 
@@ -209,25 +211,25 @@ def q15b_full_outer(spark, folder):
 
 
 def q16_sale_search_page(spark, folder):
-    found = search.page(sale_table(spark, folder), KEYWORD, page=2, size=20)
+    found = search.page(found_sales(spark, folder), KEYWORD, page=2, size=20)
     return found.select("order_detail_id", "sku_name", "user_gender", "user_age", "dt", F.round("score", 6).alias("score"))
 
 
 def q16b_sale_search_one_word(spark, folder):
-    found = search.page(sale_table(spark, folder), "Widget", size=100)
+    found = search.page(found_sales(spark, folder), "Widget", size=100)
     return found.select("order_detail_id", "sku_name", F.round("score", 6).alias("score"))
 
 
 def q17_sale_search_total(spark, folder):
-    return search.total(sale_table(spark, folder), KEYWORD)
+    return search.total(found_sales(spark, folder), KEYWORD)
 
 
 def q17b_sale_search_total_day(spark, folder):
-    return search.total(sale_table(spark, folder), "widget", ORDER_DAY)
+    return search.total(found_sales(spark, folder), "widget", ORDER_DAY)
 
 
 def _hits(spark, folder):
-    return search.hits(sale_table(spark, folder), KEYWORD)
+    return search.hits(found_sales(spark, folder), KEYWORD)
 
 
 def q18_terms_gender(spark, folder):
@@ -247,7 +249,7 @@ def q21_age_share(spark, folder):
 
 
 def q21b_search_response(spark, folder):
-    return search.response(sale_table(spark, folder), KEYWORD, size=10)
+    return search.response(found_sales(spark, folder), KEYWORD, size=10)
 
 
 # --- cards --------------------------------------------------------------------------------------
@@ -255,7 +257,7 @@ def q21b_search_response(spark, folder):
 
 def q22_kpi_cards(spark, folder):
     rows = cards.kpi_totals(
-        shop.startup_log(spark, folder), shop.order_amounts(spark, folder), LOG_DAY, order_date=ORDER_DAY
+        shop.startup_log(spark, folder), shop.order_heads(spark, folder), LOG_DAY, order_date=ORDER_DAY
     )
     return rows.select("id", "name", money("value"))
 

@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martpulse.schemas import CHANGE_ENTRY
 from martpulse.session import stream_session, work_dir
-from martpulse.sources.feeds import file_feed
+from martpulse.sources.feeds import file_changes, file_feed
 from martpulse.sources.sinks import read_all, read_latest
 from martpulse.streaming import jobs
 from martpulse.streaming.replay import replay
@@ -104,7 +103,7 @@ def change_rows(spark: SparkSession, entries: DataFrame, pieces: int = PIECES):
     reports = replay(
         {source: entries},
         lambda: jobs.start_changes(
-            streams.readStream.schema(CHANGE_ENTRY).parquet(source), at.table, at.checkpoint, NOW
+            file_changes(streams, source), at.table, at.checkpoint, NOW
         ),
         pieces,
         time="exec_time",

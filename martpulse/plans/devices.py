@@ -57,9 +57,8 @@ def hours_compared(logs: DataFrame, date: str | None = None) -> DataFrame:
 
 def incremental(logs: DataFrame, batch_hours: int = 12) -> DataFrame:
     """First logins found batch by batch: a batch of a day keeps only devices no earlier batch of it has seen."""
-    hour = F.hour("ts")
     firsts = first_per(
-        dated(logs).withColumn("batch", (hour / batch_hours).cast("int")),
+        dated(logs).withColumn("batch", F.floor(F.hour("ts") / batch_hours).cast("int")),
         ["mid", "log_date", "batch"],
         ["ts", "event_id"],
     )

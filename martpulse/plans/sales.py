@@ -45,14 +45,20 @@ def with_users(orders: DataFrame, users: DataFrame, as_of: str) -> DataFrame:
     return joined.withColumn("user_age", default_age()).drop("_known")
 
 
-def sale_detail(orders: DataFrame, details: DataFrame, users: DataFrame, as_of: str) -> DataFrame:
+def sale_detail(
+    orders: DataFrame, details: DataFrame, users: DataFrame, as_of: str, buyers_first: bool = True
+) -> DataFrame:
     """One row per order line, with order and buyer.
 
-    Buyers are joined to orders before the lines come in: the many lines are then shuffled by order only, never
-    by buyer, and a buyer with a large share of the orders is met at order grain.
+    For the whole table buyers are joined to orders before the lines come in: the many lines are then shuffled by
+    order only, never by buyer, and a buyer with a large share of the orders is met at order grain. Where a filter
+    leaves few lines, ``buyers_first=False`` looks up buyers for the lines that are left.
     """
-    bought = with_users(order_part(orders), users, as_of)
-    return bought.join(detail_part(details), "order_id").select(*SALE_DETAIL_COLUMNS)
+    if buyers_first:
+        sold = with_users(order_part(orders), users, as_of).join(detail_part(details), "order_id")
+    else:
+        sold = with_users(order_part(orders).join(detail_part(details), "order_id"), users, as_of)
+    return sold.select(*SALE_DETAIL_COLUMNS)
 
 
 def within_expiry(order_ts: Column, detail_ts: Column, expiry: str, early_details: str = "buffer") -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -29,6 +30,11 @@ def build_session(app: str = "martpulse", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
+@functools.cache
+def _local_base() -> str:
+    return tempfile.mkdtemp(prefix="martpulse-")
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
     """A new folder path below the cluster's shared checkpoint folder.
 
@@ -39,8 +45,7 @@ def work_dir(spark: SparkSession, name: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="martpulse-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _local_base()
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martpulse.schemas import CASTS, FEED
+from martpulse.schemas import CASTS, CHANGE_ENTRY, FEED
 
 
 def broker_options(servers: str, topic: str, starting: str = "latest", max_offsets: int | None = None) -> dict:
@@ -34,6 +34,19 @@ def file_feed(spark: SparkSession, path: str, max_files: int | None = None) -> D
     return reader.parquet(path)
 
 
+def file_changes(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+    """A folder of Parquet files with change entries as a stream; ``max_files`` bounds a batch."""
+    reader = spark.readStream.schema(CHANGE_ENTRY)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.parquet(path)
+
+
+def changes_of(feed: DataFrame) -> DataFrame:
+    """Change entries that a broker delivers as JSON."""
+    return feed.select(F.inline(F.array(F.from_json("value", CHANGE_ENTRY)))).where(F.col("entry_type").isNotNull())
+
+
 def to_feed(records: DataFrame, topic: str, timestamp: Column) -> DataFrame:
     """Records as feed rows, all columns in the JSON value."""
     return records.select(

@@ -47,40 +47,33 @@ def event_log(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def order_amounts(spark: SparkSession, folder: str) -> DataFrame:
-    """Orders with what the turnover queries read. Order dates have no time, so the hour is derived."""
-    return table(spark, folder, "orders").select(
-        F.col("o_orderkey").cast("string").alias("id"),
-        F.col("o_custkey").cast("string").alias("user_id"),
-        F.col("o_totalprice").alias("total_amount"),
-        F.col("o_orderstatus").alias("order_status"),
-        F.lpad((F.col("o_orderkey") % 24).cast("string"), 2, "0").alias("create_hour"),
-        date_text(F.col("o_orderdate")).alias("create_date"),
-        F.col("o_orderdate").alias("order_ts"),
-    )
-
-
-def order_info(spark: SparkSession, folder: str) -> DataFrame:
-    """Orders as the order feed delivers them, buyer fields included."""
+def order_heads(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders without buyer fields. Order dates have no time, so the time of day is derived from the number."""
     number = F.col("o_orderkey")
     clock = [F.lpad((number % unit).cast("string"), 2, "0") for unit in (24, 60, 60)]
-    orders = table(spark, folder, "orders").select(
+    date = date_text(F.col("o_orderdate"))
+    return table(spark, folder, "orders").select(
         number.cast("string").alias("id"),
-        "o_custkey",
         F.col("o_custkey").cast("string").alias("user_id"),
         F.col("o_totalprice").alias("total_amount"),
         F.col("o_orderstatus").alias("order_status"),
         F.col("o_orderpriority").alias("payment_way"),
-        F.concat_ws(" ", date_text(F.col("o_orderdate")), F.concat_ws(":", *clock)).alias("create_time"),
+        F.concat_ws(" ", date, F.concat_ws(":", *clock)).alias("create_time"),
+        date.alias("create_date"),
+        clock[0].alias("create_hour"),
         F.col("o_orderdate").alias("order_ts"),
     )
+
+
+def order_info(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders with the buyer fields that the order feed carries."""
     buyers = table(spark, folder, "customer").select(
-        F.col("c_custkey").alias("o_custkey"),
+        F.col("c_custkey").cast("string").alias("user_id"),
         F.col("c_nationkey").cast("string").alias("province_id"),
         F.col("c_name").alias("consignee"),
         F.concat(F.lit("13"), F.lpad(F.col("c_custkey").cast("string"), 9, "0")).alias("consignee_tel"),
     )
-    return orders.join(buyers, "o_custkey").drop("o_custkey")
+    return order_heads(spark, folder).join(buyers, "user_id", "left")
 
 
 def order_detail(spark: SparkSession, folder: str) -> DataFrame:
@@ -95,7 +88,7 @@ def order_detail(spark: SparkSession, folder: str) -> DataFrame:
         F.col("l_shipdate").alias("detail_ts"),
     )
     goods = table(spark, folder, "part").select("p_partkey", F.col("p_name").alias("sku_name"))
-    return lines.join(goods, "p_partkey").drop("p_partkey")
+    return lines.join(goods, "p_partkey", "left").drop("p_partkey")
 
 
 def user_info(spark: SparkSession, folder: str) -> DataFrame:
@@ -141,9 +134,7 @@ def change_log(spark: SparkSession, folder: str) -> DataFrame:
     Orders and lines are inserted, finished orders are also updated, users are inserted and then updated (one
     entry with two row images); each order's transaction mark and the province table are there to be ignored.
     """
-    orders = order_amounts(spark, folder).withColumn(
-        "create_time", F.concat(F.col("create_date"), F.lit(" "), F.col("create_hour"), F.lit(":00:00"))
-    )
+    orders = order_heads(spark, folder)
     order_image = _image("id", "user_id", "order_status", "total_amount", "create_time")
     lines = table(spark, folder, "lineitem").select(
         F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("id"),

@@ -56,6 +56,11 @@ def _run(
     )
 
 
+def counted(rows: DataFrame, name: str) -> DataFrame:
+    """Rows as they are, their number in each batch's progress report under ``name``."""
+    return rows.observe(name, F.count(F.lit(1)).alias("rows"))
+
+
 def to_console(rows: DataFrame, checkpoint: str, trigger: dict) -> StreamingQuery:
     """Show the first 100 rows of each batch."""
     return (
@@ -85,7 +90,8 @@ def new_logins(feed: DataFrame, late: str = "1 hour") -> DataFrame:
     from the first batch is the one with the smallest time. ``batch_at`` is the batch's own clock: a device is
     new when all its rows so far have that of the running batch. State of a day goes once the watermark passes it.
     """
-    logs = parsed_logs(feed).withWatermark("event_ts", late).withColumn("batch_at", F.current_timestamp())
+    logs = counted(parsed_logs(feed), "logs").withWatermark("event_ts", late)
+    logs = logs.withColumn("batch_at", F.current_timestamp())
     row = F.struct("uid", "appid", "area", "os", "ch", "type", "vs", "ts")
     devices = logs.groupBy(F.window("event_ts", "1 day").alias("day"), "mid").agg(
         F.min_by(row, F.struct("ts", "uid")).alias("row"),
@@ -93,11 +99,9 @@ def new_logins(feed: DataFrame, late: str = "1 hour") -> DataFrame:
         F.max("batch_at").alias("last_batch"),
     )
     at = from_millis(F.col("row.ts"))
-    return (
-        devices.where(F.col("first_batch") == F.col("last_batch"))
-        .select("mid", "row.*", date_text(at).alias("log_date"), hour_text(at).alias("log_hour"))
-        .select(*DEVICE_COLUMNS)
-    )
+    fresh = devices.where(F.col("first_batch") == F.col("last_batch"))
+    named = fresh.select("mid", "row.*", date_text(at).alias("log_date"), hour_text(at).alias("log_hour"))
+    return counted(named.select(*DEVICE_COLUMNS), "new_logins")
 
 
 def start_devices(feed: DataFrame, table: str, checkpoint: str, trigger: dict | None = None, late: str = "1 hour"):

@@ -14,7 +14,7 @@ def values(df):
 def test_hours_sum_to_the_day(spark, folder):
     logs = shop.startup_log(spark, folder)
     assert sum(values(devices.by_hour(logs, Q.LOG_DAY)).values()) == devices.total(logs, Q.LOG_DAY).first().dau
-    sold = shop.order_amounts(spark, folder)
+    sold = shop.order_heads(spark, folder)
     by_hour = sum(values(orders.turnover_by_hour(sold, Q.ORDER_DAY)).values())
     assert round(by_hour, 2) == orders.turnover(sold, Q.ORDER_DAY).first().sum_amount
 
@@ -42,7 +42,7 @@ def test_alerts_have_three_users_and_no_click(spark, folder):
 
 
 def test_turnover_does_not_depend_on_the_order_of_rows(spark, folder):
-    sold = shop.order_amounts(spark, folder)
+    sold = shop.order_heads(spark, folder)
     one, other = (
         dict(map(tuple, orders.daily_turnover(df).collect())) for df in (sold, sold.repartition(13).sortWithinPartitions("id"))
     )

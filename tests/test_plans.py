@@ -40,14 +40,14 @@ def test_daily_devices_read_two_columns_and_push_the_day(spark, folder):
 
 
 def test_turnover_reads_two_columns_and_pushes_the_day(spark, folder):
-    text = plan(orders.turnover(shop.order_amounts(spark, folder), "1998-06-01"))
+    text = plan(orders.turnover(shop.order_heads(spark, folder), "1998-06-01"))
     assert read_columns(text) == [{"o_totalprice", "o_orderdate"}]
     assert "GreaterThanOrEqual(o_orderdate,1998-06-01" in text
     assert "Join" not in text
 
 
 def test_cards_scan_each_table_once(spark, folder):
-    text = plan(cards.kpi_totals(shop.startup_log(spark, folder), shop.order_amounts(spark, folder), "2024-01-15"))
+    text = plan(cards.kpi_totals(shop.startup_log(spark, folder), shop.order_heads(spark, folder), "2024-01-15"))
     assert text.count("Scan parquet") / 2 == 2
 
 

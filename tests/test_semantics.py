@@ -16,7 +16,7 @@ from martpulse.operators.keyed import first_per, latest_per, unseen
 from martpulse.operators.paging import page_of
 from martpulse.plans import alerts, cards, changes, devices, orders, sales, search
 from martpulse.sources import sinks
-from martpulse.sources.feeds import broker_options, parse, rejected
+from martpulse.sources.feeds import broker_options, changes_of, parse, rejected
 
 
 def one(spark, *columns):
@@ -395,3 +395,16 @@ def test_newest_document_wins_and_replays_do_no_harm(spark, tmp_path):
     again = sinks.read_latest(spark, target, schema, ["id"])
     assert sorted(map(tuple, again.collect())) == sorted(map(tuple, newest.collect()))
     assert sinks.read_all(spark, target, schema).count() == 3
+
+
+def test_change_entries_as_json(spark):
+    entry = {"entry_type": "ROWDATA", "table_name": "user_info", "event_type": "INSERT",
+             "exec_time": "2024-01-01T00:00:00", "rows": [[{"name": "id", "value": "1"}]]}
+    rows = changes.flattened(changes.routed(changes_of(feed(spark, entry, "{broken")))).collect()
+    assert [(r.topic, r.value, r.timestamp) for r in rows] == [("user_info", '{"id":"1"}', dt.datetime(2024, 1, 1))]
+
+
+def test_both_ways_to_join_buyers_agree(spark):
+    heads, lines, users = sale_inputs(spark)
+    early, late = (sales.sale_detail(heads, lines, users, "2024-01-01", buyers_first=b) for b in (True, False))
+    assert sorted(map(str, early.collect())) == sorted(map(str, late.collect()))

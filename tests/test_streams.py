@@ -201,3 +201,15 @@ def test_a_batch_that_fails_is_run_again_without_doubles(spark, tmp_path, monkey
     runner.send()
     assert calls == [0, 0]
     assert read_all(spark, runner.table, jobs.ORDER_TABLE).count() == 1
+
+
+def test_batches_report_rows_before_and_after_the_seen_filter(spark, devices):
+    devices.send(**{"in": [log("2024-01-01T09:00:00", "a"), log("2024-01-01T09:01:00", "a"), log("2024-01-01T09:00:00", "b")]})
+    counts = devices.reports[0].observedMetrics
+    assert (counts["logs"].rows, counts["new_logins"].rows) == (3, 2)
+
+
+def test_console_sink_runs(spark, tmp_path):
+    runner = Runner(spark, tmp_path, lambda r: jobs.to_console(r.feed(), r.checkpoint, NOW))
+    runner.send(**{"in": [("2024-01-01T10:00:00", {"id": "1"})]})
+    assert "Console" in runner.reports[0].sink.description and runner.reports[0].numInputRows == 1
