@@ -22,7 +22,7 @@ def order_rows(orders: DataFrame, *keep: str) -> DataFrame:
     )
 
 
-def _of_days(orders: DataFrame, date: str | None, before: int = 0) -> DataFrame:
+def of_days(orders: DataFrame, date: str | None, before: int = 0) -> DataFrame:
     """Orders of a day. ``order_ts``, where there is one, is a stored column: filtering it prunes the scan."""
     if "order_ts" in orders.columns:
         return within_days(orders, "order_ts", date, before)
@@ -32,7 +32,7 @@ def _of_days(orders: DataFrame, date: str | None, before: int = 0) -> DataFrame:
 
 def turnover(orders: DataFrame, date: str | None = None) -> DataFrame:
     """Sum of a day; NULL when it has no orders."""
-    return _of_days(orders, date).agg(money_sum(F.col("total_amount")).alias("sum_amount"))
+    return of_days(orders, date).agg(money_sum(F.col("total_amount")).alias("sum_amount"))
 
 
 def daily_turnover(orders: DataFrame) -> DataFrame:
@@ -41,7 +41,7 @@ def daily_turnover(orders: DataFrame) -> DataFrame:
 
 def turnover_by_hour(orders: DataFrame, date: str | None = None) -> DataFrame:
     return (
-        _of_days(orders, date)
+        of_days(orders, date)
         .groupBy(F.col("create_hour").alias("hour"))
         .agg(money_sum(F.col("total_amount")).alias("value"))
     )
@@ -52,7 +52,7 @@ def hours_compared(orders: DataFrame, date: str | None = None) -> DataFrame:
     is_today = F.col("create_date") == day(date).cast("string")
     amount = F.col("total_amount")
     series = (
-        _of_days(orders, date, before=1)
+        of_days(orders, date, before=1)
         .groupBy(F.col("create_hour").alias("hour"))
         .agg(
             money_sum(F.when(~is_today, amount)).alias("yesterday"),

@@ -45,6 +45,11 @@ def with_users(orders: DataFrame, users: DataFrame, as_of: str) -> DataFrame:
     return joined.withColumn("user_age", default_age()).drop("_known")
 
 
+def sold_lines(orders: DataFrame, details: DataFrame) -> DataFrame:
+    """Order lines with their order, buyer fields left out."""
+    return order_part(orders).join(detail_part(details), "order_id")
+
+
 def sale_detail(
     orders: DataFrame, details: DataFrame, users: DataFrame, as_of: str, buyers_first: bool = True
 ) -> DataFrame:
@@ -57,7 +62,7 @@ def sale_detail(
     if buyers_first:
         sold = with_users(order_part(orders), users, as_of).join(detail_part(details), "order_id")
     else:
-        sold = with_users(order_part(orders).join(detail_part(details), "order_id"), users, as_of)
+        sold = with_users(sold_lines(orders, details), users, as_of)
     return sold.select(*SALE_DETAIL_COLUMNS)
 
 
