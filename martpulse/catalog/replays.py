@@ -12,7 +12,7 @@ from martpulse.streaming import jobs
 from martpulse.streaming.replay import replay
 
 NOW = {"availableNow": True}
-PIECES = 3
+PIECES = 2
 
 
 class _Folders:

@@ -34,6 +34,11 @@ def file_feed(spark: SparkSession, path: str, max_files: int | None = None) -> D
     return reader.parquet(path)
 
 
+def topic_of(feed: DataFrame, topic: str) -> DataFrame:
+    """One topic of a folder that holds several."""
+    return feed.where(F.col("topic") == topic)
+
+
 def file_changes(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
     """A folder of Parquet files with change entries as a stream; ``max_files`` bounds a batch."""
     reader = spark.readStream.schema(CHANGE_ENTRY)

@@ -408,3 +408,45 @@ def test_both_ways_to_join_buyers_agree(spark):
     heads, lines, users = sale_inputs(spark)
     early, late = (sales.sale_detail(heads, lines, users, "2024-01-01", buyers_first=b) for b in (True, False))
     assert sorted(map(str, early.collect())) == sorted(map(str, late.collect()))
+
+
+def test_random_events_against_brute_force(spark):
+    """Many small devices at once, each window of each worked out by hand."""
+    import random
+
+    rnd, step, panes = random.Random(7), 60, 5
+    rows, start = [], 1704067200
+    for device in range(150):
+        for _ in range(rnd.randrange(1, 25)):
+            kind = rnd.choices(["coupon", "clickItem", "addCart"], [8, 1, 2])[0]
+            user = rnd.choice([None, "a", "b", "c", "d"])
+            rows.append((str(device), user, kind, str(rnd.randrange(9)), start + rnd.randrange(1500)))
+    expected = set()
+    for device in {r[0] for r in rows}:
+        mine = [r for r in rows if r[0] == device]
+        for end in range(start, start + 1500 + step * panes, step):
+            inside = [r for r in mine if end - step * panes <= r[4] < end]
+            users = {r[1] for r in inside if r[2] == "coupon" and r[1] is not None}
+            if len(users) >= 3 and not any(r[2] == "clickItem" for r in inside):
+                kinds = sorted(r[2] for r in inside)
+                items = sorted({r[3] for r in inside if r[2] == "coupon"})
+                expected.add((f"{device}_{end // 60}", tuple(sorted(users)), tuple(items), tuple(kinds)))
+    log = spark.createDataFrame(rows, "mid STRING, uid STRING, evid STRING, itemid STRING, sec BIGINT")
+    log = log.withColumn("ts", F.timestamp_seconds("sec"))
+    got = {(r.id, tuple(r.uids), tuple(r.itemIds), tuple(r.events)) for r in alerts.documents(log).collect()}
+    assert len(expected) > 50 and got == expected
+
+
+class FakeSession:
+    def __init__(self, master, folder):
+        self.conf = {"spark.checkpoint.dir": folder} if folder else {}
+        self.sparkContext = type("Context", (), {"master": master})()
+
+
+def test_folders_come_from_the_cluster(spark):
+    from martpulse.session import work_dir
+
+    assert work_dir(FakeSession("yarn", "s3a://shared/"), "x").startswith("s3a://shared/x-")
+    with pytest.raises(ValueError):
+        work_dir(FakeSession("yarn", None), "x")
+    assert work_dir(FakeSession("local[2]", None), "x") != work_dir(FakeSession("local[2]", None), "x")
