@@ -67,7 +67,7 @@ def sale_documents(
         {order_source: orders, detail_source: details},
         lambda: jobs.start_sales(
             file_feed(streams, order_source), file_feed(streams, detail_source),
-            lambda session: session.read.parquet(user_table),
+            lambda buyers: buyers.sparkSession.read.parquet(user_table),
             at.table, at.checkpoint, as_of, NOW, expiry=expiry, **options,
         ),
         pieces,

@@ -2,7 +2,8 @@
 
 A micro-batch writes only its own rows, below ``batch_id=<n>``; rewriting that folder makes a replayed batch
 harmless. Rewriting whole day partitions for each batch of a few seconds would cost far more than the batch.
-``compact`` folds the batches of a table into a new one now and then.
+``compact`` folds a table into a new one now and then: stop the job, compact, start it with the new table and the
+old checkpoint. Batch numbers go on from there, so later batches stay newer than the folded ones.
 """
 
 from __future__ import annotations

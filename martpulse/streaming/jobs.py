@@ -20,7 +20,7 @@ from martpulse.operators.keyed import latest_per
 from martpulse.plans import alerts, changes, sales
 from martpulse.plans.orders import order_rows
 from martpulse.sources.feeds import parse
-from martpulse.sources.sinks import read_latest, write_batch
+from martpulse.sources.sinks import read_all, write_batch
 
 DOCUMENT_DAY = "ingest_date"
 
@@ -153,8 +153,15 @@ def start_users(feed: DataFrame, table: str, checkpoint: str, trigger: dict | No
     return _run(users, write, checkpoint, trigger or {"processingTime": K.TRIGGER_ORDERS})
 
 
-def current_users(spark: SparkSession, table: str) -> DataFrame:
-    return read_latest(spark, table, USER_TABLE, ["id"], ["seen_at"])
+def current_users(spark: SparkSession, table: str, only: DataFrame | None = None) -> DataFrame:
+    """The newest record per user, of all users or of those whose ``id`` is in ``only``.
+
+    The choice comes before the folding, so looking up a batch's buyers does not fold everyone's records.
+    """
+    records = read_all(spark, table, USER_TABLE)
+    if only is not None:
+        records = records.join(only, "id", "left_semi")
+    return latest_per(records, ["id"], ["batch_id", "seen_at"]).drop("batch_id")
 
 
 # --- change log ---------------------------------------------------------------------------------
@@ -258,18 +265,23 @@ def matched_sales(
 
 
 def start_sales(
-    order_feed: DataFrame, detail_feed: DataFrame, users: Callable[[SparkSession], DataFrame], table: str,
+    order_feed: DataFrame, detail_feed: DataFrame, users: Callable[[DataFrame], DataFrame], table: str,
     checkpoint: str, as_of: str, trigger: dict | None = None, ingest_date: Column | None = None, **options,
 ):
     """Sale documents with buyer, upserted by line id, by day of writing.
 
-    ``users`` is called for every batch, so that a batch sees the users as they are then.
+    ``users`` is called for every batch with the ids of its buyers and returns their records as they are then.
     """
     day = date_text(F.current_timestamp()) if ingest_date is None else ingest_date
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        newest = latest_per(batch, ["order_detail_id"], ["order_ts", "detail_ts"])
-        rows = sales.with_users(newest, users(batch.sparkSession), as_of).withColumn(DOCUMENT_DAY, day)
-        write_batch(rows.select(*schemas.SALE_DETAIL_COLUMNS, DOCUMENT_DAY), batch_id, table, DOCUMENT_DAY)
+        newest = latest_per(batch, ["order_detail_id"], ["order_ts", "detail_ts"]).persist()
+        try:
+            buyers = newest.select(F.col("user_id").alias("id")).distinct()
+            rows = sales.with_users(newest, users(buyers), as_of)
+            rows = rows.withColumn(DOCUMENT_DAY, day)
+            write_batch(rows.select(*schemas.SALE_DETAIL_COLUMNS, DOCUMENT_DAY), batch_id, table, DOCUMENT_DAY)
+        finally:
+            newest.unpersist()
 
     return _run(matched_sales(order_feed, detail_feed, **options), write, checkpoint, trigger or {"processingTime": K.TRIGGER_ORDERS})

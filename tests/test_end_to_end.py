@@ -46,7 +46,7 @@ def test_changes_become_sale_documents(spark, tmp_path):
         jobs.start_sales(
             topic_of(file_feed(streams, at["topics"]), K.TOPIC_ORDER),
             topic_of(file_feed(streams, at["topics"]), K.TOPIC_ORDER_DETAIL),
-            lambda session: jobs.current_users(session, at["users"]),
+            lambda buyers: jobs.current_users(buyers.sparkSession, at["users"], buyers),
             at["sales"], at["c3"], "2024-01-01", NOW,
         ).awaitTermination(120)
         return read_latest(spark, at["sales"], jobs.SALE_TABLE, ["order_detail_id"])

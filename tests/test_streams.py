@@ -113,8 +113,8 @@ USERS = [("u1", "M", dt.date(2000, 1, 1), "2")]
 
 
 def sale_runner(spark, tmp_path, **options):
-    def users(session):
-        return session.createDataFrame(USERS, "id STRING, gender STRING, birthday DATE, user_level STRING")
+    def users(buyers):
+        return buyers.sparkSession.createDataFrame(USERS, "id STRING, gender STRING, birthday DATE, user_level STRING")
 
     return Runner(
         spark, tmp_path,
@@ -183,6 +183,8 @@ def test_users_keep_their_newest_record(spark, tmp_path):
     runner.send(**{"in": [("2024-01-01T10:00:05", {"id": "2", "user_level": "1"})]})
     runner.send(**{"in": [("2024-01-01T10:00:09", {"id": "1", "user_level": "3"})]})
     assert sorted((r.id, r.user_level) for r in jobs.current_users(spark, runner.table).collect()) == [("1", "3"), ("2", "1")]
+    only = spark.createDataFrame([("1",), ("9",)], "id STRING")
+    assert [(r.id, r.user_level) for r in jobs.current_users(spark, runner.table, only).collect()] == [("1", "3")]
 
 
 def test_a_batch_that_fails_is_run_again_without_doubles(spark, tmp_path, monkeypatch):
@@ -213,3 +215,18 @@ def test_console_sink_runs(spark, tmp_path):
     runner = Runner(spark, tmp_path, lambda r: jobs.to_console(r.feed(), r.checkpoint, NOW))
     runner.send(**{"in": [("2024-01-01T10:00:00", {"id": "1"})]})
     assert "Console" in runner.reports[0].sink.description and runner.reports[0].numInputRows == 1
+
+
+def test_a_compacted_table_takes_over_with_the_same_checkpoint(spark, tmp_path):
+    from martpulse.sources.sinks import compact
+
+    runner = Runner(spark, tmp_path, lambda r: jobs.start_orders(r.feed(), r.table, r.checkpoint, NOW))
+    runner.send(**{"in": [order("2024-01-01T10:00:00", "1"), order("2024-01-01T10:00:00", "2")]})
+    runner.send(**{"in": [order("2024-01-01T10:00:00", "2", "u2")]})
+    folded = str(tmp_path / "folded")
+    compact(spark, runner.table, folded, jobs.ORDER_TABLE, ["id"], "create_period", ["seen_at"])
+    runner.table = folded
+    runner.send(**{"in": [("2024-01-01T12:00:00", order("2024-01-01T10:00:00", "1", "u3")[1])]})
+    rows = read_latest(spark, folded, jobs.ORDER_TABLE, ["id"], ["seen_at"])
+    assert sorted((r.id, r.user_id) for r in rows.collect()) == [("1", "u3"), ("2", "u2")]
+    assert read_all(spark, folded, jobs.ORDER_TABLE).count() == 3
