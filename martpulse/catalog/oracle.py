@@ -214,6 +214,10 @@ from hit order by score desc, order_detail_id limit 100""",
     "q17_sale_search_total": f"with {RED_WIDGET} select count(*) as total from hit",
     "q17b_sale_search_total_day": f"""with {_hits("widget")}
 select count(*) as total from hit where dt = '1998-06-01'""",
+    "q17c_stored_search": f"""with {_hits("widget")}
+select count(*) as total, count(*) filter (where user_gender = 'M') as male,
+       count(*) filter (where user_age < 20) as young, count(*) filter (where user_age >= 30) as old
+from hit where dt like '1998-06-%'""",
     "q18_terms_gender": f"with {RED_WIDGET} select user_gender as key, count(*) as doc_count from hit group by 1",
     "q19_terms_age_top10": f"""with {RED_WIDGET}
 select user_age as key, count(*) as doc_count from hit group by 1 order by doc_count desc, key limit 10""",

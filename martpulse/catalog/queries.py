@@ -231,6 +231,15 @@ def q17b_sale_search_total_day(spark, folder):
     return search.total(sales.sold_lines(heads, shop.order_detail(spark, folder)), "widget", ORDER_DAY)
 
 
+def q17c_stored_search(spark, folder):
+    """Sale documents stored by month; the search reads only the month it asks for."""
+    path = work_dir(spark, "sales")
+    docs = sale_table(spark, folder)
+    sinks.save_partitioned(docs.withColumn("month", F.substring("dt", 1, 7)), path, "month")
+    stored = spark.read.schema(f"{schemas.SALE_DETAIL}, month STRING").parquet(path)
+    return facets.totals(search.hits(stored.where(F.col("month") == ORDER_DAY[:7]), "widget"))
+
+
 def _hits(spark, folder):
     return search.hits(found_sales(spark, folder), KEYWORD)
 

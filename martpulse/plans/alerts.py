@@ -6,6 +6,7 @@ slide, and a window is named by the pane it ends with.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,9 +30,9 @@ def minute_id(mid: Column, at: Column) -> Column:
     return F.concat_ws("_", mid, F.floor(F.unix_seconds(at.cast("timestamp")) / 60).cast("string"))
 
 
-def micros(interval: str) -> Column:
-    """Length of an interval such as ``5 minutes``; a constant of the plan."""
-    return F.unix_micros(F.timestamp_micros(F.lit(0)) + F.expr(f"interval {interval}"))
+def micros(interval: str) -> int:
+    """Length of an interval such as ``5 minutes`` in microseconds."""
+    return pd.Timedelta(interval) // pd.Timedelta(1, "us")
 
 
 def detect(
@@ -46,13 +47,15 @@ def detect(
     shuffle and a device has at most one step per pane, so no group grows with the number of events.
     """
     step, length = micros(slide), micros(window)
+    if length % step:
+        raise ValueError("the window must be a multiple of its slide")
     marks = events.where(is_click() | (is_coupon() & F.col("uid").isNotNull())).select(
         "mid",
         F.when(is_coupon(), F.col("uid")).alias("user"),
         F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / step).alias("pane"),
     ).distinct()
     following = F.lead("pane").over(Window.partitionBy("mid", "user").orderBy("pane"))
-    last = F.least(following - 1, F.col("pane") + F.floor(length / step) - 1)
+    last = F.least(following - 1, F.col("pane") + (length // step - 1))
     users, clicks = F.col("user").isNotNull().cast("int"), F.col("user").isNull().cast("int")
     steps = (
         marks.select("mid", "pane", users.alias("users"), clicks.alias("clicks"), last.alias("last"))

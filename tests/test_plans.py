@@ -12,7 +12,7 @@ from martpulse.operators.joins import replicated, salted
 from martpulse.plans import alerts, cards, devices, orders, sales
 from martpulse.sources import shop
 
-TABLE_QUERIES = [n for n in Q.ALL if "stream" not in n and n not in ("q26_upsert_docs", "q29_multi_day_read")]
+TABLE_QUERIES = [n for n in Q.ALL if "stream" not in n and n not in ("q17c_stored_search", "q26_upsert_docs", "q29_multi_day_read")]
 
 
 def plan(df, mode="formatted"):
@@ -138,3 +138,22 @@ def test_each_shuffle_of_daily_devices_follows_a_partial_aggregate(spark, folder
     for i, row in enumerate(lines):
         if "Exchange" in row:
             assert "HashAggregate" in lines[i + 1]
+
+
+def test_stored_documents_are_pruned_by_partition(spark, folder):
+    text = plan(Q.q17c_stored_search(spark, folder))
+    assert re.search(r"PartitionFilters: \[isnotnull\(month#\d+\), \(month#\d+ = 1998-06\)\]", text)
+    assert read_columns(text) == [{"user_gender", "user_age", "sku_name"}]
+
+
+def test_streams_fold_before_their_shuffles(spark, tmp_path):
+    from martpulse.schemas import FEED
+    from martpulse.sources.feeds import file_feed
+    from martpulse.streaming import jobs
+
+    spark.createDataFrame([], FEED).write.parquet(str(tmp_path / "feed"))
+    feed = file_feed(spark, str(tmp_path / "feed"))
+    for rows in (jobs.new_logins(feed), jobs.live_alerts(feed)):
+        lines = [r for r in plan(rows, "simple").splitlines() if "Exchange" in r or "Aggregate" in r]
+        shuffles = [i for i, row in enumerate(lines) if "Exchange" in row]
+        assert shuffles and all("partial_" in lines[i + 1] for i in shuffles)

@@ -357,6 +357,11 @@ def test_finer_slides_keep_the_last_alert_of_a_minute(spark):
     assert ends(last) == ["00:02:55", "00:03:55", "00:04:55", "00:05:30"]
 
 
+def test_window_must_be_a_multiple_of_its_slide(spark):
+    with pytest.raises(ValueError):
+        alerts.detect(events(spark, COUPONS), "5 minutes", "2 minutes")
+
+
 def test_detection_equals_windows_written_out(spark, folder):
     from martpulse.sources import shop
 
