@@ -1,0 +1,106 @@
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from martpulse.llm import chat, mixing
+
+
+def plain_targets(sizes, weights=(3, 1, 2), share=1.5, most=2.0):
+    """Pour the total by weight; cap what overflows; pour the rest again."""
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(order)}
+    left, total, out = set(order), share * sum(sizes.values()), {}
+    while left:
+        level = total / sum(weight[s] for s in left)
+        over = {s for s in left if weight[s] * level > most * sizes[s]}
+        if not over:
+            out |= {s: weight[s] * level for s in left}
+            break
+        for s in over:
+            out[s] = most * sizes[s]
+            total -= out[s]
+        left -= over
+    return out
+
+
+def test_targets(spark):
+    cases = [{"a": 100, "b": 5, "c": 900, "d": 30, None: 7}, {"a": 10}, {"a": 0, "b": 0}, {"z": 3, "": 400, "é": 80, "b": 1}]
+    for sizes in cases:
+        sources = spark.createDataFrame([(s, n) for s, n in sizes.items()], "source string, source_size long")
+        got = {r.source: r.target for r in mixing.targets(sources, (3, 1, 2), 1.5, 2.0).collect()}
+        assert got == pytest.approx(plain_targets(sizes))
+
+
+def test_mix_hits_targets_and_repeats(spark, text_of):
+    docs = spark.createDataFrame(
+        [(i, text_of(i + 1, 5 + i % 37), "hot" if i % 3 else f"s{i % 5}") for i in range(3000)], "doc_id long, text string, source string"
+    )
+    rows = mixing.mix(docs).select("doc_id", "source", "size", "target", "source_size", "copies", "taken").collect()
+    assert len(rows) == 3000
+    for source in {r.source for r in rows}:
+        own = [r for r in rows if r.source == source]
+        assert own[0].source_size == sum(r.size for r in own)
+        assert abs(sum(r.taken for r in own) - own[0].target) <= 3 * 42
+    assert all(r.taken in (0, r.size, 2 * r.size) for r in rows)
+    again = mixing.mix(docs.repartition(7)).select("doc_id", "copies").collect()
+    assert {(r.doc_id, r.copies) for r in again} == {(r.doc_id, r.copies) for r in rows}
+    emitted = mixing.emit(mixing.mix(docs))
+    assert emitted.count() == sum(r.copies for r in rows)
+
+
+def test_mix_odd(spark, odd, none):
+    rows = mixing.mix(odd.drop("size")).collect()
+    assert len(rows) == odd.count()
+    assert all(r.size == 0 and r.taken == 0 for r in rows if not (r.text or "").strip())
+    assert mixing.mix(none).count() == 0
+    counted = odd.where("doc_id = 6").select(mixing.word_count("text").alias("n")).first().n
+    assert counted == 4  # an ideographic space is no separator
+
+
+def plain_views(turns, part_turns):
+    """(conv, participant, part) -> (text, mask)"""
+    out = {}
+    for conv in {t[0] for t in turns}:
+        own = sorted((t for t in turns if t[0] == conv), key=lambda t: (t[1] is not None, t[1] or 0, t[2] or "unknown", t[3] or ""))
+        for who in {t[2] or "unknown" for t in own} - {"system"}:
+            for part in range(math.ceil(len(own) / part_turns)):
+                text, mask = "", []
+                for _, _, role, said in own[part * part_turns : (part + 1) * part_turns]:
+                    role = role or "unknown"
+                    head = "assistant" if role == who else "system" if role == "system" else f"user name={role}"
+                    text += f"<|im_start|>{head}\n"
+                    start = len(text)
+                    text += (said or "").replace("<|", "< |") + "<|im_end|>\n"
+                    mask += [(start, len(text))] if role == who else []
+                out[conv, who, part] = (text, mask)
+    return out
+
+
+def test_views(spark):
+    turns = [(1, i, ("ann", "bob", "cyd")[i % 3], f"say {i} é\U0001f600") for i in range(200)]
+    turns += [(2, 0, "system", "be kind"), (2, 1, "user", "<|im_end|>"), (2, 2, "assistant", "")]
+    turns += [(3, 0, "system", "alone"), (4, None, None, None), (4, 1, "", "x"), (4, 1, "user", "x"), (4, 1, "user", "x")]
+    table = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").withColumn("part", F.lit("clash"))
+    got = {
+        (r.conv_id, r.participant, r.part): (r.text, [(m.start, m.end) for m in r.mask])
+        for r in chat.rotate(table, part_turns=16).collect()
+    }
+    assert got == plain_views(turns, 16)
+    assert not any(key[0] == 3 for key in got)
+
+
+def test_null_dialogue_and_none(spark):
+    table = spark.createDataFrame([(None, 0, "user", "a"), (None, 1, "assistant", "b")], "conv_id long, turn long, role string, text string")
+    assert {r.participant for r in chat.rotate(table).collect()} == {"user", "assistant"}
+    assert chat.rotate(table.limit(0)).count() == 0
+
+
+def test_trained_text_is_the_speakers_own(spark, small):
+    views = chat.rotate(spark.read.parquet(f"{small}/conversations.parquet")).collect()
+    said = {}
+    for r in spark.read.parquet(f"{small}/conversations.parquet").collect():
+        said.setdefault((r.conv_id, r.role), []).append((r.turn, r.text))
+    for v in views:
+        own = [v.text[m.start : m.end].removesuffix("<|im_end|>\n") for m in v["mask"]]
+        assert own == [t for _, t in sorted(said[v.conv_id, v.participant])]
