@@ -168,10 +168,31 @@ def within_one(a: Column, b: Column) -> Column:
     return (long - short <= 1) & (common(a, b) + common(F.reverse(a), F.reverse(b)) >= long - 1)
 
 
+def _texts(docs: DataFrame, some: DataFrame) -> DataFrame:
+    """``some`` with the words of their lines. Documents travel whole and once, and only lines asked for are cut out.
+
+    The join is a merge join at every size: documents with such lines are many, so no side is small for long.
+    """
+    places = some.groupBy(F.col("at.d").alias("_d"), F.col("at.h").alias("_h")).agg(
+        F.collect_list(F.struct(F.col("at.p").alias("p"), "first", "last")).alias("places")
+    )
+    keyed = _keyed(docs.select("doc_id", "text"))
+    met = keyed.join(places.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_hash") == F.col("_h")))
+
+    def with_line(p: Column) -> Column:
+        line = F.element_at("lines", p["p"] + 1)
+        return F.struct(*[p[c].alias(c) for c in ("p", "first", "last")], line.alias("line"))
+
+    cut = met.withColumn("lines", F.split("text", "\n")).withColumn("places", F.transform("places", with_line))
+    return cut.select("doc_id", "_hash", F.explode("places").alias("p")).select(
+        F.struct(F.col("doc_id").alias("d"), F.col("_hash").alias("h"), F.col("p.p").alias("p")).alias("at"),
+        "p.first", "p.last", _words(F.col("p.line")).alias("w"),
+    )
+
+
 def near_copies(docs: DataFrame, lines: DataFrame) -> DataFrame:
     """(at): first places of distinct lines that are one edit from an earlier line."""
-    some = partnered(lines)
-    texts = settle(_lines(docs).join(some, "at"), "lines-texts")
+    texts = settle(_texts(docs, partnered(lines)), "lines-texts")
     pairs = settle(candidates(variants(texts)), "lines-pairs")
     words = texts.select("at", "w")
     left = pairs.join(words, "at")

@@ -97,7 +97,7 @@ def test_common_variant_makes_no_pairs(spark, text_of):
     docs = [(i, " ".join(words[:7] + [f"x{i}"] + words[8:])) for i in range(2000)]
     table = spark.createDataFrame(docs, "doc_id long, text string")
     found = lines.distinct_lines(table, 5, 10)
-    pairs = lines.candidates(lines.variants(lines._lines(table).join(lines.partnered(found), "at")))
+    pairs = lines.candidates(lines.variants(lines._texts(table, lines.partnered(found))))
     assert pairs.count() < 3 * 2000
     assert sum(r.n_removed for r in lines.dedup(table).collect()) == 1999
 
