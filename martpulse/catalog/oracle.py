@@ -279,3 +279,18 @@ where detail_ts between order_ts - interval '100 days' and order_ts + interval '
     "q34_stream_users": USER_LATEST,
     "q35_stream_changes": f"with {USERS}, {CHANGE_VALUES} select topic, value from flat",
 }
+
+# The dashboard's questions to stored tables have the answers of the same questions to the raw ones.
+SQL["q36_served_turnover"] = SQL["q07_gmv_total"]
+SQL["q36b_served_turnover_hours"] = SQL["q10_hourly_compare_gmv"]
+SQL["q37_served_search"] = f"""with {_hits("widget")}
+select count(*) as total from hit
+where dt = '1998-06-01' and detail_ts between order_ts - interval '100 days' and order_ts + interval '100 days'"""
+SQL["q38_served_devices"] = SQL["q02b_dau_of_day"]
+SQL["q38b_served_device_hours"] = SQL["q09_hourly_compare_dau"]
+SQL["q39_new_devices_from_table"] = """select count(*) as dau, count(*) filter (where first_day = date '2024-01-15') as new_mid
+from (select user_id, cast(min(ts) as date) as first_day, max(cast(ts as date) = date '2024-01-15') as active
+      from events group by user_id) where active"""
+SQL["q40_kpi_json"] = f"""with card as ({SQL["q22_kpi_cards"]}), placed as (
+  select *, list_position(['dau', 'new_mid', 'order_amount'], id) as pos from card)
+select cast(to_json(list(json_object('id', id, 'name', name, 'value', value) order by pos)) as varchar) as response from placed"""

@@ -19,6 +19,7 @@ from martpulse.plans import alerts, cards, changes, devices, orders, sales, sear
 from martpulse.session import work_dir
 from martpulse.sources import shop, sinks
 from martpulse.sources.feeds import parse, to_feed
+from martpulse.streaming import jobs
 
 LOG_DAY = "2024-01-15"
 ORDER_DAY = "1998-06-01"
@@ -101,7 +102,7 @@ def order_feed(spark: SparkSession, folder: str) -> DataFrame:
     return records.select(
         F.lit(K.TOPIC_ORDER).alias("topic"),
         F.to_json(F.struct(*[c for c in records.columns if c != "order_ts"])).alias("value"),
-        at.alias("timestamp"),
+        at.alias("timestamp"), F.lit(None).cast("int").alias("pos"),
     )
 
 
@@ -110,7 +111,7 @@ def detail_feed(spark: SparkSession, folder: str) -> DataFrame:
     return details.select(
         F.lit(K.TOPIC_ORDER_DETAIL).alias("topic"),
         F.to_json(F.struct(*[c for c in details.columns if c != "detail_ts"])).alias("value"),
-        F.col("detail_ts").cast("timestamp").alias("timestamp"),
+        F.col("detail_ts").cast("timestamp").alias("timestamp"), F.lit(None).cast("int").alias("pos"),
     )
 
 
@@ -345,11 +346,26 @@ def q31_stream_alert(spark, folder):
     return docs.select("id", "mid", joined_text("uids"), joined_text("itemIds"), joined_text("events"), "ts")
 
 
-def q32_stream_sale_detail(spark, folder):
-    docs, _ = replays.sale_documents(
-        spark, order_feed(spark, folder), detail_feed(spark, folder), shop.user_info(spark, folder), EXPIRY, shop.AS_OF
+def user_feed(spark: SparkSession, folder: str) -> DataFrame:
+    """Users as the change log delivers them."""
+    records = shop.user_info(spark, folder)
+    texts = F.struct(*[F.col(c).cast("string").alias(c) for c in records.columns])
+    return records.select(
+        F.lit(K.TOPIC_USER).alias("topic"), F.to_json(texts).alias("value"),
+        F.lit("1990-01-01").cast("timestamp").alias("timestamp"), F.lit(0).alias("pos"),
+    )
+
+
+def sale_run(spark: SparkSession, folder: str) -> str:
+    """The table of sale documents that the users', orders' and lines' feeds lead to."""
+    table, _ = replays.sale_documents(
+        spark, order_feed(spark, folder), detail_feed(spark, folder), user_feed(spark, folder), EXPIRY, shop.AS_OF
     )
-    return docs.select(*schemas.SALE_DETAIL_COLUMNS)
+    return table
+
+
+def q32_stream_sale_detail(spark, folder):
+    return jobs.stored_sales(spark, sale_run(spark, folder)).select(*schemas.SALE_DETAIL_COLUMNS)
 
 
 def q33_stream_orders(spark, folder):
@@ -358,8 +374,7 @@ def q33_stream_orders(spark, folder):
 
 
 def q34_stream_users(spark, folder):
-    feed = change_feed(spark, folder).where(F.col("topic") == K.TOPIC_USER)
-    users, _ = replays.users(spark, feed.withColumn("timestamp", F.col("timestamp") + F.make_interval(secs=F.col("pos"))))
+    users, _ = replays.users(spark, change_feed(spark, folder).where(F.col("topic") == K.TOPIC_USER))
     return users.select("id", "login_name", "user_level", F.col("birthday").cast("string").alias("birthday"), "gender")
 
 
@@ -368,6 +383,46 @@ def q35_stream_changes(spark, folder):
     return rows.select("topic", "value")
 
 
+# --- the dashboard's questions to the tables that the jobs write ------------------------------------
+
+
+def q36_served_turnover(spark, folder):
+    rows, _ = replays.order_rows(spark, order_feed(spark, folder))
+    return orders.turnover(rows, ORDER_DAY).select(money("sum_amount"))
+
+
+def q36b_served_turnover_hours(spark, folder):
+    rows, _ = replays.order_rows(spark, order_feed(spark, folder))
+    return cards.hourly_compare("order_amount", rows, ORDER_DAY).select("hour", money("yesterday"), money("today"))
+
+
+def q37_served_search(spark, folder):
+    stored = jobs.stored_sales(spark, sale_run(spark, folder), ["sku_name"], ORDER_DAY)
+    return search.total(stored, "widget", ORDER_DAY)
+
+
+def q38_served_devices(spark, folder):
+    rows, _ = replays.first_logins(spark, startup_feed(spark, folder))
+    return devices.stored_total(rows, LOG_DAY)
+
+
+def q38b_served_device_hours(spark, folder):
+    rows, _ = replays.first_logins(spark, startup_feed(spark, folder))
+    return cards.hourly_compare("dau", rows, LOG_DAY)
+
+
+def q39_new_devices_from_table(spark, folder):
+    """Active and new devices of a day, from one day of logs and the first-seen table."""
+    path = work_dir(spark, "first-seen")
+    logs = shop.startup_log(spark, folder)
+    devices.first_seen(logs).write.parquet(path)
+    return devices.day_counts_from(logs, spark.read.parquet(path), LOG_DAY)
+
+
+def q40_kpi_json(spark, folder):
+    return cards.kpi_json(shop.startup_log(spark, folder), shop.order_heads(spark, folder), LOG_DAY, order_date=ORDER_DAY)
+
+
 ALL = {
     name: function
     for name, function in sorted(globals().items())

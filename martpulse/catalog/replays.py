@@ -62,17 +62,21 @@ def sale_documents(
 ):
     at, streams = _Folders(spark, "sales"), stream_session(spark)
     order_source, detail_source, user_table = at.feed("order"), at.feed("detail"), f"{at.root}/users"
-    users.write.parquet(user_table)
+    user_source = at.feed("user")
+    replay(
+        {user_source: users},
+        lambda: jobs.start_users(file_feed(streams, user_source), user_table, f"{at.root}/users-checkpoint", NOW), 1,
+    )
     reports = replay(
         {order_source: orders, detail_source: details},
         lambda: jobs.start_sales(
             file_feed(streams, order_source), file_feed(streams, detail_source),
-            lambda buyers: buyers.sparkSession.read.parquet(user_table),
-            at.table, at.checkpoint, as_of, NOW, expiry=expiry, **options,
+            lambda buyers: jobs.current_users(buyers.sparkSession, user_table, buyers),
+            at.table, at.checkpoint, as_of, NOW, period="month", expiry=expiry, **options,
         ),
         pieces,
     )
-    return read_latest(spark, at.table, jobs.SALE_TABLE, ["order_detail_id"]), reports
+    return at.table, reports
 
 
 def order_rows(spark: SparkSession, feed: DataFrame, pieces: int = PIECES):
@@ -83,14 +87,14 @@ def order_rows(spark: SparkSession, feed: DataFrame, pieces: int = PIECES):
         lambda: jobs.start_orders(file_feed(streams, source), at.table, at.checkpoint, NOW, period="month"),
         pieces,
     )
-    return read_latest(spark, at.table, jobs.ORDER_TABLE, ["id"], ["seen_at"]), reports
+    return jobs.stored_orders(spark, at.table), reports
 
 
 def users(spark: SparkSession, feed: DataFrame, pieces: int = 2):
     at, streams = _Folders(spark, "users"), stream_session(spark)
     source = at.feed("user")
     reports = replay(
-        {source: feed.select("topic", "value", "timestamp")},
+        {source: feed.select("topic", "value", "timestamp", "pos")},
         lambda: jobs.start_users(file_feed(streams, source), at.table, at.checkpoint, NOW),
         pieces,
     )
@@ -108,4 +112,4 @@ def change_rows(spark: SparkSession, entries: DataFrame, pieces: int = PIECES):
         pieces,
         time="exec_time",
     )
-    return spark.read.schema("topic STRING, value STRING, timestamp TIMESTAMP").parquet(at.table), reports
+    return spark.read.schema("topic STRING, value STRING, timestamp TIMESTAMP, pos INT").parquet(at.table), reports

@@ -11,8 +11,12 @@ MONEY = "decimal(18,2)"
 
 
 def money_sum(amount: Column) -> Column:
-    """Sum of amounts in whole cents: the same for every order of addition and exact beyond 2**53 cents."""
-    return F.sum(amount.cast(MONEY)).cast("double")
+    """Sum of amounts in whole cents: the same for every order of addition and exact beyond 2**53 cents.
+
+    Amounts that are no money (NaN, or of more digits than MONEY holds) are left out instead of failing the sum; the
+    feeds set such rows aside (``sources.feeds.rejected``).
+    """
+    return F.sum(amount.try_cast(MONEY)).cast("double")
 
 
 def percent(part: Column, total: Column) -> Column:

@@ -6,8 +6,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+# Milliseconds of the years 1 to 9999; other numbers are no times, and the largest would overflow.
+FIRST_MILLI, LAST_MILLI = -62135596800000, 253402300799999
+
+
+def is_millis(ms: Column) -> Column:
+    return ms.between(FIRST_MILLI, LAST_MILLI)
+
+
 def from_millis(ms: Column) -> Column:
-    return F.timestamp_millis(ms)
+    """The time, or NULL for numbers that are none."""
+    return F.timestamp_millis(F.when(is_millis(ms), ms))
+
+
+def micros(interval: str) -> Column:
+    """Length of an interval of days or shorter units, such as ``5 minutes``, in microseconds."""
+    return F.unix_micros(F.timestamp_seconds(F.lit(0)) + F.expr(f"interval '{interval}'"))
 
 
 def date_text(ts: Column) -> Column:

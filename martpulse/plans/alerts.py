@@ -6,11 +6,11 @@ slide, and a window is named by the pane it ends with.
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martpulse import constants as K
+from martpulse.functions.times import micros
 
 
 def is_coupon() -> Column:
@@ -30,11 +30,6 @@ def minute_id(mid: Column, at: Column) -> Column:
     return F.concat_ws("_", mid, F.floor(F.unix_seconds(at.cast("timestamp")) / 60).cast("string"))
 
 
-def micros(interval: str) -> int:
-    """Length of an interval such as ``5 minutes`` in microseconds."""
-    return pd.Timedelta(interval) // pd.Timedelta(1, "us")
-
-
 def detect(
     events: DataFrame, window: str = K.ALERT_WINDOW, slide: str = K.ALERT_SLIDE, min_users: int = K.ALERT_MIN_USERS
 ) -> DataFrame:
@@ -46,10 +41,12 @@ def detect(
     falls; running sums over these steps give the count of every window. Marks are made distinct before the
     shuffle and a device has at most one step per pane, so no group grows with the number of events.
     """
-    step, length = micros(slide), micros(window)
+    spark = events.sparkSession
+    step, length = spark.range(1).select(micros(slide), micros(window)).first()
     if length % step:
         raise ValueError("the window must be a multiple of its slide")
-    marks = events.where(is_click() | (is_coupon() & F.col("uid").isNotNull())).select(
+    named = events.where(F.col("mid").isNotNull())  # rows without a device belong to no device
+    marks = named.where(is_click() | (is_coupon() & F.col("uid").isNotNull())).select(
         "mid",
         F.when(is_coupon(), F.col("uid")).alias("user"),
         F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / step).alias("pane"),

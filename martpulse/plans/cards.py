@@ -40,21 +40,25 @@ def kpi_json(logs: DataFrame, orders: DataFrame, date: str | None = None, order_
     return cards.agg(F.to_json(plain).alias("response"))
 
 
-def hourly_compare(metric: str, source: DataFrame, date: str | None = None) -> DataFrame:
-    """Rows (hour, yesterday, today) of one metric, 24 in all."""
+def hourly_compare(metric: str, source: DataFrame, date: str | None = None, filled: bool = True) -> DataFrame:
+    """Rows (hour, yesterday, today) of one metric, 24 in all (and one for odd hours); unfilled, those with values.
+
+    Devices are counted from logs, or from the device table, which has ``log_date``.
+    """
     if metric == K.CARD_DAU[0]:
-        return devices.hours_compared(source, date)
+        stored = "log_date" in source.columns and "batch_id" in source.columns
+        return (devices.stored_hours_compared if stored else devices.hours_compared)(source, date, filled)
     if metric == K.CARD_AMOUNT[0]:
-        return order_plans.hours_compared(source, date)
+        return order_plans.hours_compared(source, date, filled)
     raise ValueError(f"no hour series for {metric}")
 
 
 def hourly_json(metric: str, source: DataFrame, date: str | None = None) -> DataFrame:
     """The series of both days as one row of JSON, hours without a value left out."""
-    series = hourly_compare(metric, source, date)
+    series = hourly_compare(metric, source, date, filled=False)
 
     def of(day: str):
-        pairs = F.array_sort(F.collect_list(F.when(F.col(day) != 0, F.struct("hour", day))))
+        pairs = F.array_sort(F.collect_list(F.when(F.col(day).isNotNull(), F.struct("hour", day))))
         return F.map_from_entries(pairs).alias(day)
 
     return series.agg(F.to_json(F.struct(of("yesterday"), of("today"))).alias("response"))

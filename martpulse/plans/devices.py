@@ -5,12 +5,12 @@ Input rows have at least ``mid`` and ``ts``; ``event_id`` breaks ties.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martpulse.functions.times import date_text, day, hour_text, up_to_day, within_days
 from martpulse.operators.hours import fill_hours
-from martpulse.operators.keyed import first_per, unseen
+from martpulse.operators.keyed import first_per
 
 
 def dated(logs: DataFrame) -> DataFrame:
@@ -45,29 +45,63 @@ def by_hour(logs: DataFrame, date: str | None = None) -> DataFrame:
     return active.groupBy(hour_text(F.col("first_ts")).alias("hour")).agg(F.count("*").alias("value"))
 
 
-def hours_compared(logs: DataFrame, date: str | None = None) -> DataFrame:
+def _compared(active: DataFrame, is_today: Column, hour: Column, filled: bool) -> DataFrame:
+    """Devices of two days by hour; unfilled, an hour without devices of a day is NULL there."""
+    series = active.groupBy(hour.alias("hour")).agg(
+        F.nullif(F.count_if(~is_today), F.lit(0)).alias("yesterday"), F.nullif(F.count_if(is_today), F.lit(0)).alias("today")
+    )
+    return fill_hours(series, ["yesterday", "today"]) if filled else series
+
+
+def hours_compared(logs: DataFrame, date: str | None = None, filled: bool = True) -> DataFrame:
     """24 hours, the day before next to the day; one scan of both days."""
     active = _active(within_days(logs, "ts", date, before=1))
-    is_today = F.col("day") == day(date)
-    series = active.groupBy(hour_text(F.col("first_ts")).alias("hour")).agg(
-        F.count_if(~is_today).alias("yesterday"), F.count_if(is_today).alias("today")
-    )
-    return fill_hours(series, ["yesterday", "today"])
+    return _compared(active, F.col("day") == day(date), hour_text(F.col("first_ts")), filled)
+
+
+# --- the same questions to the table that the device job writes: (mid, log_date, log_hour), days as text ---
+
+
+def _stored(table: DataFrame, date: str | None, before: int = 0) -> DataFrame:
+    """Each device of the day once, with its earliest hour; ``log_date`` is the table's partition."""
+    dates = [F.date_sub(day(date), back).cast("string") for back in range(before + 1)]
+    rows = table.where(F.col("log_date").isin(*dates))
+    return rows.groupBy("mid", "log_date").agg(F.min("log_hour").alias("hour"))
+
+
+def stored_total(table: DataFrame, date: str | None = None) -> DataFrame:
+    return _stored(table, date).agg(F.count("*").alias("dau"))
+
+
+def stored_by_hour(table: DataFrame, date: str | None = None) -> DataFrame:
+    return _stored(table, date).groupBy("hour").agg(F.count("*").alias("value"))
+
+
+def stored_hours_compared(table: DataFrame, date: str | None = None, filled: bool = True) -> DataFrame:
+    is_today = F.col("log_date") == day(date).cast("string")
+    return _compared(_stored(table, date, before=1), is_today, F.col("hour"), filled)
+
+
+def first_seen(logs: DataFrame) -> DataFrame:
+    """(mid, first_date): the day each device was first seen, the table that new devices are counted from."""
+    return logs.groupBy("mid").agg(F.min(F.col("ts").cast("date")).alias("first_date"))
+
+
+def day_counts_from(logs: DataFrame, seen: DataFrame, date: str | None = None) -> DataFrame:
+    """:func:`day_counts` from one day of logs and the first-seen table, without history."""
+    active = within_days(logs, "ts", date).select("mid").distinct()
+    new = seen.where(F.col("first_date") == day(date)).select("mid", F.lit(1).alias("new"))
+    return active.join(new, "mid", "left").agg(F.count("*").alias("dau"), F.count("new").alias("new_mid"))
 
 
 def incremental(logs: DataFrame, batch_hours: int = 12) -> DataFrame:
-    """First logins found batch by batch: a batch of a day keeps only devices no earlier batch of it has seen."""
-    firsts = first_per(
-        dated(logs).withColumn("batch", F.floor(F.hour("ts") / batch_hours).cast("int")),
-        ["mid", "log_date", "batch"],
-        ["ts", "event_id"],
-    )
-    batches = range((24 + batch_hours - 1) // batch_hours)
-    kept = firsts.where("batch = 0")
-    for batch in batches[1:]:
-        earlier = firsts.where(F.col("batch") < batch)
-        kept = kept.unionByName(unseen(firsts.where(F.col("batch") == batch), earlier, ["mid", "log_date"]))
-    return kept
+    """First logins found batch by batch: a batch of a day keeps only devices no earlier batch of it has seen.
+
+    Batches follow each other in time, so a device's batch is that of its first row of the day: one aggregate, however
+    many batches a day has.
+    """
+    firsts = first_per(dated(logs), ["mid", "log_date"], ["ts", "event_id"])
+    return firsts.withColumn("batch", F.floor(F.hour("ts") / batch_hours).cast("int"))
 
 
 def new_devices(logs: DataFrame) -> DataFrame:

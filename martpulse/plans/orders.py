@@ -27,6 +27,8 @@ def of_days(orders: DataFrame, date: str | None, before: int = 0) -> DataFrame:
     if "order_ts" in orders.columns:
         return within_days(orders, "order_ts", date, before)
     dates = [F.date_sub(day(date), back).cast("string") for back in range(before + 1)]
+    if "create_period" in orders.columns:  # the partition of the order table: a day or a month
+        orders = orders.where(F.col("create_period").isin(*dates, *[F.substring(d, 1, 7) for d in dates]))
     return orders.where(F.col("create_date").isin(*dates))
 
 
@@ -47,7 +49,7 @@ def turnover_by_hour(orders: DataFrame, date: str | None = None) -> DataFrame:
     )
 
 
-def hours_compared(orders: DataFrame, date: str | None = None) -> DataFrame:
+def hours_compared(orders: DataFrame, date: str | None = None, filled: bool = True) -> DataFrame:
     """24 hours, the day before next to the day; one scan of both days."""
     is_today = F.col("create_date") == day(date).cast("string")
     amount = F.col("total_amount")
@@ -59,7 +61,7 @@ def hours_compared(orders: DataFrame, date: str | None = None) -> DataFrame:
             money_sum(F.when(is_today, amount)).alias("today"),
         )
     )
-    return fill_hours(series, ["yesterday", "today"])
+    return fill_hours(series, ["yesterday", "today"]) if filled else series
 
 
 def regional_sales(orders: DataFrame, provinces: DataFrame) -> DataFrame:

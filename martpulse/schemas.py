@@ -28,7 +28,8 @@ USER_INFO = _strings("id", "login_name", "user_level", "birthday", "gender")
 CASTS = {"ts": "bigint", "total_amount": "double", "birthday": "date"}
 
 # A feed row as a message broker delivers it.
-FEED = "topic STRING, value STRING, timestamp TIMESTAMP"
+# ``pos`` is the row's place among those of one change entry, which share their time; other feeds leave it empty.
+FEED = "topic STRING, value STRING, timestamp TIMESTAMP, pos INT"
 
 # One entry of a database change log.
 CHANGE_ENTRY = (

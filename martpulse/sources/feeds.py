@@ -1,14 +1,18 @@
-"""Message feeds: rows of (topic, value, timestamp) from a broker or from files, and their parsing.
+"""Message feeds: rows of (topic, value, timestamp, pos) from a broker or from files, and their parsing.
 
 The same parsing serves streams and tables.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from martpulse.functions.numbers import MONEY
+from martpulse.functions.times import is_millis
 from martpulse.schemas import CASTS, CHANGE_ENTRY, FEED
 
 
@@ -22,8 +26,9 @@ def broker_options(servers: str, topic: str, starting: str = "latest", max_offse
 
 def broker_feed(spark: SparkSession, servers: str, topic: str, **options) -> DataFrame:
     """A topic as a stream; needs Spark's kafka connector on the class path."""
-    stream = spark.readStream.format("kafka").options(**broker_options(servers, topic, **options)).load()
-    return stream.select("topic", F.col("value").cast("string").alias("value"), "timestamp")
+    stream = spark.readStream.format("kafka").option("includeHeaders", "true").options(**broker_options(servers, topic, **options)).load()
+    pos = F.element_at(F.map_from_entries(F.col("headers")), F.lit("pos")).cast("string").try_cast("int")
+    return stream.select("topic", F.col("value").cast("string").alias("value"), "timestamp", pos.alias("pos"))
 
 
 def file_feed(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
@@ -55,7 +60,8 @@ def changes_of(feed: DataFrame) -> DataFrame:
 def to_feed(records: DataFrame, topic: str, timestamp: Column) -> DataFrame:
     """Records as feed rows, all columns in the JSON value."""
     return records.select(
-        F.lit(topic).alias("topic"), F.to_json(F.struct("*")).alias("value"), timestamp.alias("timestamp")
+        F.lit(topic).alias("topic"), F.to_json(F.struct("*")).alias("value"), timestamp.alias("timestamp"),
+        F.lit(None).cast("int").alias("pos"),
     )
 
 
@@ -69,14 +75,38 @@ def _cast(name: str) -> Column:
 def parse(feed: DataFrame, schema: T.StructType, key: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """Records of a feed: JSON fields by name, numbers and dates cast, feed columns in ``keep`` carried along.
 
-    Values that are no JSON object or lack ``key`` are left out; ``rejected`` returns exactly those.
+    Values that are no JSON object, lack ``key``, or whose ``ts`` or amount is out of range are left out; ``rejected``
+    returns exactly those.
     """
     # As the input of ``inline`` the text is parsed once; a filter on a parsed field would be pushed below the
     # projection and parse it again.
     fields = feed.select(*keep, F.inline(F.array(F.from_json("value", schema))))
-    return fields.where(F.col(key).isNotNull()).select(*[_cast(f.name) for f in schema.fields], *keep)
+    good = fields.where(_sound(schema, key, F.col))
+    return good.select(*[_cast(f.name) for f in schema.fields], *keep)
+
+
+def _sound(schema: T.StructType, key: str, field: Callable[[str], Column]) -> Column:
+    """The key is there, event times are times, and amounts that are numbers are money."""
+    sound = field(key).isNotNull()
+    names = schema.fieldNames()
+    if "ts" in names:
+        sound = sound & F.coalesce(is_millis(field("ts").try_cast("bigint")), F.lit(False))
+    if "total_amount" in names:
+        amount = field("total_amount").try_cast("double")
+        sound = sound & (amount.isNull() | amount.try_cast(MONEY).isNotNull())
+    return sound
 
 
 def rejected(feed: DataFrame, schema: T.StructType, key: str) -> DataFrame:
     """Feed rows that ``parse`` leaves out."""
-    return feed.where(F.from_json("value", schema)[key].isNull())
+    record = F.from_json("value", schema)
+    return feed.where(unsound(schema, key, lambda name: record[name]))
+
+
+def unsound(schema: T.StructType, key: str, field: Callable[[str], Column]) -> Column:
+    return ~F.coalesce(_sound(schema, key, field), F.lit(False))
+
+
+def ahead(ts: Column, arrived: Column, most: str) -> Column:
+    """Whether a device's clock runs ahead of the arrival of its message by more than ``most``."""
+    return F.coalesce(ts > arrived + F.expr(f"interval '{most}'"), F.lit(False))

@@ -1,9 +1,11 @@
 """Document tables: every batch is appended, the newest document per id is what readers see.
 
-A micro-batch writes only its own rows, below ``batch_id=<n>``; rewriting that folder makes a replayed batch
-harmless. Rewriting whole day partitions for each batch of a few seconds would cost far more than the batch.
-``compact`` folds a table into a new one now and then: stop the job, compact, start it with the new table and the
-old checkpoint. Batch numbers go on from there, so later batches stay newer than the folded ones.
+A micro-batch writes only its own rows, below ``run=<r>/batch_id=<n>``; rewriting that folder makes a replayed batch
+harmless. A run is one streaming query with one checkpoint: a job that starts with a new checkpoint on an existing
+table counts its batches from 0 again, but gets the next run number, so it replaces nothing and its rows are newer.
+
+Rewriting whole day partitions for each batch of a few seconds would cost far more than the batch. ``fold_days`` folds the batches of closed days
+into one while the job runs; ``compact`` folds a whole table into a new one.
 """
 
 from __future__ import annotations
@@ -12,6 +14,36 @@ from pyspark.sql import DataFrame, SparkSession
 
 from martpulse.operators.keyed import latest_per
 
+WRITTEN = "run BIGINT, batch_id BIGINT"
+RUNS = "_runs"  # hidden from readers of the table
+
+
+def _files(spark: SparkSession, path: str):
+    """Hadoop's file system for a path, and the path as its own."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def _names(spark: SparkSession, path: str) -> list[str]:
+    files, at = _files(spark, path)
+    return [s.getPath().getName() for s in files.listStatus(at)] if files.exists(at) else []
+
+
+def run_number(spark: SparkSession, path: str) -> int:
+    """The run that the current batch belongs to: 0 outside of streams, else one per streaming query of this table.
+
+    The query's id lives in its checkpoint, so a restart finds its number again. A table has one writer at a time.
+    """
+    query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if not query:
+        return 0
+    known = dict(reversed(name.split("_", 1)) for name in _names(spark, f"{path}/{RUNS}"))
+    if query not in known:
+        known[query] = str(max((int(n) for n in known.values()), default=0) + 1)
+        files, at = _files(spark, f"{path}/{RUNS}/{known[query]}_{query}")
+        files.mkdirs(at)
+    return int(known[query])
+
 
 def even_files(rows: DataFrame, partition: str) -> DataFrame:
     """Rows arranged for a write by ``partition``: small days share a task, a huge day is split."""
@@ -19,7 +51,7 @@ def even_files(rows: DataFrame, partition: str) -> DataFrame:
 
 
 def write_batch(rows: DataFrame, batch_id: int, path: str, partition: str | None = None) -> None:
-    target = f"{path}/batch_id={batch_id}"
+    target = f"{path}/run={run_number(rows.sparkSession, path)}/batch_id={batch_id}"
     if partition:
         even_files(rows, partition).write.mode("overwrite").partitionBy(partition).parquet(target)
     else:
@@ -27,13 +59,25 @@ def write_batch(rows: DataFrame, batch_id: int, path: str, partition: str | None
 
 
 def read_all(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """All appended rows with their batch."""
-    return spark.read.schema(f"{schema}, batch_id BIGINT").parquet(path)
+    """All appended rows with their run and batch."""
+    return spark.read.schema(f"{schema}, {WRITTEN}").parquet(path)
+
 
+def read_latest(
+    spark: SparkSession, path: str, schema: str, keys: list[str], order: list[str] = (), columns: list[str] | None = None
+) -> DataFrame:
+    """The newest row per key: later runs and batches win, within a batch the largest ``order``.
 
-def read_latest(spark: SparkSession, path: str, schema: str, keys: list[str], order: list[str] = ()) -> DataFrame:
-    """The newest row per key: later batches win, within a batch the largest ``order``."""
-    return latest_per(read_all(spark, path, schema), keys, ["batch_id", *order]).drop("batch_id")
+    Name columns that never change for an id, such as the day a table is stored by, among ``keys``: filters on them then
+    reach the scan. ``columns`` are those wanted besides the keys; others are not read.
+    """
+    rows = read_all(spark, path, schema)
+    newest = ["run", "batch_id", *order]
+    if columns is not None:
+        wanted = [*keys, *columns, *newest]
+        rows = rows.select(*[c for c in rows.columns if c in wanted])
+    found = latest_per(rows, keys, newest).drop("run", "batch_id")
+    return found if columns is None else found.select(*[c for c in found.columns if c in (*keys, *columns)])
 
 
 def save_partitioned(rows: DataFrame, path: str, partition: str) -> None:
@@ -45,6 +89,36 @@ def compact(
     spark: SparkSession, source: str, target: str, schema: str, keys: list[str], partition: str,
     order: list[str] = (),
 ) -> None:
-    """Write the newest rows of ``source`` as batch 0 of the new table ``target``."""
+    """Write the newest rows of ``source`` as the first batch of the new table ``target``."""
     latest = read_latest(spark, source, schema, keys, order)
-    save_partitioned(latest, f"{target}/batch_id=0", partition)
+    save_partitioned(latest, f"{target}/run=0/batch_id=0", partition)
+
+
+def fold_days(
+    spark: SparkSession, path: str, schema: str, keys: list[str], partition: str, days: list[str], order: list[str] = (),
+) -> None:
+    """Fold the batches of some days into one, while the job goes on; ``keys`` must include ``partition``.
+
+    Only what is finished is touched: all batches but the newest. The folded rows go to a new batch of run 0, older than any
+    that a job writes; then the folders they came from are deleted. Between the two, readers see rows twice, which
+    changes nothing, as they take the newest per key; a fold that breaks off is mended by the next.
+    """
+    places = [
+        (int(run.partition("=")[2]), int(batch.partition("=")[2]))
+        for run in _names(spark, path) if run.startswith("run=")
+        for batch in _names(spark, f"{path}/{run}") if batch.startswith("batch_id=")
+    ]
+    done = sorted(places)[:-1]
+    folders = [
+        folder for run, batch in done for day in days
+        if _files(spark, folder := f"{path}/run={run}/batch_id={batch}/{partition}={day}")[0].exists(_files(spark, folder)[1])
+    ]
+    if len(folders) < 2:
+        return
+    rows = spark.read.schema(f"{schema}, {WRITTEN}").option("basePath", path).parquet(*folders)
+    folded = max((batch for run, batch in places if run == 0), default=-1) + 1
+    latest = latest_per(rows, keys, ["run", "batch_id", *order]).drop("run", "batch_id")
+    even_files(latest, partition).write.mode("errorifexists").partitionBy(partition).parquet(f"{path}/run=0/batch_id={folded}")
+    for folder in folders:
+        files, at = _files(spark, folder)
+        files.delete(at, True)

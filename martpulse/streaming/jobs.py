@@ -1,7 +1,12 @@
 """The streaming jobs: a transformation each, and a ``start_`` function that runs it into its table.
 
-Feeds have columns (topic, value, timestamp). Every start takes a checkpoint folder; batches are written below
-their own ``batch_id``, so a batch replayed after a failure replaces itself.
+Feeds have columns (topic, value, timestamp, pos). Every start takes a checkpoint folder; batches are written below
+their own run and ``batch_id``, so a batch replayed after a failure replaces itself, and a job with a new checkpoint
+replaces nothing.
+
+The watermarks of the device and alert jobs follow the devices' clocks. A clock that runs ahead of the arrival of its
+message by more than ``ahead`` would close windows for everyone: such rows are kept out of these jobs, and
+``start_aside`` writes them, with malformed messages, to a side table.
 """
 
 from __future__ import annotations
@@ -19,8 +24,8 @@ from martpulse.operators.joins import replicated, salted
 from martpulse.operators.keyed import latest_per
 from martpulse.plans import alerts, changes, sales
 from martpulse.plans.orders import order_rows
-from martpulse.sources.feeds import parse
-from martpulse.sources.sinks import read_all, write_batch
+from martpulse.sources.feeds import ahead, parse, unsound
+from martpulse.sources.sinks import read_all, read_latest, write_batch
 
 DOCUMENT_DAY = "ingest_date"
 
@@ -72,15 +77,40 @@ def to_console(rows: DataFrame, checkpoint: str, trigger: dict) -> StreamingQuer
 # --- daily devices ----------------------------------------------------------------------------
 
 DEVICE_COLUMNS = ["mid", "uid", "appid", "area", "os", "ch", "type", "vs", "log_date", "log_hour", "ts"]
+AHEAD = "10 minutes"
 DEVICE_TABLE = (
     "mid STRING, uid STRING, appid STRING, area STRING, os STRING, ch STRING, type STRING, vs STRING, "
     "log_hour STRING, ts BIGINT, log_date STRING"
 )
 
 
-def parsed_logs(feed: DataFrame, schema=schemas.STARTUP_LOG) -> DataFrame:
-    logs = parse(feed, schema, "mid")
-    return logs.withColumn("event_ts", from_millis(F.col("ts")))
+def parsed_logs(feed: DataFrame, schema=schemas.STARTUP_LOG, most_ahead: str = AHEAD) -> DataFrame:
+    """Sound logs with ``event_ts``, without those whose clock runs ahead."""
+    logs = parse(feed, schema, "mid", keep=("timestamp",)).withColumn("event_ts", from_millis(F.col("ts")))
+    return logs.where(~ahead(F.col("event_ts"), F.col("timestamp"), most_ahead)).drop("timestamp")
+
+
+ASIDE_TABLE = "topic STRING, value STRING, timestamp TIMESTAMP, why STRING"
+
+
+def aside(feed: DataFrame, schema, key: str, most_ahead: str = AHEAD) -> DataFrame:
+    """Messages that the jobs leave out, and why: ``malformed`` or ``ahead``."""
+    record = F.from_json("value", schema)
+    bad = feed.select("topic", "value", "timestamp", unsound(schema, key, lambda name: record[name]).alias("bad"), (
+        ahead(from_millis(record["ts"].try_cast("bigint")), F.col("timestamp"), most_ahead)
+        if "ts" in schema.fieldNames() else F.lit(False)
+    ).alias("early"))
+    why = F.when(F.col("bad"), "malformed").when(F.col("early"), "ahead")
+    return bad.select("topic", "value", "timestamp", why.alias("why")).where(F.col("why").isNotNull())
+
+
+def start_aside(feed: DataFrame, schema, key: str, table: str, checkpoint: str, trigger: dict | None = None):
+    """The side table of a feed: nothing a job leaves out is lost."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        write_batch(batch, batch_id, table)
+
+    return _run(aside(feed, schema, key), write, checkpoint, trigger or {"processingTime": K.TRIGGER_LOGS})
 
 
 def new_logins(feed: DataFrame, late: str = "1 hour") -> DataFrame:
@@ -111,6 +141,11 @@ def start_devices(feed: DataFrame, table: str, checkpoint: str, trigger: dict |
     return _run(new_logins(feed, late), write, checkpoint, trigger or {"processingTime": K.TRIGGER_LOGS}, "update")
 
 
+def stored_devices(spark: SparkSession, table: str) -> DataFrame:
+    """The device table as ``devices.stored_total`` and the like take it."""
+    return read_all(spark, table, DEVICE_TABLE)
+
+
 # --- orders -------------------------------------------------------------------------------------
 
 ORDER_TABLE = ", ".join(
@@ -138,17 +173,30 @@ def start_orders(feed: DataFrame, table: str, checkpoint: str, trigger: dict | N
     return _run(rows, write, checkpoint, trigger or {"processingTime": K.TRIGGER_ORDERS})
 
 
+def stored_orders(spark: SparkSession, table: str, columns: list[str] | None = None) -> DataFrame:
+    """The newest order per id. Its day is a key, so filters on it reach the scan, and only ``columns`` are read."""
+    return read_latest(spark, table, ORDER_TABLE, ["create_period", "create_date", "id"], ["seen_at"], columns)
+
+
 # --- users --------------------------------------------------------------------------------------
 
-USER_TABLE = "id STRING, login_name STRING, user_level STRING, birthday DATE, gender STRING, seen_at TIMESTAMP"
+USER_BUCKETS = 64
+USER_TABLE = (
+    "id STRING, login_name STRING, user_level STRING, birthday DATE, gender STRING, seen_at TIMESTAMP, pos INT, bucket INT"
+)
+
+
+def user_bucket(id_: Column) -> Column:
+    return F.pmod(F.crc32(id_), F.lit(USER_BUCKETS)).cast("int")
 
 
 def start_users(feed: DataFrame, table: str, checkpoint: str, trigger: dict | None = None):
-    """The user table: newest record per id."""
-    users = parse(feed, schemas.USER_INFO, "id", keep=("timestamp",)).withColumnRenamed("timestamp", "seen_at")
+    """The user table: newest record per id, by time and place in its change entry, in folders by bucket of ids."""
+    users = parse(feed, schemas.USER_INFO, "id", keep=("timestamp", "pos")).withColumnRenamed("timestamp", "seen_at")
+    users = users.withColumn("bucket", user_bucket(F.col("id")))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_batch(latest_per(batch, ["id"], ["seen_at"]), batch_id, table)
+        write_batch(latest_per(batch, ["id"], ["seen_at", "pos"]), batch_id, table, "bucket")
 
     return _run(users, write, checkpoint, trigger or {"processingTime": K.TRIGGER_ORDERS})
 
@@ -156,12 +204,14 @@ def start_users(feed: DataFrame, table: str, checkpoint: str, trigger: dict | No
 def current_users(spark: SparkSession, table: str, only: DataFrame | None = None) -> DataFrame:
     """The newest record per user, of all users or of those whose ``id`` is in ``only``.
 
-    The choice comes before the folding, so looking up a batch's buyers does not fold everyone's records.
+    The choice comes before the folding, so looking up a batch's buyers does not fold everyone's records, and only the
+    buckets of these buyers are read: at most USER_BUCKETS numbers are fetched for that.
     """
     records = read_all(spark, table, USER_TABLE)
     if only is not None:
-        records = records.join(only, "id", "left_semi")
-    return latest_per(records, ["id"], ["batch_id", "seen_at"]).drop("batch_id")
+        buckets = [r.b for r in only.select(user_bucket(F.col("id")).alias("b")).distinct().collect()]
+        records = records.where(F.col("bucket").isin(buckets)).join(only, "id", "left_semi")
+    return latest_per(records, ["id"], ["seen_at", "pos", "run", "batch_id"]).drop("run", "batch_id", "pos", "bucket")
 
 
 # --- change log ---------------------------------------------------------------------------------
@@ -169,7 +219,7 @@ def current_users(spark: SparkSession, table: str, only: DataFrame | None = None
 
 def start_changes(entries: DataFrame, folder: str, checkpoint: str, trigger: dict | None = None):
     """Changes to topics, as files below ``topic=<name>``: the broker sink writes the same rows."""
-    rows = changes.flattened(changes.routed(entries)).select("topic", "value", "timestamp")
+    rows = changes.flattened(changes.routed(entries)).select("topic", "value", "timestamp", "pos")
     return (
         rows.writeStream.format("parquet").partitionBy("topic").option("path", folder)
         .option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": K.TRIGGER_LOGS})).start()
@@ -177,10 +227,16 @@ def start_changes(entries: DataFrame, folder: str, checkpoint: str, trigger: dic
 
 
 def start_changes_to_broker(entries: DataFrame, servers: str, checkpoint: str, trigger: dict | None = None):
-    """Changes to the broker's topics; needs Spark's kafka connector on the class path."""
-    rows = changes.flattened(changes.routed(entries)).select("topic", "value")
+    """Changes to the broker's topics; needs Spark's kafka connector on the class path.
+
+    The key is the row's own id, so that its changes stay in one partition and in order; ``pos`` goes along as a header.
+    """
+    rows = changes.flattened(changes.routed(entries))
+    key = F.concat_ws("/", "topic", F.get_json_object("value", "$.id"))
+    header = F.array(F.struct(F.lit("pos").alias("key"), F.col("pos").cast("string").cast("binary").alias("value")))
+    rows = rows.select("topic", key.alias("key"), "value", header.alias("headers"))
     return (
-        rows.writeStream.format("kafka").option("kafka.bootstrap.servers", servers)
+        rows.writeStream.format("kafka").option("kafka.bootstrap.servers", servers).option("includeHeaders", "true")
         .option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": K.TRIGGER_LOGS})).start()
     )
 
@@ -238,7 +294,7 @@ def start_alerts(
 
 # --- sale detail ----------------------------------------------------------------------------------
 
-SALE_TABLE = schemas.SALE_DETAIL + ", ingest_date STRING"
+SALE_TABLE = schemas.SALE_DETAIL + ", ingest_date STRING, sale_period STRING"
 
 
 def matched_sales(
@@ -266,22 +322,34 @@ def matched_sales(
 
 def start_sales(
     order_feed: DataFrame, detail_feed: DataFrame, users: Callable[[DataFrame], DataFrame], table: str,
-    checkpoint: str, as_of: str, trigger: dict | None = None, ingest_date: Column | None = None, **options,
+    checkpoint: str, as_of: str | None = None, trigger: dict | None = None, ingest_date: Column | None = None,
+    period: str = "day", **options,
 ):
-    """Sale documents with buyer, upserted by line id, by day of writing.
+    """Sale documents with buyer, upserted by line id, in folders by day (or month) of the sale; ``ingest_date`` is a column.
 
-    ``users`` is called for every batch with the ids of its buyers and returns their records as they are then.
+    ``users`` is called for every batch with the ids of its buyers and returns their records as they are then. Ages are
+    those on ``as_of``, or on the day the batch is written.
     """
     day = date_text(F.current_timestamp()) if ingest_date is None else ingest_date
+    length = {"day": 10, "month": 7}[period]
 
     def write(batch: DataFrame, batch_id: int) -> None:
         newest = latest_per(batch, ["order_detail_id"], ["order_ts", "detail_ts"]).persist()
         try:
             buyers = newest.select(F.col("user_id").alias("id")).distinct()
-            rows = sales.with_users(newest, users(buyers), as_of)
-            rows = rows.withColumn(DOCUMENT_DAY, day)
-            write_batch(rows.select(*schemas.SALE_DETAIL_COLUMNS, DOCUMENT_DAY), batch_id, table, DOCUMENT_DAY)
+            today = as_of or str(batch.sparkSession.range(1).select(F.current_date()).first()[0])
+            rows = sales.with_users(newest, users(buyers), today)
+            rows = rows.withColumn(DOCUMENT_DAY, day).withColumn("sale_period", F.substring("dt", 1, length))
+            write_batch(rows.select(*schemas.SALE_DETAIL_COLUMNS, DOCUMENT_DAY, "sale_period"), batch_id, table, "sale_period")
         finally:
             newest.unpersist()
 
     return _run(matched_sales(order_feed, detail_feed, **options), write, checkpoint, trigger or {"processingTime": K.TRIGGER_ORDERS})
+
+
+def stored_sales(spark: SparkSession, table: str, columns: list[str] | None = None, date: str | None = None) -> DataFrame:
+    """The newest sale document per line; the day of a sale is a key, so that its filter prunes folders and columns."""
+    rows = read_latest(spark, table, SALE_TABLE, ["sale_period", "dt", "order_detail_id"], columns=columns)
+    if date:
+        rows = rows.where(F.col("sale_period").isin(date, date[:7]) & (F.col("dt") == date))
+    return rows

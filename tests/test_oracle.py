@@ -4,8 +4,8 @@ import pytest
 from compare import connect, spark_result, sql_result
 
 import __spark_entry__ as driver
-
-QUERIES, SQL = driver.queries(), driver.oracle_sql()
+from martpulse.catalog.oracle import SQL
+from martpulse.catalog.queries import ALL as QUERIES
 
 
 @pytest.fixture(scope="module")

@@ -24,7 +24,7 @@ def one(spark, *columns):
 
 
 def feed(spark, *values):
-    rows = [("t", v if isinstance(v, (str, type(None))) else json.dumps(v), dt.datetime(2024, 1, 1)) for v in values]
+    rows = [("t", v if isinstance(v, (str, type(None))) else json.dumps(v), dt.datetime(2024, 1, 1), None) for v in values]
     return spark.createDataFrame(rows, schemas.FEED)
 
 

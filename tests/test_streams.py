@@ -28,7 +28,7 @@ class Runner:
 
     def send(self, **messages):
         for feed, rows in messages.items():
-            data = [("t", m if isinstance(m, str) else json.dumps(m), dt.datetime.fromisoformat(at)) for at, m in rows]
+            data = [("t", m if isinstance(m, str) else json.dumps(m), dt.datetime.fromisoformat(at), None) for at, m in rows]
             self.spark.createDataFrame(data, schemas.FEED).coalesce(1).write.mode("append").parquet(self.paths[feed])
         query = self.start(self)
         assert query.awaitTermination(120)
@@ -230,3 +230,142 @@ def test_a_compacted_table_takes_over_with_the_same_checkpoint(spark, tmp_path):
     rows = read_latest(spark, folded, jobs.ORDER_TABLE, ["id"], ["seen_at"])
     assert sorted((r.id, r.user_id) for r in rows.collect()) == [("1", "u3"), ("2", "u2")]
     assert read_all(spark, folded, jobs.ORDER_TABLE).count() == 3
+
+
+# --- tables that outlive a checkpoint -----------------------------------------------------------
+
+
+def test_a_new_checkpoint_keeps_old_rows_and_still_upserts(spark, tmp_path):
+    runner = Runner(spark, tmp_path, lambda r: jobs.start_orders(r.feed(), r.table, r.checkpoint, NOW))
+    runner.send(**{"in": [order("2024-01-01T10:00:00", "1"), order("2024-01-01T10:00:00", "2")]})
+    runner.checkpoint = str(tmp_path / "another")
+    spark.createDataFrame([], schemas.FEED).write.parquet(str(tmp_path / "later"))
+    runner.paths["in"] = str(tmp_path / "later")
+    runner.send(**{"in": [("2024-01-01T12:00:00", order("2024-01-01T10:00:00", "2", "u2")[1]), order("2024-01-01T13:00:00", "3")]})
+    runner.send(**{"in": [order("2024-01-01T14:00:00", "4")]})
+    rows = jobs.stored_orders(spark, runner.table)
+    assert sorted((r.id, r.user_id) for r in rows.collect()) == [("1", "u1"), ("2", "u2"), ("3", "u1"), ("4", "u1")]
+    runs = {(r.run, r.batch_id) for r in read_all(spark, runner.table, jobs.ORDER_TABLE).collect()}
+    assert runs == {(1, 0), (2, 0), (2, 1)}
+
+
+def test_closed_days_are_folded_beside_the_running_job(spark, tmp_path):
+    from martpulse.sources.sinks import fold_days
+
+    runner = Runner(spark, tmp_path, lambda r: jobs.start_orders(r.feed(), r.table, r.checkpoint, NOW))
+    keys = ["create_period", "id"]
+    for hour, user in ((10, "a"), (11, "b"), (12, "c")):
+        again = ("2024-01-01T%02d:30:00" % hour, order("2024-01-01T10:00:00", "1", user)[1])
+        runner.send(**{"in": [again, order("2024-01-01T%02d:00:00" % hour, f"x{hour}"), order("2024-01-02T09:00:00", f"y{hour}")]})
+    runner.send(**{"in": [order("2024-01-03T09:00:00", "z")]})
+    before = sorted(map(tuple, jobs.stored_orders(spark, runner.table).collect()))
+    fold_days(spark, runner.table, jobs.ORDER_TABLE, keys, "create_period", ["2024-01-01"], ["seen_at"])
+    assert sorted(map(tuple, jobs.stored_orders(spark, runner.table).collect())) == before
+    kept = read_all(spark, runner.table, jobs.ORDER_TABLE).where("create_period = '2024-01-01'")
+    assert kept.count() == 4 and {(r.run, r.batch_id) for r in kept.collect()} == {(0, 0)}
+    runner.send(**{"in": [("2024-01-03T10:00:00", order("2024-01-01T10:00:00", "1", "d")[1])]})
+    runner.send(**{"in": [order("2024-01-03T11:00:00", "zz")]})
+    fold_days(spark, runner.table, jobs.ORDER_TABLE, keys, "create_period", ["2024-01-01"], ["seen_at"])
+    rows = {r.id: r.user_id for r in jobs.stored_orders(spark, runner.table).collect()}
+    assert rows["1"] == "d" and len(rows) == 9
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_questions_to_stored_tables_prune_days_and_columns(spark, tmp_path):
+    from martpulse.plans import orders as order_plans
+
+    runner = Runner(spark, tmp_path, lambda r: jobs.start_orders(r.feed(), r.table, r.checkpoint, NOW))
+    runner.send(**{"in": [order("2024-01-01T10:00:00", "1"), order("2024-01-02T10:00:00", "2")]})
+    stored = jobs.stored_orders(spark, runner.table, ["total_amount", "create_hour"])
+    asked = plan(order_plans.turnover(stored, "2024-01-01"))
+    scan = asked[asked.index("FileScan"):]
+    assert "create_period" in scan[scan.index("PartitionFilters"):scan.index("PushedFilters")]
+    assert "consignee" not in scan[scan.index("ReadSchema"):] and "EqualTo(create_date,2024-01-01)" in scan or "In(create_date" in scan
+
+
+def test_buyers_are_read_from_their_buckets_only(spark, tmp_path):
+    runner = Runner(spark, tmp_path, lambda r: jobs.start_users(r.feed(), r.table, r.checkpoint, NOW))
+    runner.send(**{"in": [("2024-01-01T10:00:00", {"id": str(i), "user_level": "1"}) for i in range(50)]})
+    only = spark.createDataFrame([("7",)], "id STRING")
+    asked = jobs.current_users(spark, runner.table, only)
+    assert [r.id for r in asked.collect()] == ["7"]
+    text = plan(asked)
+    assert "PartitionFilters: [bucket" in text or "PartitionFilters: [isnotnull(bucket" in text
+
+
+def test_stored_devices_answer_the_dashboard(spark, devices):
+    from martpulse.plans import cards
+    from martpulse.plans import devices as device_plans
+
+    devices.send(**{"in": [log("2024-01-01T09:00:00", "a"), log("2024-01-01T23:30:00", "b"), log("2024-01-02T00:10:00", "a")]})
+    stored = jobs.stored_devices(spark, devices.table)
+    assert device_plans.stored_total(stored, "2024-01-01").first().dau == 2
+    hours = {r.hour: (r.yesterday, r.today) for r in cards.hourly_compare("dau", stored, "2024-01-02").collect()}
+    assert len(hours) == 24 and hours["09"] == (1, 0) and hours["00"] == (0, 1)
+    assert json.loads(cards.hourly_json("dau", stored, "2024-01-02").first().response) == {"yesterday": {"09": 1, "23": 1}, "today": {"00": 1}}
+
+
+# --- clocks and messages that are wrong ---------------------------------------------------------
+
+
+def test_a_wrong_clock_or_number_costs_only_its_own_row(spark, tmp_path, devices):
+    huge = ("2024-01-01T10:00:00", {"mid": "huge", "ts": 2**63 - 1})
+    text = ("2024-01-01T10:00:00", {"mid": "text", "ts": "soon"})
+    future = ("2024-01-01T10:00:00", log("2030-01-01T00:00:00", "future")[1])
+    devices.send(**{"in": [log("2024-01-01T10:00:00", "a"), huge, text, future, ("2024-01-01T10:00:00", "{oops")]})
+    devices.send(**{"in": [log("2024-01-01T11:00:00", "b"), log("2024-01-01T12:00:00", "c")]})
+    assert [x[0] for x in logins(spark, devices)] == ["a", "b", "c"]
+
+    table = str(tmp_path / "aside")
+    query = jobs.start_aside(devices.feed(), schemas.STARTUP_LOG, "mid", table, str(tmp_path / "aside-checkpoint"), NOW)
+    assert query.awaitTermination(120)
+    rows = read_all(spark, table, jobs.ASIDE_TABLE).collect()
+    assert sorted(r.why for r in rows) == ["ahead", "malformed", "malformed", "malformed"]
+
+
+def test_images_of_one_entry_keep_their_order(spark, tmp_path):
+    """Two images of a user in one change entry share their time; the later one stays, in either order of the files."""
+    at = dt.datetime(2024, 1, 1, 10)
+    images = [("t", json.dumps({"id": "1", "user_level": str(pos)}), at, pos) for pos in range(2)]
+    for name, rows in (("up", images), ("down", images[::-1])):
+        folder = tmp_path / name
+        spark.createDataFrame([], schemas.FEED).write.parquet(str(folder / "in"))
+        for row in rows:
+            spark.createDataFrame([row], schemas.FEED).coalesce(1).write.mode("append").parquet(str(folder / "in"))
+        feed = file_feed(stream_session(spark, partitions=2), str(folder / "in"), 1)
+        assert jobs.start_users(feed, str(folder / "table"), str(folder / "checkpoint"), NOW).awaitTermination(120)
+        assert [r.user_level for r in jobs.current_users(spark, str(folder / "table")).collect()] == ["1"]
+
+
+def test_rows_without_a_device_alert_nowhere(spark):
+    from martpulse.plans import alerts
+
+    rows = [(None, f"u{i}", "coupon", "i", dt.datetime(2024, 1, 1, 10, i)) for i in range(4)]
+    events = spark.createDataFrame(rows, "mid STRING, uid STRING, evid STRING, itemid STRING, ts TIMESTAMP")
+    assert alerts.detect(events, "1 hour", "10 minutes").count() == 0
+    assert alerts.documents(events, "1 hour", "10 minutes").count() == 0
+
+
+def test_odd_hours_and_hours_that_sum_to_nothing_stay(spark):
+    from martpulse.plans import cards
+
+    rows = [("2024-01-01", "10", 5.0), ("2024-01-01", "10", -5.0), ("2024-01-01", "", 3.0), ("2024-01-01", "11", float("nan")), ("2024-01-01", "11", 1e20)]
+    orders = spark.createDataFrame(rows, "create_date STRING, create_hour STRING, total_amount DOUBLE")
+    series = {r.hour: r.today for r in cards.hourly_compare("order_amount", orders, "2024-01-01").collect()}
+    assert len(series) == 25 and series["other"] == 3.0 and series["10"] == 0.0
+    answer = json.loads(cards.hourly_json("order_amount", orders, "2024-01-01").first().response)
+    assert answer["today"] == {"": 3.0, "10": 0.0}
+
+
+def test_console_on_a_clock_trigger(spark, tmp_path):
+    spark.createDataFrame([], schemas.FEED).write.parquet(str(tmp_path / "in"))
+    feed = file_feed(stream_session(spark, partitions=2), str(tmp_path / "in"))
+    query = jobs.to_console(feed, str(tmp_path / "checkpoint"), {"processingTime": "1 second"})
+    try:
+        assert query.isActive
+        query.processAllAvailable()
+    finally:
+        query.stop()
