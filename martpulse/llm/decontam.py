@@ -1,16 +1,18 @@
 """Benchmark decontamination: BM25 over test items with block-max WAND, then overlap of question and answer.
 
 The test items are indexed by term; an entry's impact is its BM25 contribution divided by the item's score for itself, so one
-threshold fits long and short items. Every training text is cut into passages of two item lengths, one item length
-apart, so that any occurrence of an item lies whole within a passage, and every passage is a query: block-max WAND
-returns all items at or above the threshold. An item found counts as leaked if enough of the word n-grams of both its
+threshold fits long and short items. Every training text is cut into passages of one and a half lengths of the longest
+item, half such a length apart, so that any occurrence of an item lies whole within a passage, and every passage is a query: all items
+at or above the threshold are returned. An item found counts as leaked if enough of the word n-grams of both its
 question and its answer occur in the passage.
 
-Queries run a text at a time: the sums of block maxima of all its passages come from running sums over its words, and
-only passages in which some block of items can reach the threshold are walked with cursors.
+With a fixed threshold, the pivots of block-max WAND are the blocks of items whose terms' block maxima add up to the
+threshold; all others are skipped unseen. Running sums of block maxima over a text's words bound all its passages at once,
+with repeated words counted each time; passages left are bounded again with each term once, and the items of the blocks
+still left are scored from their postings.
 
-Items are indexed in shards of ``shard_items``, each broadcast on its own; document frequencies are those of all items.
-The texts are never shuffled.
+Items are indexed in shards of ``shard_items``, each broadcast on its own and compared in a pass of its own;
+document frequencies are those of all items. The texts are never shuffled.
 
 Defined cases: null texts are empty and leak nothing; items without words, and null ones, match nothing; repeated items or rows
 give a row each; a null doc_id is kept; other columns are ignored or kept as they are.
@@ -22,6 +24,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +33,7 @@ from pyspark.sql import functions as F
 
 TERM = re.compile(r"\w+")
 K1, B = 1.2, 0.75  # the usual BM25 parameters
-BLOCK = 16
+BLOCK = 4
 GRAM = 3
 CHUNK_WORDS = 200_000
 SCHEMA = "item_id long, score double, question_overlap double, answer_overlap double, word long"
@@ -68,87 +71,68 @@ def overlap(part: list[str], passage: list[str]) -> float:
 
 @dataclass
 class Index:
-    """One shard: postings by term in order of item, with the largest impact per block of ``BLOCK`` items."""
+    """One shard, in blocks of ``BLOCK`` items: the largest impact of each term, and the postings of each block."""
 
     ids: list[int]
     parts: list[tuple[list[str], list[str]]]
     terms: dict[str, int]
-    items: list[np.ndarray]
-    impacts: list[np.ndarray]
     block_max: np.ndarray
+    postings: list[tuple[np.ndarray, np.ndarray]]
     longest: int
 
     @property
     def blocks(self) -> int:
         return self.block_max.shape[1]
 
+    @property
+    def step(self) -> int:
+        return max(4, self.longest // 2)
+
 
 def build_index(items: list[tuple[int, str]], df: dict[str, int], n_items: int, mean: float) -> Index:
     """Items are indexed in order of length, so that blocks hold alike items."""
     items = sorted(((i, t or "") for i, t in items), key=lambda x: (len(words(x[1])), x[0]))
-    postings: dict[str, list[tuple[int, float]]] = {}
-    for place, (_, text) in enumerate(items):
+    terms: dict[str, int] = {}
+    weights: list[dict[int, float]] = []
+    for _, text in items:
         tokens = words(text)
         parts = {
             t: np.log(1 + (n_items - df.get(t, 1) + 0.5) / (df.get(t, 1) + 0.5)) * n * (K1 + 1) / (n + K1 * (1 - B + B * len(tokens) / mean))
             for t, n in Counter(tokens).items()
         }
         total = sum(parts.values())
-        for t, part in parts.items():
-            postings.setdefault(t, []).append((place, part / total))
-    terms = {t: i for i, t in enumerate(postings)}
-    lists = [np.array([p for p, _ in own], np.int64) for own in postings.values()]
-    impacts = [np.array([w for _, w in own]) for own in postings.values()]
-    tops = np.zeros((len(terms), max(1, -(-len(items) // BLOCK))), np.float32)
-    for t, (own, weight) in enumerate(zip(lists, impacts, strict=True)):
-        np.maximum.at(tops[t], own // BLOCK, weight.astype(np.float32))
+        weights.append({terms.setdefault(t, len(terms)): part / total for t, part in parts.items()})
+    blocks = [weights[i : i + BLOCK] for i in range(0, len(items), BLOCK)] or [[]]
+    tops, postings = np.zeros((len(terms), len(blocks)), np.float32), []
+    for k, block in enumerate(blocks):
+        own = sorted(set().union(*block))
+        table = np.array([[item.get(t, 0.0) for item in block] for t in own]).reshape(len(own), len(block))
+        tops[own, k] = table.max(axis=1, initial=0.0)
+        postings.append((np.array(own, np.int64), table))
     longest = max((len(words(t)) for _, t in items), default=1)
-    return Index(
-        [i for i, _ in items], [question_answer(t) for _, t in items], terms, lists, impacts, tops, max(longest, 8)
-    )
+    return Index([i for i, _ in items], [question_answer(t) for _, t in items], terms, tops, postings, max(longest, 8))
+
 
+SLACK = 1e-5  # block maxima are single precision
 
-def block_max_wand(query: list[int], index: Index, threshold: float) -> list[tuple[int, float]]:
-    """All (place, score) with score >= threshold for a query of distinct term numbers.
 
-    The pivot is the first cursor, in order of item, at which the sum of the terms' maxima reaches the threshold; no
-    earlier item can. If the block maxima at the pivot do not reach it either, the whole block is skipped.
+def block_max_wand(query: np.ndarray, index: Index, threshold: float, blocks: np.ndarray | None = None) -> list[tuple[int, float]]:
+    """All (place, score) with score >= threshold for a query of distinct term numbers, within ``blocks`` or all.
+
+    A block is a pivot if its terms' block maxima reach the threshold; its items are then scored.
     """
-    slack = 1e-6
-    top = index.block_max.max(axis=1) if len(index.block_max) else np.zeros(0)
-    cursors = [[int(index.items[t][0]), 0, t] for t in query]
+    blocks = np.arange(index.blocks) if blocks is None else blocks
+    bounds = index.block_max[query[:, None], blocks].sum(axis=0)
+    pivots = blocks[bounds >= threshold - SLACK]
+    if not len(pivots):
+        return []
+    asked = np.zeros(len(index.terms), bool)
+    asked[query] = True
     found = []
-    while cursors:
-        cursors.sort()
-        bound, at = 0.0, -1
-        for i, (_, _, t) in enumerate(cursors):
-            bound += top[t]
-            if bound >= threshold - slack:
-                at = i
-                break
-        if at < 0:
-            break
-        pivot = cursors[at][0]
-        while at + 1 < len(cursors) and cursors[at + 1][0] == pivot:
-            at += 1
-        block = pivot // BLOCK
-        if sum(float(index.block_max[t, block]) for _, _, t in cursors[: at + 1]) < threshold - slack:
-            goal = (block + 1) * BLOCK
-            if at + 1 < len(cursors):
-                goal = min(goal, cursors[at + 1][0])
-            moved = cursors[: at + 1]
-        elif cursors[0][0] == pivot:
-            score = sum(float(index.impacts[t][p]) for _, p, t in cursors[: at + 1])
-            if score >= threshold:
-                found.append((pivot, score))
-            goal, moved = pivot + 1, cursors[: at + 1]
-        else:
-            goal, moved = pivot, [c for c in cursors[:at] if c[0] < pivot]
-        for c in moved:
-            own = index.items[c[2]]
-            c[1] += int(np.searchsorted(own[c[1] :], goal))
-            c[0] = int(own[c[1]]) if c[1] < len(own) else -1
-        cursors = [c for c in cursors if c[0] >= 0]
+    for k in pivots.tolist():
+        own, table = index.postings[k]
+        scores = table[asked[own]].sum(axis=0)
+        found += [(k * BLOCK + i, float(scores[i])) for i in np.flatnonzero(scores >= threshold).tolist()]
     return found
 
 
@@ -158,24 +142,22 @@ def leaks(text: str | None, index: Index, threshold: float, question: float, ans
     if not index.terms or not text:
         return []
     tokens = words(text)
-    step = index.longest
+    step, window = index.step, index.longest + index.step
     for base in range(0, max(1, len(tokens)), CHUNK_WORDS):
-        part = tokens[base : base + CHUNK_WORDS + 2 * step]  # chunks overlap by a passage
-        numbers = np.fromiter((index.terms.get(w, -1) for w in part), np.int64, len(part))
+        part = tokens[base : base + CHUNK_WORDS + window]  # chunks overlap by a passage
+        numbers = np.fromiter(map(index.terms.get, part, repeat(-1)), np.int64, len(part))
         known = np.flatnonzero(numbers >= 0)
         if not len(known):
             continue
         run = np.zeros((len(known) + 1, index.blocks))
         np.cumsum(index.block_max[numbers[known]], axis=0, out=run[1:])
-        starts = np.arange(0, max(1, len(part) - step), step)
-        low, high = np.searchsorted(known, starts), np.searchsorted(known, starts + 2 * step)
-        bounds = (run[high] - run[low]).max(axis=1)
-        for i in np.flatnonzero(bounds >= threshold - 1e-6):
-            passage = part[starts[i] : starts[i] + 2 * step]
+        starts = np.arange(0, max(1, len(part) - index.longest + 1), step)
+        low, high = np.searchsorted(known, starts), np.searchsorted(known, starts + window)
+        may = run[high] - run[low] >= threshold - SLACK
+        for i in np.flatnonzero(may.any(axis=1)).tolist():
             query = np.unique(numbers[known[low[i] : high[i]]])
-            if index.block_max[query].sum(axis=0).max() < threshold - 1e-6:  # repeated words counted once
-                continue
-            for place, score in block_max_wand(query.tolist(), index, threshold):
+            passage = part[starts[i] : starts[i] + window]
+            for place, score in block_max_wand(query, index, threshold, np.flatnonzero(may[i])):
                 asked, told = (overlap(p, passage) for p in index.parts[place])
                 if asked >= question and told >= answer and score > found.get(place, (0, -1.0))[1]:
                     found[place] = (index.ids[place], score, asked, told, base + int(starts[i]))
@@ -200,8 +182,8 @@ def shards(benchmark: DataFrame, shard_items: int) -> Iterator[Index]:
 
 
 def find(
-    docs: DataFrame, benchmark: DataFrame, threshold: float = 0.5, question: float = 0.6, answer: float = 0.5,
-    shard_items: int = 20_000,
+    docs: DataFrame, benchmark: DataFrame, threshold: float = 0.6, question: float = 0.6, answer: float = 0.5,
+    shard_items: int = 2000,
 ) -> DataFrame:
     """One row per (document, leaked item)."""
     out = None
@@ -225,8 +207,8 @@ def find(
 
 
 def clean(
-    docs: DataFrame, benchmark: DataFrame, threshold: float = 0.5, question: float = 0.6, answer: float = 0.5,
-    shard_items: int = 20_000,
+    docs: DataFrame, benchmark: DataFrame, threshold: float = 0.6, question: float = 0.6, answer: float = 0.5,
+    shard_items: int = 2000,
 ) -> DataFrame:
     """The rows of ``docs`` that leak no item, in one pass per shard."""
     context = docs.sparkSession.sparkContext
