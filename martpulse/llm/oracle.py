@@ -111,3 +111,28 @@ select conv_id, participant, part, count(*)::int turns, string_agg(head || body,
        coalesce(string_agg((ends - length(body))::bigint || '-' || ends::bigint, ',' order by place) filter (where own), '') mask
 from placed group by conv_id, participant, part
 """
+
+SQL["op9_jaccard_join"] = r"""
+with recursive docs as (
+    select doc_id, [w for w in string_split_regex(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+') if w <> ''] w
+    from documents
+), sets as (
+    select doc_id, list_distinct([w[i:i + least(3, len(w)) - 1] for i in range(1, len(w) - least(3, len(w)) + 2)]) s
+    from docs where len(w) > 0
+), tokens as (
+    select doc_id, len(s) n, unnest(s) t from sets
+), pairs as (
+    select a.doc_id a, b.doc_id b, count(*) both_have, any_value(a.n) + any_value(b.n) as total
+    from tokens a join tokens b on a.t = b.t and a.doc_id <> b.doc_id group by 1, 2
+), links as (
+    select a, b from pairs where 100 * both_have >= 90 * (total - both_have)
+), reach as (
+    select doc_id node, doc_id root from documents
+    union
+    select l.b, r.root from reach r join links l on l.a = r.node
+)
+select d.doc_id, coalesce(s.n, 0)::bigint n_shingles, c.component_id
+from documents d left join (select doc_id, len(s) n from sets) s using (doc_id)
+join (select node, min(root) component_id from reach group by node) c on c.node = d.doc_id
+"""
