@@ -27,3 +27,8 @@ def test_same_result(spark, con, folder, name):
 
 def test_entry(spark):
     assert driver.entry(spark).count() > 0
+
+
+def test_entry_without_the_optional_subpackage(monkeypatch):
+    monkeypatch.setattr(driver.importlib.util, "find_spec", lambda name: None)
+    assert driver.queries() == QUERIES and driver.oracle_sql() == SQL
