@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from martpulse.llm.components import components
-from martpulse.llm.store import settle
+from martpulse.llm.store import pieces, settle
 
 ODD = np.uint64(0x9E3779B97F4A7C15)  # the usual odd multiplier
 SHIFT = np.uint64(31)
@@ -48,7 +48,7 @@ class WordHashes(dict):
     """Hashes of words seen by this process; emptied when it holds very many."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 1_000_000:
+        if len(self) >= 200_000:
             self.clear()
         value = self[word] = xxh64_intdigest(word)
         return value
@@ -151,7 +151,7 @@ def describe(docs: DataFrame, n: int) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             out = np.zeros((batch.num_rows, 3 + SKETCH), np.int64)
             for i, text in enumerate(batch.column(1).to_pylist()):
                 tokens = shingles(text, n)
@@ -182,7 +182,7 @@ def shared_keys(docs: DataFrame, n: int, percent: int, plan: dict[int, Band]) ->
     shared = docs.sparkSession.sparkContext.broadcast(plan)  # one entry per band: logarithmic in the largest size
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             found, owners = [], []
             for i, text in enumerate(batch.column(1).to_pylist()):
                 tokens = shingles(text, n)
@@ -212,7 +212,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             sets = [shingles(t, n).tobytes() for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["doc_id", "tokens"])
 
@@ -233,7 +233,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     kind = pairs.schema["a"].dataType.simpleString()
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             keep = []
             for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
                 p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from martpulse.session import work_dir
@@ -15,3 +18,10 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     path = work_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def pieces(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of at most ``rows`` rows, which bounds what a task holds as Python objects."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
