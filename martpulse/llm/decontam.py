@@ -1,13 +1,14 @@
 """Benchmark decontamination: BM25 over test items with block-max WAND, then overlap of question and answer.
 
 The test items are indexed by term; an entry's impact is its BM25 contribution divided by the item's score for itself, so one
-threshold fits long and short items. Every training text is cut into passages of one and a half lengths of the longest
+threshold fits long and short items. An item's cut is the threshold or, if that is less, the least score that a passage can
+have which passes both overlap bounds (:func:`cuts`), so retrieval loses no item that they accept. Every training text is cut into passages of one and a half lengths of the longest
 item, half such a length apart, so that any occurrence of an item lies whole within a passage, and every passage is a query: all items
-at or above the threshold are returned. An item found counts as leaked if enough of the word n-grams of both its
+at or above their cuts are returned. An item found counts as leaked if enough of the word n-grams of both its
 question and its answer occur in the passage.
 
-With a fixed threshold, the pivots of block-max WAND are the blocks of items whose terms' block maxima add up to the
-threshold; all others are skipped unseen. Running sums of block maxima over a text's words bound all its passages at once,
+With fixed cuts, the pivots of block-max WAND are the blocks of items whose terms' block maxima add up to the least cut
+in the block; all others are skipped unseen. Running sums of block maxima over a text's words bound all its passages at once,
 with repeated words counted each time; passages left are bounded again with each term once, and the items of the blocks
 still left are scored from their postings.
 
@@ -116,14 +117,48 @@ def build_index(items: list[tuple[int, str]], df: dict[str, int], n_items: int,
 SLACK = 1e-5  # block maxima are single precision
 
 
-def block_max_wand(query: np.ndarray, index: Index, threshold: float, blocks: np.ndarray | None = None) -> list[tuple[int, float]]:
-    """All (place, score) with score >= threshold for a query of distinct term numbers, within ``blocks`` or all.
+def cuts(index: Index, threshold: float, question: float, answer: float) -> np.ndarray:
+    """Per place the score to retrieve at: the threshold, or less where the overlap bounds accept passages below it.
 
-    A block is a pivot if its terms' block maxima reach the threshold; its items are then scored.
+    A passage with an n-gram has all its words. With each word's impact dealt over the n-grams that hold it, the impacts of
+    the n-grams found add up to at most the score, so the least of as many n-grams as a bound asks for are a lower limit.
+    """
+    out = np.full(len(index.ids), float(threshold))
+    if question <= 0 and answer <= 0:
+        return out
+    names = list(index.terms)
+    for place, (asked, told) in enumerate(index.parts):
+        own, table = index.postings[place // BLOCK]
+        impact = {names[t]: w for t, w in zip(own.tolist(), table[:, place % BLOCK].tolist(), strict=True)}
+        bounds = [(grams(asked), max(question, answer))] if asked == told else [(grams(asked), question), (grams(told), answer)]
+        best = 0.0
+        for some in [bounds, *([b] for b in bounds)]:
+            held = Counter(w for found, _ in some for g in found for w in set(g))
+            least = 0.0
+            for found, share in some:
+                dealt = sorted(sum(impact[w] / held[w] for w in set(g)) for g in found)
+                least += sum(dealt[: max(0, int(np.ceil(share * len(dealt) - 1e-9)))])
+            best = max(best, least)
+        out[place] = min(threshold, best - SLACK)
+    return out
+
+
+def _block_cuts(index: Index, threshold: float | np.ndarray) -> np.ndarray:
+    per_item = np.broadcast_to(np.asarray(threshold, float), len(index.ids))
+    return np.minimum.reduceat(per_item, np.arange(0, len(per_item), BLOCK)) if len(per_item) else np.ones(index.blocks)
+
+
+def block_max_wand(
+    query: np.ndarray, index: Index, threshold: float | np.ndarray, blocks: np.ndarray | None = None
+) -> list[tuple[int, float]]:
+    """All (place, score) with score >= threshold (one, or one per place) for a query of distinct term numbers, within ``blocks`` or all.
+
+    A block is a pivot if its terms' block maxima reach the least threshold in it; its items are then scored.
     """
     blocks = np.arange(index.blocks) if blocks is None else blocks
+    per_item = np.broadcast_to(np.asarray(threshold, float), len(index.ids))
     bounds = index.block_max[query[:, None], blocks].sum(axis=0)
-    pivots = blocks[bounds >= threshold - SLACK]
+    pivots = blocks[bounds >= _block_cuts(index, threshold)[blocks] - SLACK]
     if not len(pivots):
         return []
     asked = np.zeros(len(index.terms), bool)
@@ -132,11 +167,11 @@ def block_max_wand(query: np.ndarray, index: Index, threshold: float, blocks: np
     for k in pivots.tolist():
         own, table = index.postings[k]
         scores = table[asked[own]].sum(axis=0)
-        found += [(k * BLOCK + i, float(scores[i])) for i in np.flatnonzero(scores >= threshold).tolist()]
+        found += [(k * BLOCK + i, float(scores[i])) for i in np.flatnonzero(scores >= per_item[k * BLOCK : (k + 1) * BLOCK]).tolist()]
     return found
 
 
-def leaks(text: str | None, index: Index, threshold: float, question: float, answer: float) -> list[tuple]:
+def leaks(text: str | None, index: Index, threshold: float | np.ndarray, question: float, answer: float) -> list[tuple]:
     """(item_id, score, question_overlap, answer_overlap, first word of the passage) per leaked item."""
     found: dict[int, tuple] = {}
     if not index.terms or not text:
@@ -153,7 +188,7 @@ def leaks(text: str | None, index: Index, threshold: float, question: float, ans
         np.cumsum(index.block_max[numbers[known]], axis=0, out=run[1:])
         starts = np.arange(0, max(1, len(part) - index.longest + 1), step)
         low, high = np.searchsorted(known, starts), np.searchsorted(known, starts + window)
-        may = run[high] - run[low] >= threshold - SLACK
+        may = run[high] - run[low] >= _block_cuts(index, threshold) - SLACK
         for i in np.flatnonzero(may.any(axis=1)).tolist():
             query = np.unique(numbers[known[low[i] : high[i]]])
             passage = part[starts[i] : starts[i] + window]
@@ -182,7 +217,7 @@ def shards(benchmark: DataFrame, shard_items: int) -> Iterator[Index]:
 
 
 def find(
-    docs: DataFrame, benchmark: DataFrame, threshold: float = 0.6, question: float = 0.6, answer: float = 0.5,
+    docs: DataFrame, benchmark: DataFrame, threshold: float = 0.5, question: float = 0.6, answer: float = 0.5,
     shard_items: int = 2000,
 ) -> DataFrame:
     """One row per (document, leaked item)."""
@@ -191,11 +226,12 @@ def find(
     names = ["doc_id", *(f.split()[0] for f in SCHEMA.split(", "))]
     context = docs.sparkSession.sparkContext
     for index in shards(benchmark, shard_items):
-        shared = context.broadcast(index)  # at most ``shard_items`` items
+        # at most ``shard_items`` items
+        shared = context.broadcast((index, cuts(index, threshold, question, answer)))
 
         def rows(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                got = [(i, *leak) for i, t in enumerate(batch.column(1).to_pylist()) for leak in leaks(t, shared.value, threshold, question, answer)]
+                got = [(i, *leak) for i, t in enumerate(batch.column(1).to_pylist()) for leak in leaks(t, *shared.value, question, answer)]
                 columns = list(zip(*got, strict=True)) if got else [()] * 6
                 ids = batch.column(0).take(pa.array(columns[0], pa.int64()))
                 types = [pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.int64()]
@@ -207,18 +243,18 @@ def find(
 
 
 def clean(
-    docs: DataFrame, benchmark: DataFrame, threshold: float = 0.6, question: float = 0.6, answer: float = 0.5,
+    docs: DataFrame, benchmark: DataFrame, threshold: float = 0.5, question: float = 0.6, answer: float = 0.5,
     shard_items: int = 2000,
 ) -> DataFrame:
     """The rows of ``docs`` that leak no item, in one pass per shard."""
     context = docs.sparkSession.sparkContext
     at = docs.columns.index("text")
     for index in shards(benchmark, shard_items):
-        shared = context.broadcast(index)
+        shared = context.broadcast((index, cuts(index, threshold, question, answer)))
 
         def rows(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                keep = [not leaks(t, shared.value, threshold, question, answer) for t in batch.column(at).to_pylist()]
+                keep = [not leaks(t, *shared.value, question, answer) for t in batch.column(at).to_pylist()]
                 yield batch.filter(pa.array(keep, pa.bool_()))
 
         docs = docs.mapInArrow(rows, docs.schema)

@@ -67,6 +67,59 @@ def test_leaks(spark, text_of, odd, none):
     assert decontam.clean(odd, bench).columns == odd.columns and decontam.clean(odd, bench).count() == odd.count()
 
 
+def plain_overlap(part, passage):
+    n = min(3, len(part))
+    own = {tuple(part[i : i + n]) for i in range(len(part) - n + 1)}
+    return len(own & {tuple(passage[i : i + n]) for i in range(len(passage) - n + 1)}) / len(own)
+
+
+def quotes(seed):
+    """Items of common and rare words; documents that quote parts of them, reword them or change the rare words."""
+    rng = random.Random(seed)
+    common, rare = [f"c{i}" for i in range(40)], (f"r{i}" for i in range(10**6))
+    items, docs = [], []
+    for i in range(60):
+        asked, told = ([rng.choice(common) if rng.random() < 0.7 else next(rare) for _ in range(rng.randrange(*n))] for n in ((8, 40), (1, 20)))
+        items.append((i, f"{' '.join(asked)}? {' '.join(told)}."))
+        for _ in range(4):
+            a, b = list(asked), list(told)
+            kind = rng.randrange(3)
+            if kind == 0:  # quoted in a row
+                a, b = a[len(a) * 3 // 10 :], b[: (len(b) * 6 + 9) // 10]
+            else:
+                for part in (a, b):
+                    for at in range(len(part)):
+                        if (part[at][0] == "r" and rng.random() < 0.5) if kind == 1 else rng.random() < 0.08:
+                            part[at] = f"x{rng.randrange(10**6)}"
+            around = [rng.choice(common) for _ in range(rng.randrange(0, 60))]
+            docs.append((len(docs), " ".join(around + a + b + around[::-1])))
+    asked, told = [f"q{i}" for i in range(100)], [f"a{i}" for i in range(50)]
+    items.append((1000, f"{' '.join(asked)}? {' '.join(told)}."))
+    docs.append((1000, " ".join(asked[39:] + told[:26])))  # 0.58 of the item's score
+    items += [(i, f"{' '.join(common)} number{i} again") for i in range(2000, 2040)]
+    return items, docs
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_partial_quotes_against_all_pairs(spark, seed):
+    items, docs = quotes(seed)
+    bench, table = spark.createDataFrame(items, "item_id long, text string"), spark.createDataFrame(docs, "doc_id long, text string")
+    parts = {i: (len(decontam.words(t)), *decontam.question_answer(t)) for i, t in items}
+    want = set()
+    for doc, text in docs:
+        tokens = decontam.words(text)
+        for i, (_, asked, told) in parts.items():
+            size = max(8, max(n for n, _, _ in parts.values()))
+            step = max(4, size // 2)
+            for at in range(0, max(1, len(tokens) - size + 1), step):
+                passage = tokens[at : at + size + step]
+                if plain_overlap(asked, passage) >= 0.6 and plain_overlap(told, passage) >= 0.5:
+                    want.add((doc, i))
+    got = {(r.doc_id, r.item_id): r.score for r in decontam.find(table, bench).collect()}
+    assert set(got) == want and (1000, 1000) in want
+    assert min(got.values()) < 0.5  # below the threshold, as the words left out are the rare ones
+
+
 def test_planted_leaks(spark, folder):
     docs, bench = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "benchmark"))
     items = {r.item_id: decontam.words(r.text) for r in bench.collect()}
