@@ -2,15 +2,16 @@
 
 The test items are indexed by term; an entry's impact is its BM25 contribution divided by the item's score for itself, so one
 threshold fits long and short items. An item's cut is the threshold or, if that is less, the least score that a passage can
-have which passes both overlap bounds (:func:`cuts`), so retrieval loses no item that they accept. Every training text is cut into passages of one and a half lengths of the longest
-item, half such a length apart, so that any occurrence of an item lies whole within a passage, and every passage is a query: all items
-at or above their cuts are returned. An item found counts as leaked if enough of the word n-grams of both its
-question and its answer occur in the passage.
+have which passes both overlap bounds (:func:`cuts`), so retrieval loses no item that they accept. Every training text is cut
+into passages of one and a half item lengths, half such a length apart, so that any occurrence of an item lies whole within a
+passage, and an item counts as leaked if in one of them it reaches its cut and enough of the word n-grams of both its question
+and its answer occur. An item's passages depend on its own length alone, not on other items or shards.
 
-With fixed cuts, the pivots of block-max WAND are the blocks of items whose terms' block maxima add up to the least cut
-in the block; all others are skipped unseen. Running sums of block maxima over a text's words bound all its passages at once,
-with repeated words counted each time; passages left are bounded again with each term once, and the items of the blocks
-still left are scored from their postings.
+For retrieval, items are classed by doublings of length. Every passage of a class, wide enough to hold all passages of its items
+that begin in its stride, is a query, if it has an n-gram of a question of the class (without one there is no leak). With fixed
+cuts, the pivots of block-max WAND are the blocks of items whose terms' block maxima add up to the least cut in the block; all
+others are skipped unseen. The items of the blocks left are scored from their postings, and those found are held against their
+own passages.
 
 Items are indexed in shards of ``shard_items``, each broadcast on its own and compared in a pass of its own;
 document frequencies are those of all items. The texts are never shuffled.
@@ -25,7 +26,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import repeat
+from itertools import pairwise, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +37,7 @@ TERM = re.compile(r"\w+")
 K1, B = 1.2, 0.75  # the usual BM25 parameters
 BLOCK = 4
 GRAM = 3
-CHUNK_WORDS = 200_000
+LEAST = 8  # items of fewer words have the passages of so many
 SCHEMA = "item_id long, score double, question_overlap double, answer_overlap double, word long"
 
 
@@ -72,27 +73,48 @@ def overlap(part: list[str], passage: list[str]) -> float:
 
 @dataclass
 class Index:
-    """One shard, in blocks of ``BLOCK`` items: the largest impact of each term, and the postings of each block."""
+    """One shard, in blocks of up to ``BLOCK`` items of a class: the largest impact of each term, and the postings of each block.
+
+    Items ``first[k]`` to ``first[k + 1]`` are in block k; ``classes`` has the longest length and the blocks of each class.
+    """
 
     ids: list[int]
     parts: list[tuple[list[str], list[str]]]
+    lengths: list[int]
     terms: dict[str, int]
     block_max: np.ndarray
     postings: list[tuple[np.ndarray, np.ndarray]]
-    longest: int
+    first: np.ndarray
+    classes: list[tuple[int, np.ndarray]]
 
     @property
     def blocks(self) -> int:
         return self.block_max.shape[1]
 
-    @property
-    def step(self) -> int:
-        return max(4, self.longest // 2)
+    def block_of(self, place: int) -> tuple[np.ndarray, np.ndarray]:
+        """Terms of an item's block and the item's impacts."""
+        k = int(np.searchsorted(self.first, place, side="right")) - 1
+        own, table = self.postings[k]
+        return own, table[:, place - self.first[k]]
+
+
+def length_class(length: int) -> int:
+    """The doubling of ``LEAST`` that holds a length."""
+    top = LEAST
+    while top < length:
+        top *= 2
+    return top
+
+
+def stride(length: int) -> int:
+    """From passage to passage of an item; a passage is as much longer than the item."""
+    return max(4, length // 2)
 
 
 def build_index(items: list[tuple[int, str]], df: dict[str, int], n_items: int, mean: float) -> Index:
     """Items are indexed in order of length, so that blocks hold alike items."""
     items = sorted(((i, t or "") for i, t in items), key=lambda x: (len(words(x[1])), x[0]))
+    lengths = [max(LEAST, len(words(t))) for _, t in items]
     terms: dict[str, int] = {}
     weights: list[dict[int, float]] = []
     for _, text in items:
@@ -103,15 +125,21 @@ def build_index(items: list[tuple[int, str]], df: dict[str, int], n_items: int,
         }
         total = sum(parts.values())
         weights.append({terms.setdefault(t, len(terms)): part / total for t, part in parts.items()})
-    blocks = [weights[i : i + BLOCK] for i in range(0, len(items), BLOCK)] or [[]]
-    tops, postings = np.zeros((len(terms), len(blocks)), np.float32), []
-    for k, block in enumerate(blocks):
+    first, classes = [], []
+    for top in sorted({length_class(n) for n in lengths}):
+        of = [i for i, n in enumerate(lengths) if length_class(n) == top]
+        begins = list(range(of[0], of[-1] + 1, BLOCK))
+        classes.append((top, np.arange(len(first), len(first) + len(begins))))
+        first += begins
+    tops, postings = np.zeros((len(terms), max(1, len(first))), np.float32), []
+    for k, (start, end) in enumerate(pairwise([*first, len(items)])):
+        block = weights[start:end]
         own = sorted(set().union(*block))
         table = np.array([[item.get(t, 0.0) for item in block] for t in own]).reshape(len(own), len(block))
         tops[own, k] = table.max(axis=1, initial=0.0)
         postings.append((np.array(own, np.int64), table))
-    longest = max((len(words(t)) for _, t in items), default=1)
-    return Index([i for i, _ in items], [question_answer(t) for _, t in items], terms, tops, postings, max(longest, 8))
+    parts = [question_answer(t) for _, t in items]
+    return Index([i for i, _ in items], parts, lengths, terms, tops, postings, np.array(first, np.int64), classes)
 
 
 SLACK = 1e-5  # block maxima are single precision
@@ -128,8 +156,8 @@ def cuts(index: Index, threshold: float, question: float, answer: float) -> np.n
         return out
     names = list(index.terms)
     for place, (asked, told) in enumerate(index.parts):
-        own, table = index.postings[place // BLOCK]
-        impact = {names[t]: w for t, w in zip(own.tolist(), table[:, place % BLOCK].tolist(), strict=True)}
+        own, weights = index.block_of(place)
+        impact = {names[t]: w for t, w in zip(own.tolist(), weights.tolist(), strict=True)}
         bounds = [(grams(asked), max(question, answer))] if asked == told else [(grams(asked), question), (grams(told), answer)]
         best = 0.0
         for some in [bounds, *([b] for b in bounds)]:
@@ -143,9 +171,41 @@ def cuts(index: Index, threshold: float, question: float, answer: float) -> np.n
     return out
 
 
-def _block_cuts(index: Index, threshold: float | np.ndarray) -> np.ndarray:
-    per_item = np.broadcast_to(np.asarray(threshold, float), len(index.ids))
-    return np.minimum.reduceat(per_item, np.arange(0, len(per_item), BLOCK)) if len(per_item) else np.ones(index.blocks)
+@dataclass
+class Search:
+    """An index with what holds for all texts: cuts, and the n-grams without which an item cannot leak."""
+
+    index: Index
+    question: float
+    answer: float
+    cuts: np.ndarray
+    needed: dict[int, tuple[np.ndarray, np.ndarray]]  # n -> (sorted keys, places of their classes as bits)
+
+
+def grams_at(numbers: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(positions, keys) of the n-grams of known terms. Equal n-grams have equal keys; the reverse is not needed."""
+    size = max(0, len(numbers) - n + 1)
+    known, key = np.ones(size, bool), np.zeros(size, np.uint64)
+    for i in range(n):
+        part = numbers[i : i + size]
+        known &= part >= 0
+        key = key * np.uint64(0x9E3779B97F4A7C15) + part.astype(np.uint64)
+    at = np.flatnonzero(known)
+    return at, key[at]
+
+
+def build_search(index: Index, threshold: float, question: float, answer: float) -> Search:
+    bits: dict[int, dict[int, int]] = {}
+    bit_of = {top: 1 << k for k, (top, _) in enumerate(index.classes)}
+    for length, (asked, told) in zip(index.lengths, index.parts, strict=True):
+        part = asked if question > 0 else told if answer > 0 else asked + told
+        n = min(GRAM, len(part)) if question > 0 or answer > 0 else 1
+        if n:
+            own = bits.setdefault(n, {})
+            for key in grams_at(np.array([index.terms[t] for t in part], np.int64), n)[1].tolist():
+                own[key] = own.get(key, 0) | bit_of[length_class(length)]
+    needed = {n: (np.array(sorted(own), np.uint64), np.array([own[k] for k in sorted(own)], np.int64)) for n, own in bits.items()}
+    return Search(index, question, answer, cuts(index, threshold, question, answer), needed)
 
 
 def block_max_wand(
@@ -155,10 +215,12 @@ def block_max_wand(
 
     A block is a pivot if its terms' block maxima reach the least threshold in it; its items are then scored.
     """
-    blocks = np.arange(index.blocks) if blocks is None else blocks
+    blocks = np.arange(len(index.first)) if blocks is None else blocks
+    if not len(blocks):
+        return []
     per_item = np.broadcast_to(np.asarray(threshold, float), len(index.ids))
     bounds = index.block_max[query[:, None], blocks].sum(axis=0)
-    pivots = blocks[bounds >= _block_cuts(index, threshold)[blocks] - SLACK]
+    pivots = blocks[bounds >= np.minimum.reduceat(per_item, index.first)[blocks] - SLACK]
     if not len(pivots):
         return []
     asked = np.zeros(len(index.terms), bool)
@@ -166,36 +228,52 @@ def block_max_wand(
     found = []
     for k in pivots.tolist():
         own, table = index.postings[k]
+        start = int(index.first[k])
         scores = table[asked[own]].sum(axis=0)
-        found += [(k * BLOCK + i, float(scores[i])) for i in np.flatnonzero(scores >= per_item[k * BLOCK : (k + 1) * BLOCK]).tolist()]
+        found += [(start + i, float(scores[i])) for i in np.flatnonzero(scores >= per_item[start : start + len(scores)]).tolist()]
     return found
 
 
-def leaks(text: str | None, index: Index, threshold: float | np.ndarray, question: float, answer: float) -> list[tuple]:
+def leaks(text: str | None, search: Search) -> list[tuple]:
     """(item_id, score, question_overlap, answer_overlap, first word of the passage) per leaked item."""
     found: dict[int, tuple] = {}
+    index = search.index
     if not index.terms or not text:
         return []
     tokens = words(text)
-    step, window = index.step, index.longest + index.step
-    for base in range(0, max(1, len(tokens)), CHUNK_WORDS):
-        part = tokens[base : base + CHUNK_WORDS + window]  # chunks overlap by a passage
-        numbers = np.fromiter(map(index.terms.get, part, repeat(-1)), np.int64, len(part))
-        known = np.flatnonzero(numbers >= 0)
-        if not len(known):
-            continue
-        run = np.zeros((len(known) + 1, index.blocks))
-        np.cumsum(index.block_max[numbers[known]], axis=0, out=run[1:])
-        starts = np.arange(0, max(1, len(part) - index.longest + 1), step)
-        low, high = np.searchsorted(known, starts), np.searchsorted(known, starts + window)
-        may = run[high] - run[low] >= _block_cuts(index, threshold) - SLACK
-        for i in np.flatnonzero(may.any(axis=1)).tolist():
-            query = np.unique(numbers[known[low[i] : high[i]]])
-            passage = part[starts[i] : starts[i] + window]
-            for place, score in block_max_wand(query, index, threshold, np.flatnonzero(may[i])):
-                asked, told = (overlap(p, passage) for p in index.parts[place])
-                if asked >= question and told >= answer and score > found.get(place, (0, -1.0))[1]:
-                    found[place] = (index.ids[place], score, asked, told, base + int(starts[i]))
+    numbers = np.fromiter(map(index.terms.get, tokens, repeat(-1)), np.int64, len(tokens))
+    places, bits = [], []
+    for n, (keys, of) in search.needed.items():
+        at, key = grams_at(numbers, n)
+        near = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+        met = keys[near] == key
+        places.append(at[met])
+        bits.append(of[near[met]])
+    if not sum(map(len, places)):
+        return []
+    places, bits = np.concatenate(places), np.concatenate(bits)
+    for number, (top, blocks) in enumerate(index.classes):
+        hits = np.unique(places[bits >> number & 1 > 0])
+        step, width = top // 2, 2 * top  # a stride, and the passage of an item that begins at its end
+        begins = np.unique((hits[:, None] // step - np.arange(width // step)).ravel()) * step
+        for begin in begins[begins >= 0].tolist():
+            inside = numbers[begin : begin + width]
+            query = np.unique(inside[inside >= 0])
+            for place, _ in block_max_wand(query, index, search.cuts, blocks):
+                length = index.lengths[place]
+                own, weights = index.block_of(place)
+                apart = stride(length)
+                last = min(begin + step, max(1, len(tokens) - length + 1))
+                for start in range(-(-begin // apart) * apart, last, apart):
+                    end = start + length + apart
+                    if np.searchsorted(hits, start) == np.searchsorted(hits, end):
+                        continue
+                    score = float(weights[np.isin(own, numbers[start:end])].sum())
+                    if score < search.cuts[place] or score <= found.get(place, (0, -1.0))[1]:
+                        continue
+                    asked, told = (overlap(p, tokens[start:end]) for p in index.parts[place])
+                    if asked >= search.question and told >= search.answer:
+                        found[place] = (index.ids[place], score, asked, told, start)
     return sorted(found.values())
 
 
@@ -227,11 +305,11 @@ def find(
     context = docs.sparkSession.sparkContext
     for index in shards(benchmark, shard_items):
         # at most ``shard_items`` items
-        shared = context.broadcast((index, cuts(index, threshold, question, answer)))
+        shared = context.broadcast(build_search(index, threshold, question, answer))
 
         def rows(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                got = [(i, *leak) for i, t in enumerate(batch.column(1).to_pylist()) for leak in leaks(t, *shared.value, question, answer)]
+                got = [(i, *leak) for i, t in enumerate(batch.column(1).to_pylist()) for leak in leaks(t, shared.value)]
                 columns = list(zip(*got, strict=True)) if got else [()] * 6
                 ids = batch.column(0).take(pa.array(columns[0], pa.int64()))
                 types = [pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.int64()]
@@ -250,11 +328,11 @@ def clean(
     context = docs.sparkSession.sparkContext
     at = docs.columns.index("text")
     for index in shards(benchmark, shard_items):
-        shared = context.broadcast((index, cuts(index, threshold, question, answer)))
+        shared = context.broadcast(build_search(index, threshold, question, answer))
 
         def rows(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                keep = [not leaks(t, *shared.value, question, answer) for t in batch.column(at).to_pylist()]
+                keep = [not leaks(t, shared.value) for t in batch.column(at).to_pylist()]
                 yield batch.filter(pa.array(keep, pa.bool_()))
 
         docs = docs.mapInArrow(rows, docs.schema)

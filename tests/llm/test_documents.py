@@ -73,6 +73,21 @@ def plain_overlap(part, passage):
     return len(own & {tuple(passage[i : i + n]) for i in range(len(passage) - n + 1)}) / len(own)
 
 
+def leaks_of_all_pairs(items, docs):
+    """(doc, item) by the overlaps in passages of one and a half lengths of the item itself."""
+    want = set()
+    for doc, text in docs:
+        tokens = decontam.words(text)
+        for i, item in items:
+            (asked, told), size = decontam.question_answer(item), max(8, len(decontam.words(item)))
+            step = max(4, size // 2)
+            for at in range(0, max(1, len(tokens) - size + 1), step):
+                passage = tokens[at : at + size + step]
+                if plain_overlap(asked, passage) >= 0.6 and plain_overlap(told, passage) >= 0.5:
+                    want.add((doc, i))
+    return want
+
+
 def quotes(seed):
     """Items of common and rare words; documents that quote parts of them, reword them or change the rare words."""
     rng = random.Random(seed)
@@ -104,22 +119,29 @@ def quotes(seed):
 def test_partial_quotes_against_all_pairs(spark, seed):
     items, docs = quotes(seed)
     bench, table = spark.createDataFrame(items, "item_id long, text string"), spark.createDataFrame(docs, "doc_id long, text string")
-    parts = {i: (len(decontam.words(t)), *decontam.question_answer(t)) for i, t in items}
-    want = set()
-    for doc, text in docs:
-        tokens = decontam.words(text)
-        for i, (_, asked, told) in parts.items():
-            size = max(8, max(n for n, _, _ in parts.values()))
-            step = max(4, size // 2)
-            for at in range(0, max(1, len(tokens) - size + 1), step):
-                passage = tokens[at : at + size + step]
-                if plain_overlap(asked, passage) >= 0.6 and plain_overlap(told, passage) >= 0.5:
-                    want.add((doc, i))
+    want = leaks_of_all_pairs(items, docs)
     got = {(r.doc_id, r.item_id): r.score for r in decontam.find(table, bench).collect()}
     assert set(got) == want and (1000, 1000) in want
     assert min(got.values()) < 0.5  # below the threshold, as the words left out are the rare ones
 
 
+def test_long_items_and_shards_change_nothing(spark):
+    """A question quoted alone is no leak because its one-word answer stands far off, whatever the longest item is."""
+    asked = [f"q{i}" for i in range(39)]
+    apart = [f"z{i}" for i in range(300)]
+    items = [(1, f"{' '.join(asked)}? yes."), (2, "who was it that came to see the geese? nobody.")]
+    long = [(3, f"{' '.join(f'l{i}' for i in range(4000))}? {' '.join(f'm{i}' for i in range(1000))}.")]
+    docs = [(1, " ".join([*asked, *apart, "yes", *apart])), (2, " ".join([*apart, *asked, "yes", *apart])), (3, " ".join([*apart, "nobody", *asked]))]
+    docs.append((4, "x " * 2000 + long[0][1] + " y" * 3000))
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    for some in (items, items + long):
+        bench, want = spark.createDataFrame(some, "item_id long, text string"), leaks_of_all_pairs(some, docs)
+        assert {p for p in want if p[1] < 3} == {(2, 1)}
+        for shard in (2000, 1):
+            assert {(r.doc_id, r.item_id) for r in decontam.find(table, bench, shard_items=shard).collect()} == want
+        assert {r.doc_id for r in decontam.clean(table, bench).collect()} == {d for d, _ in docs} - {d for d, _ in want}
+
+
 def test_planted_leaks(spark, folder):
     docs, bench = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "benchmark"))
     items = {r.item_id: decontam.words(r.text) for r in bench.collect()}
