@@ -21,8 +21,11 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Line dedup: repeated lines go; documents of which nothing is left go with them."""
-    rest = lines.dedup(docs).where("n_removed = 0 or n_removed is null or trim(text) <> ''")
+    """Line dedup: repeated lines of any number of words go; documents of which nothing is left go with them.
+
+    One word in five may differ, as far as the Jaccard join goes for documents; blank lines stay as layout.
+    """
+    rest = lines.dedup(docs, exact_words=1, near_words=5).where("n_removed = 0 or n_removed is null or trim(text) <> ''")
     changed = F.col("n_removed") > 0
     return rest.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
 

@@ -18,7 +18,7 @@ Built-in functions only. Common lines (a third of all rows may be one line) are
 put together per document, never per line text.
 
 Defined cases: a null text stays null; lines with fewer than ``exact_words`` words stay, lines with fewer than ``near_words`` go
-only if equal; white space within a line does not count; rows with the same doc_id and text are one document;
+only if equal; a blank line has no words, so with ``exact_words`` of 1 only blank lines always stay; white space within a line does not count; rows with the same doc_id and text are one document;
 a null doc_id comes before all others; other columns are kept, those named like an added one are replaced.
 """
 
@@ -36,6 +36,11 @@ def _words(line: Column) -> Column:
     return F.split(F.trim(F.regexp_replace(line, r"\s+", " ")), " ")
 
 
+def _count(w: Column) -> Column:
+    """Number of words; a blank line has none."""
+    return F.when(F.element_at(w, 1) == "", 0).otherwise(F.size(w))
+
+
 def _keyed(docs: DataFrame) -> DataFrame:
     return docs.withColumn("_hash", F.xxhash64("text"))
 
@@ -53,7 +58,7 @@ def _lines(docs: DataFrame) -> DataFrame:
 
 def distinct_lines(docs: DataFrame, exact_words: int, near_words: int) -> DataFrame:
     """(a, b, at, n, halves): hash, first place, word count and hashes of the halves of every distinct line."""
-    n = F.size("w")
+    n = _count(F.col("w"))
 
     def half(side: str, size: Column) -> Column:
         part = F.slice("w", F.lit(1), size) if side == "first" else F.slice("w", n - size + 1, size)
@@ -212,7 +217,7 @@ def dedup(docs: DataFrame, exact_words: int = 5, near_words: int = 10) -> DataFr
     joined = keyed.join(places, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_hash") == F.col("_h")), "left")
     split = F.split("text", "\n")
     small = F.filter(
-        F.transform("_lines", lambda line, i: F.when(F.size(_words(line)) < exact_words, i)), lambda i: i.isNotNull()
+        F.transform("_lines", lambda line, i: F.when(_count(_words(line)) < exact_words, i)), lambda i: i.isNotNull()
     )
     kept = F.array_sort(F.concat(small, F.coalesce("_stay", F.array().cast("array<int>"))))
     return (

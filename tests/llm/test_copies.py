@@ -73,6 +73,22 @@ def test_lines_against_brute_force(spark, seed):
     assert got == plain_dedup(docs, 4, 5)
 
 
+@pytest.mark.parametrize("seed", range(2))
+def test_short_lines_against_brute_force(spark, seed):
+    docs = edited_lines(seed) + [(100, None), (101, ""), (102, "\n\n"), (103, "a\n \nb c\n\t\na"), (104, "b  c\n\n a \nd")]
+    table = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    got = {r.doc_id: r.text for r in lines.dedup(table, exact_words=1, near_words=5).collect()}
+    assert got == plain_dedup(docs, 1, 5)
+
+
+def test_pipeline_drops_short_repeats(spark, small):
+    texts = ["All rights reserved.\n\nLicensed under the Apache License, Version 2.0.", "one\n\nAll rights reserved.\nLicensed under the Apache License, Version 2.1.\ntwo"]
+    rows = [(i, t, "en", "x", len(t)) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: r.text for r in corpus_pipeline.drop_repeated_lines(spark, docs, small).collect()}
+    assert got == {0: texts[0], 1: "one\n\ntwo"}
+
+
 def test_runs_of_one_word(spark):
     docs = [(i, " ".join(["a"] * n)) for i, n in enumerate((8, 9, 11, 12, 14))] + [(9, "a a a b a a a a"), (10, "b a a a a a a a")]
     table = spark.createDataFrame(docs, "doc_id long, text string")
