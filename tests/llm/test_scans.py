@@ -78,6 +78,23 @@ def test_pii_base_spans(spark, folder):
     assert "card:0:16,card:17:33" == added.get(4)  # two cards in one run, which the base form drops
 
 
+@pytest.mark.parametrize("text", ["JOHN [AT] EXAMPLE [DOT] COM", "john (At) example.com", "john [at] example (DOT) com", "JOHN(AT)EXAMPLE.COM"])
+def test_written_addresses_in_any_case(text):
+    assert (0, 0, len(text)) in pii.candidates(text)
+
+
+def test_plain_phone_numbers(spark, folder):
+    docs, bare = [], "order no 743-555-3824 of 2024-01-15 10:30, server 10.20.30.40"
+    for i in range(400):
+        a, b, c = 200 + i * 7 % 700, 100 + i * 13 % 800, 1000 + i * 37 % 9000
+        docs.append(f"tel {a}-{b}-{c} or call 0049 {a} {c}{b % 10}" if i % 2 else f"order no {a}-{b}-{c} was sent on 2024-01-{10 + i % 20} 10:30 to +1 {a} {b} {c}")
+    rows = list(enumerate([*docs, "ask for us, tel 743-555-3824", "phone 0049 30 1234567", bare]))
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    spans = {r.doc_id: r.spans for r in pii.scan(table, pii.fit(table)).collect()}
+    assert spans[400] == "phone:16:28" and spans[401] == "phone:6:21" and "phone" not in spans[402]
+    assert [pii.label(t, 3, 5, len(t)) for t in ("call 2024-01-15 10", "call 192.168.100.200", "call 743-555-3824")] == [0, 0, 1]
+
+
 def test_pii_null_ids_and_no_rows(spark, odd, none):
     assert pii.scan(odd, None).count() == odd.count()
     assert pii.fit(none) is None and pii.scan(none, None).count() == 0
