@@ -2,7 +2,7 @@
 
 Strong finds are reported as they are: assignments, access identifiers and long hexadecimal runs. Weak candidates say too
 little alone: tokens of mixed characters, short or oddly named assignments, user names, addresses of services. They are joined by
-interval with the parts around them (same text, starts at most ``reach`` code points apart) and reported only where
+interval with the parts around them (same text, gaps of at most ``reach`` code points from the end of one to the start of the other) and reported only where
 complementary parts stand together:
 
 * a weak secret beside a strong access identifier, or beside a weak identifier and an endpoint;
@@ -10,8 +10,8 @@ complementary parts stand together:
 
 Built-in functions only. Offsets are prefix sums over the pieces around the matches, kept in the row; only parts of
 texts that hold weak candidates are shuffled. The interval join is an equi-join on text and stretch of ``reach`` code
-points, so a pair of rows meets only if it is at most two stretches apart; parts of one kind do not overlap, which bounds the
-parts in a stretch.
+points: a weak part is in each stretch that it covers, the other parts in each that they cover when widened by ``reach``, and
+a pair counts in the first stretch they share. Parts of one kind do not overlap, so rows are bounded by the text's length.
 
 Defined cases: a null text is empty; rows that repeat get equal results; a null doc_id is kept; columns other than
 doc_id and text are left alone by :func:`scan`, those with a clashing name are replaced.
@@ -131,16 +131,19 @@ def _parts(docs: DataFrame) -> DataFrame:
 
 def link(parts: DataFrame, reach: int = 200) -> DataFrame:
     """Weak parts with complementary parts around them: (doc_id, text_hash, kind, start, end)."""
-    stretch = F.floor(F.col("start") / reach)
-    weak = parts.where("kind >= 3").withColumn("stretch", stretch)
+    start, end = F.col("start"), F.col("end")
+    first, wide = F.floor(start / reach), F.floor((start - reach) / reach)
+    weak = parts.where("kind >= 3").select(
+        *parts.columns, first.alias("first"), F.explode(F.sequence(first, F.floor(end / reach))).alias("stretch")
+    )
     near = parts.select(
-        F.col("doc_id").alias("d"), F.col("text_hash").alias("h"), F.col("kind").alias("k"), F.col("start").alias("s"),
-        F.explode(F.array(stretch - 1, stretch, stretch + 1)).alias("b"),
+        F.col("doc_id").alias("d"), F.col("text_hash").alias("h"), F.col("kind").alias("k"), start.alias("s"), end.alias("e"),
+        wide.alias("f"), F.explode(F.sequence(wide, F.floor((end + reach) / reach))).alias("b"),
     )
     met = weak.join(
         near,
         weak.doc_id.eqNullSafe(near.d) & (weak.text_hash == near.h) & (weak.stretch == near.b)
-        & (F.abs(weak.start - near.s) <= reach),
+        & (weak.stretch == F.greatest(weak["first"], near["f"])) & (near.s - weak.end <= reach) & (weak.start - near.e <= reach),
     )
 
     def has(*kinds: int) -> Column:

@@ -143,6 +143,44 @@ def test_linked(spark, text, kinds):
         assert [s.split(":")[0] for s in r.spans.split(",") if s] == kinds
 
 
+LONG = "https://db.example.com/x?" + "&".join(f"k{i}=v{i}" for i in range(120))
+
+
+@pytest.mark.parametrize(
+    ("text", "kinds"),
+    [
+        (f"{LONG} user = bob {KEY}", ["endpoint", "weak_id", "weak_secret"]),
+        (f"{KEY * 12} {ID}", ["weak_secret", "access"]),
+        (f"{ID} " + "x " * 90 + KEY * 30, ["access", "weak_secret"]),
+        (f"{KEY * 12} " + "x " * 105 + ID, ["access"]),
+    ],
+)
+def test_long_parts_link_by_their_gap(spark, text, kinds):
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    got = secrets.report(secrets.scan(docs)).first().spans
+    assert [s.split(":")[0] for s in got.split(",") if s] == kinds
+
+
+def test_link_against_all_pairs(spark):
+    rng = np.random.default_rng(4)
+    parts = []
+    for doc in range(60):
+        for kind in range(6):
+            at = 0
+            for _ in range(int(rng.integers(0, 4))):
+                start = at + int(rng.integers(0, 500))
+                at = start + int(rng.choice([5, 40, 199, 200, 201, 700]))
+                parts.append((doc, 1, kind, start, at))
+    want = set()
+    for d, h, k, s, e in parts:
+        near = {p[2] for p in parts if p[0] == d and p[3] - e <= 200 and s - p[4] <= 200}
+        secret, some_id = bool(near & {0, 2, 3}), bool(near & {1, 4})
+        if (k == 3 and (1 in near or {4, 5} <= near)) or (k == 4 and secret and 5 in near) or (k == 5 and secret and some_id):
+            want.add((d, h, k, s, e))
+    table = spark.createDataFrame(parts, "doc_id long, text_hash long, kind int, start int, end int")
+    assert {tuple(r) for r in secrets.link(table).collect()} == want and want
+
+
 def test_secrets_odd(spark, odd, none):
     assert secrets.report(secrets.scan(odd)).count() == odd.count()
     assert secrets.report(secrets.scan(none)).count() == 0
