@@ -136,3 +136,90 @@ select d.doc_id, coalesce(s.n, 0)::bigint n_shingles, c.component_id
 from documents d left join (select doc_id, len(s) n from sets) s using (doc_id)
 join (select node, min(root) component_id from reach group by node) c on c.node = d.doc_id
 """
+
+_SOUND = "embedding is not null and len([x for x in embedding if x is null or not isfinite(x)]) = 0"
+
+_NEAREST = r"""
+    select vec_id, part, arg_min(entry, (dist, entry)) entry, min(dist)::bigint dist
+    from (select k.vec_id, k.part, b.entry, sum((k.x - b.c) * (k.x - b.c)) dist
+          from cells k join {books} b on k.part = b.part and k.d = b.d group by 1, 2, 3)
+    group by 1, 2
+"""
+
+_MOVED = r"""
+    select b.part, b.entry, b.d, coalesce(floor(s.total::double / s.n)::bigint, b.c) c
+    from {books} b left join (
+        select a.part, a.entry, k.d, sum(k.x) total, count(*) n
+        from {near} a join cells k on a.vec_id = k.vec_id and a.part = k.part group by all
+    ) s on b.part = s.part and b.entry = s.entry and b.d = s.d
+"""
+
+SQL["op11_vector_codes"] = f"""
+with kept as materialized (
+    select vec_id, label, [floor(256 * x::double)::bigint for x in embedding] v from embeddings where {_SOUND}
+), size as (
+    select (max(len(v)) + 15) // 16 width from kept
+), cells as materialized (
+    select vec_id, (i - 1) // width part, (i - 1) % width d, coalesce(v[i], 0) x
+    from kept, size, unnest(range(1, width * 16 + 1)) p(i)
+), books0 as materialized (
+    select part, entry, d, x c from cells
+    join (select vec_id, row_number() over (order by vec_id) - 1 entry from kept order by vec_id limit 64) using (vec_id)
+), near0 as materialized ({_NEAREST.format(books="books0")}
+), books1 as materialized ({_MOVED.format(books="books0", near="near0")}
+), near1 as materialized ({_NEAREST.format(books="books1")}
+), books2 as materialized ({_MOVED.format(books="books1", near="near1")}
+), near2 as materialized ({_NEAREST.format(books="books2")}
+), coded as (
+    select vec_id, string_agg(format('{{:02x}}', entry), '' order by part) code, sum(dist)::bigint error from near2 group by vec_id
+)
+select vec_id, code, error, (sum(error) over (partition by label))::bigint label_error,
+       (select sha256(string_agg(c::varchar, ',' order by part, entry, d)) from books2) codebooks_sha256
+from coded join kept using (vec_id)
+"""
+
+SQL["op12_phrases"] = r"""
+with pieces as (
+    select coalesce(lang, 'und') lang, unnest(string_split_regex(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) piece
+    from documents
+), worded as (
+    select lang, [x for x in string_split_regex(piece, '[\x20\x09]+') if x <> ''] w from pieces
+), grams as materialized (
+    select lang, k words, array_to_string(w[i:i + k - 1], ' ') phrase, count(*) f
+    from worded, unnest([1, 2, 3, 4]) s(k), unnest(range(1, len(w) - k + 2)) p(i) group by all having count(*) >= 30
+), totals as (
+    select lang, sum(len(w))::bigint n from worded group by lang
+), found as materialized (
+    select lang, words, phrase, f a, string_split(phrase, ' ') w from grams where words > 1
+), halves as materialized (
+    select lang, phrase, words, a, k, array_to_string(w[:k], ' ') lhs, array_to_string(w[k + 1:], ' ') rhs
+    from found, unnest(range(1, words)) s(k)
+), cut as (
+    select h.lang, h.phrase, h.words, a, k, l.f l, r.f r, 2000000::hugeint * a // (l.f::hugeint + r.f) score
+    from halves h join grams l on l.lang = h.lang and l.phrase = h.lhs join grams r on r.lang = h.lang and r.phrase = h.rhs
+), best as (
+    select * from cut qualify row_number() over (partition by lang, phrase order by score, k) = 1
+), inside as (
+    select lang, array_to_string(w[i:i + k - 1], ' ') phrase, max(a) longer
+    from found, unnest(range(2, words)) s(k), unnest(range(1, words - k + 2)) p(i) group by all
+), kept as (
+    select b.* from best b left join inside i on b.lang = i.lang and b.phrase = i.phrase
+    where i.longer is null or 100::hugeint * i.longer < 80::hugeint * b.a
+)
+select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a, l, r, n,
+       score::bigint score
+from kept join totals using (lang)
+qualify rank <= 2000
+"""
+
+SQL["op13_search"] = f"""
+with kept as (
+    select vec_id, [floor(256 * x::double) for x in embedding] v from embeddings where {_SOUND}
+), scored as (
+    select q.vec_id query_id, c.vec_id, list_inner_product(q.v, c.v)::bigint score
+    from kept q join kept c on q.vec_id % 50 = 0 and q.vec_id <> c.vec_id
+)
+select query_id, row_number() over (partition by query_id order by score desc, vec_id)::int as rank, vec_id, score
+from scored qualify rank <= 5
+"""

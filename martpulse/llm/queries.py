@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martpulse.llm import chat, decontam, fingerprints, jaccard, lines, mixing, pii, quality, secrets, warc
+from martpulse.llm import (
+    chat, codes, decontam, fingerprints, jaccard, lines, mixing, phrases, pii, quality, search, secrets, warc,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,10 +64,22 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.withColumn("mask", chat.mask_text(F.col("mask")))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.report(*codes.compress(table(spark, sf_dir, "embeddings")))
+
+
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.top(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_decontamination, op2_quality, op3_personal_data, op4_secrets, op5_mixing, op6_warc, op7_line_dedup,
-        op8_fingerprints, op9_jaccard_join, op10_chat,
+        op8_fingerprints, op9_jaccard_join, op10_chat, op11_vector_codes, op12_phrases, op13_search,
     )
 }

@@ -10,7 +10,7 @@ from martpulse.llm import oracle, queries
 @pytest.mark.parametrize("name", oracle.SQL)
 def test_same_result(spark, small, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "conversations", "labels", "benchmark"):
+    for t in ("documents", "pages", "conversations", "labels", "benchmark", "embeddings"):
         con.execute(f"create view {t} as select * from read_parquet('{small}/{t}.parquet')")
     columns, rows = spark_result(queries.ALL[name](spark, small))
     sql_columns, sql_rows = sql_result(con, oracle.SQL[name])
