@@ -22,8 +22,6 @@ counts are ranked by the phrase's bytes, so there are no ties. A text of any len
 
 from __future__ import annotations
 
-import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,10 +34,7 @@ from pyspark.sql import Window
 
 from martpulse.llm.store import pieces, settle
 
-PIECE = re.compile("[.,;:!?\n-\r]")
-WORD = re.compile("[^ \t]+")
-LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-
+PIECE = r"[.,;:!?\n-\r]"  # what ends a piece; within it, spaces and tabs end words
 LONGEST = 4  # words of a phrase
 WINDOW = LONGEST - 1  # words that a trigger looks at and that chunks share
 MARK_BITS = 27  # the bitmap of frequent keys takes 16 MB
@@ -78,45 +73,34 @@ def cuts(keys: np.ndarray, starts: np.ndarray, every: int, longest: int) -> np.n
     return at
 
 
-def _parse(every: int, longest: int):
-    known: dict[str, int] = {}
+def _parsed(langs: pa.Array, texts: pa.Array, every: int, longest: int) -> pa.Table:
+    """The chunks of some texts, equal ones folded."""
+    split = pc.split_pattern_regex(pc.ascii_lower(texts.fill_null("")), PIECE)
+    text_of_piece = np.repeat(np.arange(len(split)), pc.list_value_length(split).to_numpy(zero_copy_only=False))
+    split = pc.split_pattern(pc.replace_substring(split.flatten(), "\t", " "), " ")
+    words = split.flatten()
+    there = pc.not_equal(words, "").to_numpy(zero_copy_only=False)
+    piece = np.repeat(np.arange(len(split)), pc.list_value_length(split).to_numpy(zero_copy_only=False))[there]
+    words = words.filter(pa.array(there)).dictionary_encode()
+    ids, n = words.indices.to_numpy(zero_copy_only=False), len(piece)
+    starts = np.flatnonzero(np.diff(piece, prepend=-1))
+    at = cuts(_keys(words.dictionary.to_numpy(zero_copy_only=False))[ids], starts, every, longest)
+    own = np.diff(np.append(at, n))
+    ends = np.append(starts[1:], n)[np.searchsorted(starts, at, side="right") - 1]
+    lengths = np.minimum(at + own + WINDOW, ends) - at
+    offsets = np.append(0, np.cumsum(lengths))
+    place = np.repeat(at - offsets[:-1], lengths) + np.arange(offsets[-1])
+    lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), words.dictionary.take(pa.array(ids[place])))
+    chunks = pa.table({
+        "lang": langs.take(pa.array(text_of_piece[piece[at]])), "chunk": pc.binary_join(lists, " "), "own": pa.array(own, pa.int32()),
+    })
+    return chunks.group_by(["lang", "chunk", "own"], use_threads=False).aggregate([([], "count_all")]).rename_columns(["lang", "chunk", "own", "n"])
 
-    def keyed(words: list[str]) -> np.ndarray:
-        new = [w for w in set(words) if w not in known]
-        if len(known) + len(new) > 500_000:
-            known.clear()
-            new = list(set(words))
-        if new:
-            known.update(zip(new, _keys(np.array(new, dtype=object)).tolist(), strict=True))
-        return np.fromiter((known[w] for w in words), np.uint64, len(words))
 
+def _parse(every: int, longest: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches):
-            found: Counter = Counter()
-            for lang, text in zip(batch["lang"].to_pylist(), batch["text"].to_pylist(), strict=True):
-                words: list[str] = []
-                starts: list[int] = []
-                for piece in PIECE.split((text or "").translate(LOWER)):
-                    if own := WORD.findall(piece):
-                        starts.append(len(words))
-                        words += own
-                if not words:
-                    continue
-                at = cuts(keyed(words), np.array(starts), every, longest).tolist()
-                ends = dict(zip(starts, [*starts[1:], len(words)], strict=True))
-                end = len(words)
-                for a, b in zip(at, [*at[1:], len(words)], strict=True):
-                    end = ends.get(a, end)  # of the piece that the chunk lies in
-                    found[lang, " ".join(words[a : min(b + WINDOW, end)]), b - a] += 1
-            if found:
-                langs, chunks, own = zip(*found, strict=True)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(langs, pa.string()), pa.array(chunks, pa.string()), pa.array(own, pa.int32()),
-                        pa.array(found.values(), pa.int64()),
-                    ],
-                    names=["lang", "chunk", "own", "n"],
-                )
+        for batch in pieces(batches, 1000):
+            yield from _parsed(batch["lang"], batch["text"], every, longest).to_batches()
 
     return run
 
