@@ -32,8 +32,23 @@ from martpulse.llm.store import settle
 ADDED = ("n_lines", "n_removed")
 
 
+SPACE = " \t\x0b\f\r"  # what separates words, besides the line feeds that separate lines
+
+
+def _blank(line: Column) -> Column:
+    return F.btrim(line, F.lit(SPACE)) == ""
+
+
+def _clean(line: Column) -> Column:
+    """The words of a line with single spaces between them. Most lines are clean, and spared the pattern."""
+    odd = F.lit(False)
+    for mark in ("  ", *SPACE[1:]):
+        odd = odd | F.contains(line, F.lit(mark))
+    return F.trim(F.when(odd, F.regexp_replace(line, r"\s+", " ")).otherwise(line))
+
+
 def _words(line: Column) -> Column:
-    return F.split(F.trim(F.regexp_replace(line, r"\s+", " ")), " ")
+    return F.split(_clean(line), " ")
 
 
 def _count(w: Column) -> Column:
@@ -45,28 +60,32 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.withColumn("_hash", F.xxhash64("text"))
 
 
-def _lines(docs: DataFrame) -> DataFrame:
-    """(at, w): place (doc_id, text hash, position) and words of every line."""
+def _lines(docs: DataFrame, exact_words: int) -> DataFrame:
+    """(at, c, n): place (doc_id, text hash, position), clean text and number of words of every line that counts."""
     lines = _keyed(docs.select("doc_id", "text")).select(
         "doc_id", "_hash", F.posexplode(F.split("text", "\n")).alias("pos", "line")
     )
-    return lines.select(
+    # The test for blank lines is cheap, and pushed below; one on the words would cut them twice.
+    clean = lines.where(~_blank(F.col("line"))).select(
         F.struct(F.col("doc_id").alias("d"), F.col("_hash").alias("h"), F.col("pos").alias("p")).alias("at"),
-        _words(F.col("line")).alias("w"),
+        _clean(F.col("line")).alias("c"),
     )
+    n = F.octet_length("c") - F.octet_length(F.replace(F.col("c"), F.lit(" "), F.lit(""))) + 1
+    counted = clean.select("at", "c", n.alias("n"))
+    return counted.where(F.col("n") >= exact_words) if exact_words > 1 else counted
 
 
 def distinct_lines(docs: DataFrame, exact_words: int, near_words: int) -> DataFrame:
     """(a, b, at, n, halves): hash, first place, word count and hashes of the halves of every distinct line."""
-    n = _count(F.col("w"))
+    n = F.col("n")
 
     def half(side: str, size: Column) -> Column:
-        part = F.slice("w", F.lit(1), size) if side == "first" else F.slice("w", n - size + 1, size)
+        part = F.call_function("substring_index", F.col("c"), F.lit(" "), size if side == "first" else -size)
         return F.when(n >= near_words, F.xxhash64(F.lit(side), size, part))
 
     p, q = F.floor(n / 2).cast("int"), F.floor((n - 1) / 2).cast("int")
-    rows = _lines(docs).where(n >= exact_words).select(
-        F.xxhash64("w").alias("a"), F.xxhash64(F.lit("line"), "w").alias("b"), "at", n.alias("n"),
+    rows = _lines(docs, exact_words).select(
+        F.xxhash64("c").alias("a"), F.xxhash64(F.lit("line"), "c").alias("b"), "at", "n",
         half("first", p).alias("f0"), half("last", p).alias("l0"), half("first", q).alias("f1"), half("last", q).alias("l1"),
     )
     return settle(
@@ -205,8 +224,11 @@ def near_copies(docs: DataFrame, lines: DataFrame) -> DataFrame:
     return left.join(right, "other").where(within_one(F.col("w"), F.col("v"))).select("at").distinct()
 
 
-def dedup(docs: DataFrame, exact_words: int = 5, near_words: int = 10) -> DataFrame:
-    """``docs`` with the repeated lines taken out of ``text``, and n_lines and n_removed."""
+def dedup(docs: DataFrame, exact_words: int = 1, near_words: int = 5) -> DataFrame:
+    """``docs`` with the repeated lines taken out of ``text``, and n_lines and n_removed.
+
+    By default every line but blank ones counts, and those of five words or more may differ by a word.
+    """
     docs = docs.drop(*ADDED)
     lines = distinct_lines(docs, exact_words, near_words)
     stay = lines.select("at").join(near_copies(docs, lines), "at", "left_anti")
@@ -216,9 +238,11 @@ def dedup(docs: DataFrame, exact_words: int = 5, near_words: int = 10) -> DataFr
     keyed = _keyed(docs)
     joined = keyed.join(places, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_hash") == F.col("_h")), "left")
     split = F.split("text", "\n")
-    small = F.filter(
-        F.transform("_lines", lambda line, i: F.when(_count(_words(line)) < exact_words, i)), lambda i: i.isNotNull()
-    )
+
+    def stays(line: Column) -> Column:
+        return _blank(line) if exact_words <= 1 else _count(_words(line)) < exact_words
+
+    small = F.filter(F.transform("_lines", lambda line, i: F.when(stays(line), i)), lambda i: i.isNotNull())
     kept = F.array_sort(F.concat(small, F.coalesce("_stay", F.array().cast("array<int>"))))
     return (
         joined.withColumn("_lines", split)

@@ -65,20 +65,20 @@ with split as (
            string_split_regex(regexp_replace(parts[pos], '^\s+|\s+$', '', 'g'), '\s+') w
     from split, unnest(range(1, len(parts) + 1)) as p(pos)
 ), judged as (
-    select *, len(w) n, row_number() over (order by doc_id, pos) place from lines
+    select *, case when w = [''] then 0 else len(w) end n, row_number() over (order by doc_id, pos) place from lines
 ), firsts as (
-    select w, n, min(place) place from judged where n >= 5 group by w, n
+    select w, n, min(place) place from judged where n >= 1 group by w, n
 ), variants as (
-    select place, n, w v, 0 gap from firsts where n >= 10
+    select place, n, w v, 0 gap from firsts where n >= 5
     union all
     select place, n, list_concat(w[:gap - 1], w[gap + 1:]) v, gap
-    from firsts, unnest(range(1, n + 1)) as g(gap) where n >= 10
+    from firsts, unnest(range(1, n + 1)) as g(gap) where n >= 5
 ), near as (
     select b.place from variants a join variants b on a.v = b.v and a.place < b.place
     where (a.gap = b.gap and a.gap > 0) or (a.gap = 0) <> (b.gap = 0)
 ), kept as (
     select j.doc_id, j.pos, j.line from judged j
-    where j.n < 5 or (j.place in (select place from firsts) and j.place not in (select place from near))
+    where j.n = 0 or (j.place in (select place from firsts) and j.place not in (select place from near))
 ), built as (
     select doc_id, count(*) n, string_agg(line, chr(10) order by pos) as text from kept group by doc_id
 )
