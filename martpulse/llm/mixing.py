@@ -8,7 +8,8 @@ A source may hold any share of the rows, so no task sees a whole source: rows ar
 block), the few counts are summed up in order, and ranks are taken within one block only.
 
 Defined cases: a null text has size 0; a null source is a source of its own, last in order; rows that repeat are
-rows of their own; an empty table gives no rows; columns of ``docs`` named like an added one are replaced.
+rows of their own; rows of the same source, size and doc_id come in the order of a hash of all their columns, so that
+reruns take the same ones; an empty table gives no rows; columns of ``docs`` named like an added one are replaced.
 """
 
 from __future__ import annotations
@@ -101,7 +102,9 @@ def mix(
         starts,
         F.col("source").eqNullSafe(F.col("_s")) & (F.col("_class") == F.col("_c")) & (F.col("_block") == F.col("_b")),
     )
-    inside = Window.partitionBy("source", "_class", "_block").orderBy("size", "doc_id")
+    # Rows alike in source, size and doc_id are told apart by what else they hold, so that reruns number them alike.
+    rest = [c for c, kind in docs.dtypes if "map<" not in kind and kind not in ("variant", "void")]
+    inside = Window.partitionBy("source", "_class", "_block").orderBy("size", "doc_id", F.xxhash64(*[f"`{c}`" for c in rest]))
     rate = F.coalesce(F.try_divide(F.col("target"), F.col("source_size").cast("double")), F.lit(0.0))
     upto = F.floor(rate * F.col("_rank") + F.col("_u"))
     copies = upto - F.floor(rate * (F.col("_rank") - 1) + F.col("_u"))
@@ -115,5 +118,5 @@ def mix(
 
 
 def emit(mixed: DataFrame) -> DataFrame:
-    """One row per copy, with its number in ``copy`` from 1."""
-    return mixed.where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    """One row per copy, with its number in ``copy`` from 1; documents without a word are no copies."""
+    return mixed.where("copies > 0 and size > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
