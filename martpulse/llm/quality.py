@@ -184,7 +184,10 @@ def held_out(doc_id: str = "doc_id") -> F.Column:
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = 20_000) -> Gam | Constant:
-    """Fits on at most ``sample`` labelled documents that are not held out; their features, 16 numbers each, go to the driver."""
+    """Fits on at most ``sample`` labelled documents that are not held out; their features, 16 numbers each, go to the driver.
+
+    A doc_id may be labelled, or stand in the documents, many times: the bound holds for the joined rows too.
+    """
     chosen = (
         labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
         .select("doc_id", F.col("quality").cast("double").alias("quality"))
@@ -193,13 +196,14 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 20_000) -> Gam | Const
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = np.array([features(t) for t in batch.column(1).to_pylist()], float).reshape(-1, len(FEATURES))
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c) for c in x.T)], ["quality", *FEATURES])
+            x = np.array([features(t) for t in batch.column(2).to_pylist()], float).reshape(-1, len(FEATURES))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *(pa.array(c) for c in x.T)], ["quality", "place", *FEATURES])
 
     got = (
         docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most ``sample`` rows of two numbers
-        .select("quality", "text")
-        .mapInArrow(rows, ", ".join(f"{c} double" for c in ("quality", *FEATURES)))
+        .select("quality", F.xxhash64("doc_id", "text").alias("place"), "text")
+        .mapInArrow(rows, "quality double, place long, " + ", ".join(f"{c} double" for c in FEATURES))
+        .orderBy("place", "quality").limit(sample).drop("place")
         .toPandas().to_numpy(float)
     )
     if not len(got):
