@@ -11,13 +11,15 @@ The likeness of two fingerprints is the share of equal entries, over the entries
 either holds a term.
 
 Defined cases: a null text is empty; a text without lexicon terms uses all its terms, one without any has the
-fingerprint ``-`` (likeness 1 to its like, 0 to others); equal texts have equal fingerprints.
+fingerprint ``-`` (likeness 1 to its like, 0 to others); equal texts have equal fingerprints. Ids may be of any type that sorts; null ids
+come first, rows of one id follow each other by a hash of their texts; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -26,6 +28,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 from xxhash import xxh64_intdigest
 
 from martpulse.llm.store import settle
@@ -112,12 +115,17 @@ def in_order(docs: DataFrame, rows_per_block: int = 500, most_blocks: int = 20_0
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     blocks = min(most_blocks, max(1, -(-docs.count() // rows_per_block)))
     at = [i / blocks for i in range(1, blocks)]
-    cuts = docs.agg(F.percentile_approx("doc_id", at, max(10_000, 10 * blocks)).alias("c")).first().c if at else None
-    edges = np.array(sorted(set(cuts or [])))
+    if isinstance(docs.schema["doc_id"].dataType, NumericType):
+        cuts = docs.agg(F.percentile_approx("doc_id", at, max(10_000, 10 * blocks)).alias("c")).first().c if at else None
+    else:  # of other ids, every blocks-th of some twenty per block, chosen by a hash
+        some = F.pmod(F.xxhash64("doc_id"), F.lit(max(1, rows_per_block // 20))) == 0
+        ids = sorted(r.doc_id for r in docs.select("doc_id").where(some & F.col("doc_id").isNotNull()).distinct().limit(40 * blocks).collect())
+        cuts = ids[:: max(1, len(ids) // blocks)][1:] if at else None
+    edges = sorted(set(cuts or []))
 
     @F.pandas_udf("int")
     def block_of(ids: pd.Series) -> pd.Series:
-        return pd.Series(np.where(ids.isna(), 0, np.searchsorted(edges, ids.fillna(0), side="right")))
+        return pd.Series([0 if null else bisect_right(edges, x) for x, null in zip(ids, ids.isna(), strict=True)], dtype="int32")
 
     placed = docs.withColumn("block", block_of("doc_id"))
     lows = placed.groupBy("block").agg(
