@@ -1,5 +1,8 @@
 """A training corpus from raw documents: quality, line dedup, near duplicates, decontamination, mixing.
 
+Nulls, empty tables, ties and repeated rows are as each stage's module states; a null or wordless text passes the stages that keep
+it and is not taken by the mix.
+
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and read again as the next
 stage's ``docs``. All but the last return the columns of ``documents``.
 """
@@ -23,9 +26,11 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Line dedup: repeated lines of any number of words go; documents of which nothing is left go with them.
 
-    One word in five may differ, as far as the Jaccard join goes for documents; blank lines stay as layout.
+    One word in five may differ, as far as the Jaccard join goes for documents; blank lines stay as layout, and a document that is
+    left with these alone is one of which nothing is left.
     """
-    rest = lines.dedup(docs, exact_words=1, near_words=5).where("n_removed = 0 or n_removed is null or trim(text) <> ''")
+    words = F.col("text").rlike(mixing.WORD)
+    rest = lines.dedup(docs, exact_words=1, near_words=5).where((F.coalesce("n_removed", F.lit(0)) == 0) | words)
     changed = F.col("n_removed") > 0
     return rest.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
 
@@ -41,7 +46,7 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Mixing: one row per copy taken, with sizes, targets and the number of the copy."""
+    """Mixing: one row per copy taken, with sizes, targets and the number of the copy; documents without a word are not taken."""
     return mixing.emit(mixing.mix(docs))
 
 
