@@ -156,7 +156,7 @@ select log_hour as hour, count(*) as value from first_login where log_date = '20
   select log_hour, count(*) as n from first_login where log_date = '2024-01-15' group by log_hour)
 select '{{' || string_agg('"' || log_hour || '":' || cast(n as varchar), ',' order by log_hour) || '}}' as hours from h""",
     "q05_dau_incremental": f"""with {FIRST}
-select mid, log_date, cast(cast(log_hour as int) // 12 as int) as batch, event_id from first_login""",
+select mid, log_date, cast(log_hour as int) as batch, event_id from first_login""",
     "q06_order_parse_mask": f"""with {ORDERS}
 select id, province_id, consignee, cast(null as varchar) as order_comment,
        substr(consignee_tel, 1, 4) || '*********' as consignee_tel, order_status, payment_way, user_id,
@@ -294,3 +294,25 @@ from (select user_id, cast(min(ts) as date) as first_day, max(cast(ts as date) =
 SQL["q40_kpi_json"] = f"""with card as ({SQL["q22_kpi_cards"]}), placed as (
   select *, list_position(['dau', 'new_mid', 'order_amount'], id) as pos from card)
 select cast(to_json(list(json_object('id', id, 'name', name, 'value', value) order by pos)) as varchar) as response from placed"""
+
+SQL["q41_stream_dau_late"] = SQL["q30_stream_dau"]
+SQL["q41b_stream_alert_late"] = SQL["q31_stream_alert"]
+SQL["q42_stream_unmatched"] = f"""with {ORDERS}, {DETAILS}
+select o.id as order_id, cast(null as varchar) as order_detail_id, strftime(order_ts, '%Y-%m-%d %H:%M:%S') as seen_at,
+       'order_only' as status
+from o where not exists (select 1 from d where d.order_id = o.id
+                         and d.detail_ts between o.order_ts - interval '100 days' and o.order_ts + interval '100 days')
+union all
+select d.order_id, d.id, strftime(detail_ts, '%Y-%m-%d %H:%M:%S'), 'detail_only'
+from d where not exists (select 1 from o where d.order_id = o.id
+                         and d.detail_ts between o.order_ts - interval '100 days' and o.order_ts + interval '100 days')"""
+SQL["q43_cards_from_tables"] = SQL["q22_kpi_cards"]
+SQL["q45_backfilled_orders"] = f"""with {ORDERS}
+select create_date, round(sum(total_amount + 1), 2) as sum_amount from o group by create_date"""
+SQL["q44_indexed_search"] = f"""with {RED_WIDGET}
+select order_detail_id, sku_name, dt, round({_score("red", "widget")}, 6) as score
+from hit where detail_ts between order_ts - interval '100 days' and order_ts + interval '100 days'
+order by {_score("red", "widget")} desc, order_detail_id limit 100"""
+SQL["q46_search_walk"] = f"""with {_hits("widget")}
+select order_detail_id, sku_name, round({_score("widget")}, 6) as score
+from hit order by {_score("widget")} desc, order_detail_id limit 40 offset 80"""

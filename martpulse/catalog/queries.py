@@ -14,7 +14,7 @@ from martpulse.catalog import replays
 from martpulse.functions.times import date_text, from_millis, hour_text
 from martpulse.operators import facets
 from martpulse.operators.hours import hour_map
-from martpulse.operators.keyed import latest_per
+from martpulse.operators.keyed import first_per, latest_per
 from martpulse.plans import alerts, cards, changes, devices, orders, sales, search
 from martpulse.session import work_dir
 from martpulse.sources import shop, sinks
@@ -88,7 +88,9 @@ def q04b_dau_hour_map(spark, folder):
 
 
 def q05_dau_incremental(spark, folder):
-    return devices.incremental(shop.startup_log(spark, folder)).select("mid", "log_date", "batch", "event_id")
+    """24 batches, each held against what those before it have stored."""
+    found = replays.unseen_logins(spark, shop.startup_log(spark, folder))
+    return found.select("mid", F.col("log_date").cast("string").alias("log_date"), F.col("batch_id").cast("int").alias("batch"), "event_id")
 
 
 # --- orders -------------------------------------------------------------------------------------
@@ -423,6 +425,70 @@ def q40_kpi_json(spark, folder):
     return cards.kpi_json(shop.startup_log(spark, folder), shop.order_heads(spark, folder), LOG_DAY, order_date=ORDER_DAY)
 
 
+# --- rows that come late, wait in vain or come again ---------------------------------------------------
+
+
+def delayed(feed: DataFrame, most_hours: int) -> DataFrame:
+    """The feed as it arrives when every message is held up by its own number of minutes."""
+    minutes = F.pmod(F.xxhash64("value"), F.lit(most_hours * 60)).cast("int")
+    return feed.withColumn("timestamp", F.col("timestamp") + F.make_dt_interval(mins=minutes))
+
+
+def q41_stream_dau_late(spark, folder):
+    """Logs up to four days late, over days that have been closed."""
+    rows, _ = replays.late_logins(spark, delayed(startup_feed(spark, folder), 96))
+    firsts = first_per(rows, ["mid", "log_date"], ["ts", "uid"])
+    return firsts.select("mid", "uid", "log_date", "log_hour")
+
+
+def q41b_stream_alert_late(spark, folder):
+    """Events up to two hours late, over windows that have been closed."""
+    docs, _ = replays.alert_documents(spark, delayed(event_feed(spark, folder), 2), WINDOW, SLIDE)
+    return docs.select("id", "mid", joined_text("uids"), joined_text("itemIds"), joined_text("events"), "ts")
+
+
+def q42_stream_unmatched(spark, folder):
+    rows, _ = replays.unmatched(spark, order_feed(spark, folder), detail_feed(spark, folder), EXPIRY)
+    return rows.select("order_id", "order_detail_id", stamp("seen_at"), "status")
+
+
+def q43_cards_from_tables(spark, folder):
+    """The totals panel from the tables that the jobs keep, without history."""
+    table, seen, _ = replays.first_seen(spark, startup_feed(spark, folder))
+    new = jobs.first_seen_on(spark, seen, F.lit(LOG_DAY))
+    stored, _ = replays.order_rows(spark, order_feed(spark, folder))
+    return cards.kpi_stored(table, new, stored, LOG_DAY, ORDER_DAY).select("id", "name", money("value"))
+
+
+def q44_indexed_search(spark, folder):
+    """A search that reads its words' part of the index, over the sales that the job has stored."""
+    table = sale_run(spark, folder)
+    found = jobs.indexed_sales(spark, table, f"{table}-words", KEYWORD)
+    scored = search.next_page(found, KEYWORD, size=100)
+    return scored.select("order_detail_id", "sku_name", "dt", F.round("score", 6).alias("score"))
+
+
+def q46_search_walk(spark, folder):
+    """The third page of a search, reached from page to page by score and id."""
+    after = None
+    for _ in range(3):
+        found = search.next_page(found_sales(spark, folder), "widget", after=after, size=40)
+        rows = found.select("score", "order_detail_id").collect()  # one page
+        after = (rows[-1].score, rows[-1].order_detail_id) if rows else after
+    return found.select("order_detail_id", "sku_name", F.round("score", 6).alias("score"))
+
+
+def q45_backfilled_orders(spark, folder):
+    """Orders whose status and amount of a week later are known already when an old feed is gone over again."""
+    feed = order_feed(spark, folder)
+    amount = F.get_json_object("value", "$.total_amount").cast("double")
+    newer = feed.withColumn("timestamp", F.col("timestamp") + F.expr("interval 7 days")).withColumn(
+        "value", F.regexp_replace("value", F.lit('"total_amount":"[^"]*"'), F.concat(F.lit('"total_amount":"'), (amount + 1).cast("string"), F.lit('"')))
+    )
+    rows = replays.backfilled_orders(spark, newer, feed)
+    return orders.daily_turnover(rows).select("create_date", money("sum_amount"))
+
+
 ALL = {
     name: function
     for name, function in sorted(globals().items())

@@ -55,6 +55,9 @@ ORDER_COLUMNS = [
 # Slide of the alert window. Alert ids have minute grain, so finer slides only rewrite the same id.
 ALERT_SLIDE = "1 minute"
 
+# How often new devices are looked up among all devices.
+TRIGGER_FIRST_SEEN = "1 hour"
+
 # Default topic names; every job takes them as parameters.
 TOPIC_STARTUP = "startup"
 TOPIC_EVENT = "event"

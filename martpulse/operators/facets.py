@@ -19,14 +19,19 @@ def terms(hits: DataFrame, column: str, limit: int | None = None) -> DataFrame:
     return counts.orderBy(F.desc("doc_count"), "key").limit(limit) if limit else counts
 
 
-def totals(hits: DataFrame) -> DataFrame:
-    """One row with everything the shares need, from one pass over the hits."""
-    return hits.agg(
+def total_columns() -> list[Column]:
+    """Everything the shares need, as aggregates."""
+    return [
         F.count("*").alias("total"),
         F.count_if(F.col("user_gender") == K.MALE).alias("male"),
         F.count_if(is_young(F.col("user_age"))).alias("young"),
         F.count_if(is_old(F.col("user_age"))).alias("old"),
-    )
+    ]
+
+
+def totals(hits: DataFrame) -> DataFrame:
+    """One row with everything the shares need, from one pass over the hits."""
+    return hits.agg(*total_columns())
 
 
 def _option(name: str, value: Column) -> Column:

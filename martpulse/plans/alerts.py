@@ -104,8 +104,12 @@ def documents(
 
     Members are gathered for found alerts only. Event kinds travel as counts and become a list in the document.
     """
+    return documents_of(last_per_minute(detect(events, window, slide, min_users)), events, slide)
+
+
+def documents_of(alerts: DataFrame, events: DataFrame, slide: str) -> DataFrame:
+    """The documents of found alerts (id, mid, window_start, window_end), with their members from ``events``."""
     step = F.expr(f"interval {slide}")
-    alerts = last_per_minute(detect(events, window, slide, min_users))
     panes = alerts.withColumn(
         "pane_start", F.explode(F.sequence("window_start", F.col("window_end") - step, step))
     )

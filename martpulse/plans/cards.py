@@ -10,8 +10,21 @@ from martpulse.plans import devices, orders as order_plans
 
 
 def kpi_totals(logs: DataFrame, orders: DataFrame, date: str | None = None, order_date: str | None = None) -> DataFrame:
-    """Rows (id, name, value): active devices, new devices and turnover of a day (turnover may have its own)."""
-    counts = devices.day_counts(logs, date)
+    """Rows (id, name, value): active devices, new devices and turnover of a day (turnover may have its own).
+
+    From logs alone, which takes their whole history; the tables that the jobs write answer it by :func:`kpi_stored`.
+    """
+    return _cards(devices.day_counts(logs, date), order_plans.turnover(orders, order_date or date))
+
+
+def kpi_stored(
+    table: DataFrame, new: DataFrame, orders: DataFrame, date: str | None = None, order_date: str | None = None
+) -> DataFrame:
+    """:func:`kpi_totals` from the device table, the devices first seen on the day and the order table: no history."""
+    return _cards(devices.stored_counts(table, new, date), order_plans.turnover(orders, order_date or date))
+
+
+def _cards(counts: DataFrame, turnover: DataFrame) -> DataFrame:
     cards = counts.select(
         F.inline(
             F.array(
@@ -24,7 +37,7 @@ def kpi_totals(logs: DataFrame, orders: DataFrame, date: str | None = None, orde
             )
         )
     )
-    amount = order_plans.turnover(orders, order_date or date).select(
+    amount = turnover.select(
         F.lit(K.CARD_AMOUNT[0]).alias("id"), F.lit(K.CARD_AMOUNT[1]).alias("name"),
         F.col("sum_amount").alias("value"),
     )

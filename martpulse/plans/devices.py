@@ -94,14 +94,11 @@ def day_counts_from(logs: DataFrame, seen: DataFrame, date: str | None = None) -
     return active.join(new, "mid", "left").agg(F.count("*").alias("dau"), F.count("new").alias("new_mid"))
 
 
-def incremental(logs: DataFrame, batch_hours: int = 12) -> DataFrame:
-    """First logins found batch by batch: a batch of a day keeps only devices no earlier batch of it has seen.
-
-    Batches follow each other in time, so a device's batch is that of its first row of the day: one aggregate, however
-    many batches a day has.
-    """
-    firsts = first_per(dated(logs), ["mid", "log_date"], ["ts", "event_id"])
-    return firsts.withColumn("batch", F.floor(F.hour("ts") / batch_hours).cast("int"))
+def stored_counts(table: DataFrame, new: DataFrame, date: str | None = None) -> DataFrame:
+    """:func:`day_counts` from the device table's day and the devices first seen on it (``mid``)."""
+    active = _stored(table, date).select("mid")
+    fresh = new.select("mid", F.lit(1).alias("new"))
+    return active.join(fresh, "mid", "left").agg(F.count("*").alias("dau"), F.count("new").alias("new_mid"))
 
 
 def new_devices(logs: DataFrame) -> DataFrame:

@@ -2,7 +2,9 @@
 
 A micro-batch writes only its own rows, below ``run=<r>/batch_id=<n>``; rewriting that folder makes a replayed batch
 harmless. A run is one streaming query with one checkpoint: a job that starts with a new checkpoint on an existing
-table counts its batches from 0 again, but gets the next run number, so it replaces nothing and its rows are newer.
+table counts its batches from 0 again, but gets the next run number, so it replaces nothing. Newest is what was seen last,
+by the time in the rows (``order``); run and batch only decide between rows of the same time, so that a job that
+goes over an old feed again leaves newer rows alone.
 
 Rewriting whole day partitions for each batch of a few seconds would cost far more than the batch. ``fold_days`` folds the batches of closed days
 into one while the job runs; ``compact`` folds a whole table into a new one.
@@ -11,11 +13,13 @@ into one while the job runs; ``compact`` folds a whole table into a new one.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from martpulse.operators.keyed import latest_per
 
 WRITTEN = "run BIGINT, batch_id BIGINT"
 RUNS = "_runs"  # hidden from readers of the table
+FOLDED = "_folded"  # folders whose rows a fold has copied, to be deleted by the next
 
 
 def _files(spark: SparkSession, path: str):
@@ -45,15 +49,16 @@ def run_number(spark: SparkSession, path: str) -> int:
     return int(known[query])
 
 
-def even_files(rows: DataFrame, partition: str) -> DataFrame:
+def even_files(rows: DataFrame, *partition: str) -> DataFrame:
     """Rows arranged for a write by ``partition``: small days share a task, a huge day is split."""
-    return rows.hint("rebalance", partition)
+    return rows.hint("rebalance", *partition)
 
 
-def write_batch(rows: DataFrame, batch_id: int, path: str, partition: str | None = None) -> None:
+def write_batch(rows: DataFrame, batch_id: int, path: str, partition: str | list[str] | None = None) -> None:
     target = f"{path}/run={run_number(rows.sparkSession, path)}/batch_id={batch_id}"
     if partition:
-        even_files(rows, partition).write.mode("overwrite").partitionBy(partition).parquet(target)
+        by = [partition] if isinstance(partition, str) else partition
+        even_files(rows, *by).write.mode("overwrite").partitionBy(*by).parquet(target)
     else:
         rows.write.mode("overwrite").parquet(target)
 
@@ -63,16 +68,36 @@ def read_all(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(f"{schema}, {WRITTEN}").parquet(path)
 
 
+def any_rows(spark: SparkSession, path: str) -> bool:
+    """Whether a table has any batch."""
+    return any(name.startswith("run=") for name in _names(spark, path))
+
+
+def read_before(spark: SparkSession, path: str, schema: str, batch_id: int) -> DataFrame:
+    """All rows but those of the running batch, which a replay of it must not meet; none if there is no table yet."""
+    run = run_number(spark, path)
+    if not any_rows(spark, path):
+        return spark.createDataFrame([], f"{schema}, {WRITTEN}")
+    return read_all(spark, path, schema).where(~((F.col("run") == run) & (F.col("batch_id") >= batch_id)))
+
+
+def stream_all(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A table's rows as a stream, batch by batch as they are written; a replayed batch may be delivered twice."""
+    files, at = _files(spark, path)
+    files.mkdirs(at)
+    return spark.readStream.schema(f"{schema}, {WRITTEN}").parquet(path)
+
+
 def read_latest(
     spark: SparkSession, path: str, schema: str, keys: list[str], order: list[str] = (), columns: list[str] | None = None
 ) -> DataFrame:
-    """The newest row per key: later runs and batches win, within a batch the largest ``order``.
+    """The newest row per key: the largest ``order`` wins, then later runs and batches.
 
     Name columns that never change for an id, such as the day a table is stored by, among ``keys``: filters on them then
     reach the scan. ``columns`` are those wanted besides the keys; others are not read.
     """
     rows = read_all(spark, path, schema)
-    newest = ["run", "batch_id", *order]
+    newest = [*order, "run", "batch_id"]
     if columns is not None:
         wanted = [*keys, *columns, *newest]
         rows = rows.select(*[c for c in rows.columns if c in wanted])
@@ -99,10 +124,12 @@ def fold_days(
 ) -> None:
     """Fold the batches of some days into one, while the job goes on; ``keys`` must include ``partition``.
 
-    Only what is finished is touched: all batches but the newest. The folded rows go to a new batch of run 0, older than any
-    that a job writes; then the folders they came from are deleted. Between the two, readers see rows twice, which
-    changes nothing, as they take the newest per key; a fold that breaks off is mended by the next.
+    Only what is finished is touched: all batches but the newest. The folded rows go to a new batch of run 0; the folders they
+    came from are noted, and the next fold deletes them, so that a reader that has listed them can finish. Till then readers see rows
+    twice, which changes nothing, as they take the newest per key; a fold that breaks off is mended by the next.
+    ``order`` must be that of ``read_latest``: which row is newest must not depend on the batch it lies in.
     """
+    _delete_folded(spark, path)
     places = [
         (int(run.partition("=")[2]), int(batch.partition("=")[2]))
         for run in _names(spark, path) if run.startswith("run=")
@@ -117,8 +144,39 @@ def fold_days(
         return
     rows = spark.read.schema(f"{schema}, {WRITTEN}").option("basePath", path).parquet(*folders)
     folded = max((batch for run, batch in places if run == 0), default=-1) + 1
-    latest = latest_per(rows, keys, ["run", "batch_id", *order]).drop("run", "batch_id")
+    latest = latest_per(rows, keys, [*order, "run", "batch_id"]).drop("run", "batch_id")
     even_files(latest, partition).write.mode("errorifexists").partitionBy(partition).parquet(f"{path}/run=0/batch_id={folded}")
-    for folder in folders:
-        files, at = _files(spark, folder)
-        files.delete(at, True)
+    note = spark.createDataFrame([(f,) for f in folders], "folder string")
+    note.coalesce(1).write.text(f"{path}/{FOLDED}/{folded}")
+
+
+def _delete_folded(spark: SparkSession, path: str) -> None:
+    """Delete the folders that earlier folds have copied."""
+    for name in _names(spark, f"{path}/{FOLDED}"):
+        note = f"{path}/{FOLDED}/{name}"
+        if _files(spark, f"{note}/_SUCCESS")[0].exists(_files(spark, f"{note}/_SUCCESS")[1]):
+            for row in spark.read.text(note).collect():  # one line per folder of a fold
+                files, at = _files(spark, row.value)
+                files.delete(at, True)
+            files, at = _files(spark, note)
+            files.delete(at, True)
+
+
+MARKS = "_marks"
+
+
+def latest_mark(spark: SparkSession, path: str, run: int, batch_id: int) -> int | None:
+    """The largest time of all batches of a table before this one, in microseconds."""
+    marks = [tuple(int(x) for x in name.split("_")) for name in _names(spark, f"{path}/{MARKS}")]
+    return max((m for r, b, m in marks if (r, b) != (run, batch_id)), default=None)
+
+
+def put_mark(spark: SparkSession, path: str, run: int, batch_id: int, micros: int) -> None:
+    """Note the largest time up to a batch; a batch that is replayed has the marks of those before it, never its own."""
+    files, at = _files(spark, f"{path}/{MARKS}/{run}_{batch_id}_{micros}")
+    files.mkdirs(at)
+    for name in _names(spark, f"{path}/{MARKS}"):
+        r, b, m = (int(x) for x in name.split("_"))
+        if r == run and b < batch_id - 1 and m <= micros:
+            files, old = _files(spark, f"{path}/{MARKS}/{name}")
+            files.delete(old, True)

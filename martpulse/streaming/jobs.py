@@ -7,10 +7,16 @@ replaces nothing.
 The watermarks of the device and alert jobs follow the devices' clocks. A clock that runs ahead of the arrival of its
 message by more than ``ahead`` would close windows for everyone: such rows are kept out of these jobs, and
 ``start_aside`` writes them, with malformed messages, to a side table.
+
+Rows that come late are not lost either. ``start_landing`` writes the parsed rows of a feed to a table, those behind the largest
+time of earlier batches by more than ``late`` apart from the others. The jobs over landed rows read those on time, none of
+which their own watermark (of the same length) can drop, and a correction job folds those behind into days and windows
+that have been closed.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,13 +25,17 @@ from pyspark.sql.streaming import StreamingQuery
 
 from martpulse import constants as K
 from martpulse import schemas
+from martpulse.functions.texts import has_all_words, words as words_of
 from martpulse.functions.times import date_text, from_millis, hour_text
 from martpulse.operators.joins import replicated, salted
-from martpulse.operators.keyed import latest_per
-from martpulse.plans import alerts, changes, sales
+from martpulse.functions.times import micros
+from martpulse.operators.keyed import first_per, latest_per, unseen
+from martpulse.plans import alerts, changes, devices, sales
 from martpulse.plans.orders import order_rows
 from martpulse.sources.feeds import ahead, parse, unsound
-from martpulse.sources.sinks import read_all, read_latest, write_batch
+from martpulse.sources.sinks import (
+    fold_days, latest_mark, put_mark, read_all, read_before, read_latest, run_number, stream_all, any_rows, write_batch,
+)
 
 DOCUMENT_DAY = "ingest_date"
 
@@ -74,6 +84,57 @@ def to_console(rows: DataFrame, checkpoint: str, trigger: dict) -> StreamingQuer
     )
 
 
+# --- landed rows --------------------------------------------------------------------------------
+
+LANDED = "event_ts TIMESTAMP, late BOOLEAN, event_period STRING"
+PERIOD = {"hour": 13, "day": 10}  # characters of a time that name its folder
+
+
+def landed_schema(schema) -> str:
+    casts = schemas.CASTS
+    return ", ".join(f"{f} {casts.get(f, 'string')}" for f in schema.fieldNames()) + ", " + LANDED
+
+
+def start_landing(
+    feed: DataFrame, schema, table: str, checkpoint: str, trigger: dict | None = None, late: str = "1 hour", period: str = "hour",
+):
+    """Parsed rows with ``event_ts``, in folders by ``late`` and hour (or day) of the event.
+
+    A row is late if it lies more than ``late`` behind the largest time of all batches before its own. A job that reads the rows on
+    time has seen no later time than these batches when it comes to the row, so a watermark of the same length keeps it.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        run = run_number(spark, table)
+        before = latest_mark(spark, table, run, batch_id)
+        rows = batch.persist()
+        try:
+            most, length = rows.agg(F.unix_micros(F.max("event_ts")), F.any_value(micros(late))).first()
+            if most is None:
+                return
+            edge = F.lit(None if before is None else before - length).cast("bigint")
+            behind = F.coalesce(F.unix_micros("event_ts") < edge, F.lit(False))
+            write_batch(
+                rows.withColumn("late", behind).withColumn("event_period", event_hour(F.col("event_ts")).substr(1, PERIOD[period])),
+                batch_id, table, ["late", "event_period"],
+            )
+            put_mark(spark, table, run, batch_id, max(most, before or most))
+        finally:
+            rows.unpersist()
+
+    return _run(parsed_logs(feed, schema), write, checkpoint, trigger or {"processingTime": K.TRIGGER_LOGS})
+
+
+def event_hour(ts: Column) -> Column:
+    return F.date_format(ts, "yyyy-MM-dd HH")
+
+
+def landed(spark: SparkSession, table: str, schema, late: bool = False) -> DataFrame:
+    """The landed rows on time, or those behind, as a stream."""
+    return stream_all(spark, table, landed_schema(schema)).where(F.col("late") if late else ~F.col("late"))
+
+
 # --- daily devices ----------------------------------------------------------------------------
 
 DEVICE_COLUMNS = ["mid", "uid", "appid", "area", "os", "ch", "type", "vs", "log_date", "log_hour", "ts"]
@@ -120,30 +181,167 @@ def new_logins(feed: DataFrame, late: str = "1 hour") -> DataFrame:
     from the first batch is the one with the smallest time. ``batch_at`` is the batch's own clock: a device is
     new when all its rows so far have that of the running batch. State of a day goes once the watermark passes it.
     """
-    logs = counted(parsed_logs(feed), "logs").withWatermark("event_ts", late)
-    logs = logs.withColumn("batch_at", F.current_timestamp())
+    return first_logins(counted(parsed_logs(feed), "logs"), late)
+
+
+def first_logins(logs: DataFrame, late: str = "1 hour") -> DataFrame:
+    """:func:`new_logins` of parsed logs."""
+    logs = logs.withWatermark("event_ts", late).withColumn("batch_at", F.current_timestamp())
     row = F.struct("uid", "appid", "area", "os", "ch", "type", "vs", "ts")
-    devices = logs.groupBy(F.window("event_ts", "1 day").alias("day"), "mid").agg(
+    found = logs.groupBy(F.window("event_ts", "1 day").alias("day"), "mid").agg(
         F.min_by(row, F.struct("ts", "uid")).alias("row"),
         F.min("batch_at").alias("first_batch"),
         F.max("batch_at").alias("last_batch"),
     )
-    at = from_millis(F.col("row.ts"))
-    fresh = devices.where(F.col("first_batch") == F.col("last_batch"))
-    named = fresh.select("mid", "row.*", date_text(at).alias("log_date"), hour_text(at).alias("log_hour"))
-    return counted(named.select(*DEVICE_COLUMNS), "new_logins")
+    fresh = found.where(F.col("first_batch") == F.col("last_batch"))
+    return counted(login_rows(fresh.select("mid", "row.*")), "new_logins")
 
 
-def start_devices(feed: DataFrame, table: str, checkpoint: str, trigger: dict | None = None, late: str = "1 hour"):
+def login_rows(logs: DataFrame) -> DataFrame:
+    """Logs as rows of the device table."""
+    at = from_millis(F.col("ts"))
+    return logs.withColumn("log_date", date_text(at)).withColumn("log_hour", hour_text(at)).select(*DEVICE_COLUMNS)
+
+
+def _write_devices(table: str) -> Callable[[DataFrame, int], None]:
     def write(batch: DataFrame, batch_id: int) -> None:
         write_batch(batch, batch_id, table, "log_date")
 
-    return _run(new_logins(feed, late), write, checkpoint, trigger or {"processingTime": K.TRIGGER_LOGS}, "update")
+    return write
+
+
+def start_devices(feed: DataFrame, table: str, checkpoint: str, trigger: dict | None = None, late: str = "1 hour"):
+    return _run(new_logins(feed, late), _write_devices(table), checkpoint, trigger or {"processingTime": K.TRIGGER_LOGS}, "update")
+
+
+def start_landed_devices(
+    spark: SparkSession, logs: str, table: str, checkpoint: str, trigger: dict | None = None, late: str = "1 hour",
+):
+    """:func:`start_devices` over the landed logs that are on time."""
+    rows = counted(landed(spark, logs, schemas.STARTUP_LOG), "logs")
+    return _run(first_logins(rows, late), _write_devices(table), checkpoint, trigger or {"processingTime": K.TRIGGER_LOGS}, "update")
+
+
+def earlier_logins(rows: DataFrame, stored: DataFrame) -> DataFrame:
+    """First logins among ``rows`` that ``stored`` lacks or has with a later time, one per device and day."""
+    firsts = first_per(rows, ["mid", "log_date"], ["ts", "uid"])
+    known = stored.select("mid", "log_date", F.col("ts").alias("known_ts"))
+    at_or_before = firsts.join(known, ["mid", "log_date"]).where(F.col("known_ts") <= F.col("ts"))
+    return unseen(firsts, at_or_before, ["mid", "log_date"])
+
+
+def start_late_devices(
+    spark: SparkSession, logs: str, table: str, corrections: str, checkpoint: str, trigger: dict | None = None,
+):
+    """Folds landed logs that came late into their days: devices the day lacks, and logs earlier than its first.
+
+    They go to a table of their own, which :func:`stored_devices` reads along, as a table has one writer. A batch reads
+    the days it holds rows of, from both tables, and no others. A row may be in both tables, since the device job may not have come
+    to its day yet; readers take the earliest.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rows = login_rows(batch).persist()
+        try:
+            days = [r.log_date for r in rows.select("log_date").distinct().collect()]  # one value per day
+            parts = [read_before(batch.sparkSession, corrections, DEVICE_TABLE, batch_id)]
+            if any_rows(batch.sparkSession, table):
+                parts.append(read_all(batch.sparkSession, table, DEVICE_TABLE))
+            stored = parts[0].unionByName(parts[-1]) if len(parts) > 1 else parts[0]
+            fresh = earlier_logins(rows, stored.where(F.col("log_date").isin(days)))
+            write_batch(fresh.select(*DEVICE_COLUMNS), batch_id, corrections, "log_date")
+        finally:
+            rows.unpersist()
+
+    late = landed(spark, logs, schemas.STARTUP_LOG, late=True)
+    return _run(late, write, checkpoint, trigger or {"processingTime": K.TRIGGER_LOGS})
+
+
+def stored_devices(spark: SparkSession, table: str, corrections: str | None = None) -> DataFrame:
+    """The device table, and what came late for it, as ``devices.stored_total`` and the like take it."""
+    rows = read_all(spark, table, DEVICE_TABLE)
+    if corrections and any_rows(spark, corrections):
+        rows = rows.unionByName(read_all(spark, corrections, DEVICE_TABLE))
+    return rows
+
+
+SEEN_TABLE = "mid STRING, log_date STRING, bucket INT"
+SEEN_BUCKETS = 4
 
 
-def stored_devices(spark: SparkSession, table: str) -> DataFrame:
-    """The device table as ``devices.stored_total`` and the like take it."""
-    return read_all(spark, table, DEVICE_TABLE)
+def write_unseen(logs: DataFrame, batch_id: int, table: str, seen: str) -> None:
+    """The first log of every device and day that no earlier batch has seen; the devices join the stored set.
+
+    The set is stored by day and bucket of devices: a batch reads the days and buckets it has devices in, two columns of them.
+    """
+    spark = logs.sparkSession
+    bucket = F.pmod(F.crc32("mid"), F.lit(SEEN_BUCKETS)).cast("int")
+    firsts = first_per(devices.dated(logs), ["mid", "log_date"], ["ts", "event_id"]).withColumn("bucket", bucket).persist()
+    try:
+        places = firsts.select("log_date", "bucket").distinct().collect()  # days times buckets at most
+        known = read_before(spark, seen, SEEN_TABLE, batch_id).where(
+            F.col("log_date").isin([p.log_date for p in places]) & F.col("bucket").isin(sorted({p.bucket for p in places}))
+        )
+        fresh = unseen(firsts, known, ["mid", "log_date"]).persist()
+        try:
+            write_batch(fresh.drop("bucket"), batch_id, table, "log_date")
+            # Last: a batch that breaks off before is done again, and does not meet its own devices.
+            write_batch(fresh.select("mid", "log_date", "bucket"), batch_id, seen, ["log_date", "bucket"])
+        finally:
+            fresh.unpersist()
+    finally:
+        firsts.unpersist()
+
+
+# --- devices by the day they were first seen --------------------------------------------------------
+
+FIRST_BY_DAY = "mid STRING, gone BOOLEAN, first_date STRING"
+FIRST_BY_DEVICE = "mid STRING, first_date STRING, bucket INT"
+FIRST_BUCKETS = 64
+
+
+def start_first_seen(
+    spark: SparkSession, tables: str | list[str], table: str, checkpoint: str, trigger: dict | None = None, buckets: int = FIRST_BUCKETS,
+):
+    """The day each device was first seen, kept up from the device table (and its corrections) batch by batch.
+
+    Stored twice: by bucket of devices, where a batch looks up its devices, and by day, where the cards read one day's new
+    devices. A device that turns out to have been there earlier gets a row in the earlier day, and one that takes it out of
+    the later. All devices of a batch are looked up, so hours or days suit this job better than seconds.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        bucket = F.pmod(F.crc32("mid"), F.lit(buckets)).cast("int")
+        found = batch.groupBy("mid").agg(F.min("log_date").alias("first_date")).withColumn("bucket", bucket).persist()
+        try:
+            wanted = [r.bucket for r in found.select("bucket").distinct().collect()]  # at most ``buckets`` numbers
+            known = read_before(session, f"{table}/by_device", FIRST_BY_DEVICE, batch_id).where(F.col("bucket").isin(wanted))
+            known = known.groupBy("mid").agg(F.min("first_date").alias("known_date"))
+            met = found.join(known, "mid", "left").where(F.col("known_date").isNull() | (F.col("first_date") < F.col("known_date")))
+            met = met.persist()
+            days = met.select("mid", F.inline(F.array(
+                F.struct(F.lit(False).alias("gone"), F.col("first_date").alias("first_date")),
+                F.struct(F.lit(True).alias("gone"), F.col("known_date").alias("first_date")),
+            ))).where(F.col("first_date").isNotNull())
+            write_batch(days, batch_id, f"{table}/by_day", "first_date")
+            # Last, as it is what a batch done again must not find.
+            write_batch(met.select("mid", "first_date", "bucket"), batch_id, f"{table}/by_device", "bucket")
+            met.unpersist()
+        finally:
+            found.unpersist()
+
+    paths = [tables] if isinstance(tables, str) else tables
+    rows = stream_all(spark, paths[0], DEVICE_TABLE).select("mid", "log_date")
+    for path in paths[1:]:
+        rows = rows.unionByName(stream_all(spark, path, DEVICE_TABLE).select("mid", "log_date"))
+    return _run(rows, write, checkpoint, trigger or {"processingTime": K.TRIGGER_FIRST_SEEN})
+
+
+def first_seen_on(spark: SparkSession, table: str, date: Column) -> DataFrame:
+    """(mid): devices first seen on a day; reads that day's folders only."""
+    rows = read_all(spark, f"{table}/by_day", FIRST_BY_DAY).where(F.col("first_date") == date)
+    return rows.groupBy("mid").agg(F.max("gone").alias("gone")).where(~F.col("gone")).select("mid")
 
 
 # --- orders -------------------------------------------------------------------------------------
@@ -178,6 +376,11 @@ def stored_orders(spark: SparkSession, table: str, columns: list[str] | None = N
     return read_latest(spark, table, ORDER_TABLE, ["create_period", "create_date", "id"], ["seen_at"], columns)
 
 
+def fold_orders(spark: SparkSession, table: str, periods: list[str]) -> None:
+    """Fold the batches of closed days or months of the order table."""
+    fold_days(spark, table, ORDER_TABLE, ["create_period", "create_date", "id"], "create_period", periods, ["seen_at"])
+
+
 # --- users --------------------------------------------------------------------------------------
 
 USER_BUCKETS = 64
@@ -250,51 +453,113 @@ ALERT_TABLE = (
 
 
 def live_alerts(
-    feed: DataFrame, window: str = K.ALERT_WINDOW, slide: str = K.ALERT_SLIDE, min_users: int = K.ALERT_MIN_USERS,
+    events: DataFrame, window: str = K.ALERT_WINDOW, slide: str = K.ALERT_SLIDE, min_users: int = K.ALERT_MIN_USERS,
     late: str = "5 seconds",
 ) -> DataFrame:
-    """Alert documents, each when its window closes.
+    """(mid, window_start, window_end, uid_count) of alerts, each when its window closes, from events with ``event_ts``.
 
-    Two aggregations in a row: rows are counted per pane, device, event kind, user and item, which spreads a busy
-    device over many keys; only these counts are copied into sliding windows and folded per device.
+    State holds marks only: one row per pane, device and user with coupons (or, without user, for clicks), then one per
+    window and user, then one per window. No row grows with the traffic, and members are not gathered here.
     """
-    events = parsed_logs(feed, schemas.EVENT_LOG).withWatermark("event_ts", late)
-    counts = events.groupBy(
-        F.window("event_ts", slide).alias("pane"), "mid", "evid",
-        F.when(alerts.is_coupon(), F.col("uid")).alias("uid"),
-        F.when(alerts.is_coupon(), F.col("itemid")).alias("itemid"),
+    marked = events.where(alerts.is_click() | (alerts.is_coupon() & F.col("uid").isNotNull())).withWatermark("event_ts", late)
+    marks = marked.groupBy(
+        F.window("event_ts", slide).alias("pane"), "mid", F.when(alerts.is_coupon(), F.col("uid")).alias("user")
     ).agg(F.count("*").alias("n"))
-    per_window = counts.groupBy(alerts.windows_of_panes(window, slide).alias("win"), "mid").agg(
-        F.collect_set("uid").alias("uids"),
-        F.collect_set("itemid").alias("items"),
-        F.collect_list(F.struct("evid", "n")).alias("counts"),
-        F.max(alerts.is_click()).alias("clicked"),
+    users = marks.groupBy(alerts.windows_of_panes(window, slide).alias("win"), "mid", "user").agg(F.sum("n").alias("n"))
+    counts = users.groupBy("win", "mid").agg(
+        F.count("user").alias("uid_count"), F.count_if(F.col("user").isNull()).alias("clicks")
     )
-    end = F.col("win.end")
-    return per_window.where((F.size("uids") >= min_users) & ~F.col("clicked")).select(
-        alerts.minute_id(F.col("mid"), end).alias("id"), "mid",
-        F.sort_array("uids").alias("uids"), F.sort_array("items").alias("itemIds"),
-        alerts.listed(F.col("counts")).alias("events"), F.unix_millis(end).alias("ts"),
+    return counts.where((F.col("uid_count") >= min_users) & (F.col("clicks") == 0)).select(
+        "mid", F.col("win.start").alias("window_start"), F.col("win.end").alias("window_end"), "uid_count"
     )
 
 
+def events_between(spark: SparkSession, table: str, found: DataFrame) -> DataFrame:
+    """Landed events (``ts`` as a time) of the hours that the windows of ``found`` span, and of their devices."""
+    low, high = F.min("window_start"), F.max("window_end")
+    low, high, first, last = found.agg(F.unix_micros(low), F.unix_micros(high), event_hour(low), event_hour(high)).first()
+    period = F.col("event_period")
+    rows = read_all(spark, table, landed_schema(schemas.EVENT_LOG)).where(
+        (period >= first[: PERIOD["day"]]) & (period <= last)
+        & ((period >= first) | (F.length(period) == PERIOD["day"]))
+        & (F.col("event_ts") >= F.timestamp_micros(F.lit(low))) & (F.col("event_ts") < F.timestamp_micros(F.lit(high)))
+    )
+    rows = rows.select("mid", "uid", "evid", "itemid", F.col("event_ts").alias("ts"))
+    return rows.join(found.select("mid").distinct(), "mid", "left_semi")
+
+
 def start_alerts(
-    feed: DataFrame, table: str, checkpoint: str, trigger: dict | None = None, ingest_date: Column | None = None,
-    **options,
+    spark: SparkSession, events: str, table: str, checkpoint: str, trigger: dict | None = None,
+    ingest_date: Column | None = None, slide: str = K.ALERT_SLIDE, **options,
 ):
-    """Alert documents, upserted by id, by day of writing."""
+    """Alert documents over the landed events, upserted by id, by day of writing.
+
+    Windows that fire fetch their members from the landed rows, which are there before the job can see them.
+    """
     day = date_text(F.current_timestamp()) if ingest_date is None else ingest_date
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        newest = latest_per(batch.withColumn(DOCUMENT_DAY, day), [DOCUMENT_DAY, "id"], ["ts"])
-        write_batch(newest, batch_id, table, DOCUMENT_DAY)
+        found = batch.persist()
+        try:
+            if found.isEmpty():
+                return
+            members = events_between(batch.sparkSession, events, found)
+            docs = alerts.documents_of(alerts.last_per_minute(found), members, slide)
+            write_batch(docs.withColumn(DOCUMENT_DAY, day), batch_id, table, DOCUMENT_DAY)
+        finally:
+            found.unpersist()
+
+    rows = live_alerts(landed(spark, events, schemas.EVENT_LOG), slide=slide, **options)
+    return _run(rows, write, checkpoint, trigger or {"processingTime": K.TRIGGER_LOGS})
+
+
+def start_late_alerts(
+    spark: SparkSession, events: str, corrections: str, checkpoint: str, trigger: dict | None = None,
+    window: str = K.ALERT_WINDOW, slide: str = K.ALERT_SLIDE, min_users: int = K.ALERT_MIN_USERS,
+):
+    """Decides again on the windows that late events lie in, from the landed rows.
+
+    Every id of such a window gets a row in ``corrections``: its document, or one without users where nothing fires (any more).
+    """
 
-    return _run(live_alerts(feed, **options), write, checkpoint, trigger or {"processingTime": K.TRIGGER_LOGS})
+    def write(batch: DataFrame, batch_id: int) -> None:
+        length, step = F.expr(f"interval {window}"), F.expr(f"interval {slide}")
+        win = F.window("event_ts", window, slide)
+        touched = batch.select("mid", win.alias("win")).select(
+            "mid", F.col("win.start").alias("window_start"), F.col("win.end").alias("window_end")
+        ).distinct().persist()
+        try:
+            if touched.isEmpty():
+                return
+            # An id is a minute: all windows that end within it are decided on together.
+            spread = touched.select("mid", (F.col("window_start") - length).alias("window_start"), (F.col("window_end") + step).alias("window_end"))
+            members = events_between(batch.sparkSession, events, spread).persist()
+            ids = touched.select(alerts.minute_id(F.col("mid"), F.col("window_end")).alias("id"), "mid").distinct()
+            docs = alerts.documents(members, window, slide, min_users)
+            rows = ids.join(docs.drop("mid"), "id", "left").withColumn("ts", F.coalesce("ts", F.lit(0).cast("long")))
+            rows = rows.select("id", "mid", "uids", "itemIds", "events", "ts")
+            write_batch(rows.withColumn(DOCUMENT_DAY, date_text(F.current_timestamp())), batch_id, corrections, DOCUMENT_DAY)
+            members.unpersist()
+        finally:
+            touched.unpersist()
+
+    late = landed(spark, events, schemas.EVENT_LOG, late=True)
+    return _run(late, write, checkpoint, trigger or {"processingTime": K.TRIGGER_LOGS})
+
+
+def stored_alerts(spark: SparkSession, table: str, corrections: str | None = None) -> DataFrame:
+    """The newest document per id; of a corrected id the last correction, or none."""
+    rows = read_latest(spark, table, ALERT_TABLE, ["id"], ["ts"]) if any_rows(spark, table) else spark.createDataFrame([], ALERT_TABLE)
+    if corrections and any_rows(spark, corrections):
+        fixed = read_latest(spark, corrections, ALERT_TABLE, ["id"])
+        rows = unseen(rows, fixed, ["id"]).unionByName(fixed.where(F.col("uids").isNotNull()))
+    return rows
 
 
 # --- sale detail ----------------------------------------------------------------------------------
 
-SALE_TABLE = schemas.SALE_DETAIL + ", ingest_date STRING, sale_period STRING"
+SALE_TABLE = schemas.SALE_DETAIL + ", order_ts TIMESTAMP, detail_ts TIMESTAMP, ingest_date STRING, sale_period STRING"
+SALE_ORDER = ["order_ts", "detail_ts"]
 
 
 def matched_sales(
@@ -323,10 +588,12 @@ def matched_sales(
 def start_sales(
     order_feed: DataFrame, detail_feed: DataFrame, users: Callable[[DataFrame], DataFrame], table: str,
     checkpoint: str, as_of: str | None = None, trigger: dict | None = None, ingest_date: Column | None = None,
-    period: str = "day", **options,
+    period: str = "day", words: str | None = None, **options,
 ):
     """Sale documents with buyer, upserted by line id, in folders by day (or month) of the sale; ``ingest_date`` is a column.
 
+    ``words`` names the table of the word index, which is written before the documents that it leads to.
+
     ``users`` is called for every batch with the ids of its buyers and returns their records as they are then. Ages are
     those on ``as_of``, or on the day the batch is written.
     """
@@ -340,7 +607,10 @@ def start_sales(
             today = as_of or str(batch.sparkSession.range(1).select(F.current_date()).first()[0])
             rows = sales.with_users(newest, users(buyers), today)
             rows = rows.withColumn(DOCUMENT_DAY, day).withColumn("sale_period", F.substring("dt", 1, length))
-            write_batch(rows.select(*schemas.SALE_DETAIL_COLUMNS, DOCUMENT_DAY, "sale_period"), batch_id, table, "sale_period")
+            rows = rows.select(*schemas.SALE_DETAIL_COLUMNS, *SALE_ORDER, DOCUMENT_DAY, "sale_period")
+            if words:
+                write_batch(word_rows(newest.withColumn("sale_period", F.substring("dt", 1, length))), batch_id, words, ["sale_period", "bucket"])
+            write_batch(rows, batch_id, table, "sale_period")
         finally:
             newest.unpersist()
 
@@ -349,7 +619,80 @@ def start_sales(
 
 def stored_sales(spark: SparkSession, table: str, columns: list[str] | None = None, date: str | None = None) -> DataFrame:
     """The newest sale document per line; the day of a sale is a key, so that its filter prunes folders and columns."""
-    rows = read_latest(spark, table, SALE_TABLE, ["sale_period", "dt", "order_detail_id"], columns=columns)
+    rows = read_latest(spark, table, SALE_TABLE, ["sale_period", "dt", "order_detail_id"], SALE_ORDER, columns)
     if date:
         rows = rows.where(F.col("sale_period").isin(date, date[:7]) & (F.col("dt") == date))
     return rows
+
+
+WORD_TABLE = "word STRING, order_detail_id STRING, dt STRING, sale_period STRING, bucket INT"
+WORD_BUCKETS = 16
+
+
+def word_bucket(word: Column) -> Column:
+    return F.pmod(F.crc32(word), F.lit(WORD_BUCKETS)).cast("int")
+
+
+def word_rows(lines: DataFrame) -> DataFrame:
+    """One row per line and distinct word of its goods, sorted by word, so that a reader skips the row groups of others."""
+    found = lines.select(
+        F.explode(F.array_distinct(words_of(F.col("sku_name")))).alias("word"), "order_detail_id", "dt", "sale_period"
+    )
+    return found.withColumn("bucket", word_bucket(F.col("word")))
+
+
+def indexed_sales(spark: SparkSession, table: str, words: str, keyword: str, date: str | None = None) -> DataFrame:
+    """The newest sale documents whose goods carry every word of the keyword, by way of the word index.
+
+    Only the buckets of these words (and the days asked for) are read of the index, and only lines it names are folded of the
+    documents. The words are tested again on the newest document, as an older one may have had another name.
+    """
+    wanted = sorted({r.w for r in spark.range(1).select(F.explode(words_of(F.lit(keyword))).alias("w")).collect()})
+    rows = read_all(spark, words, WORD_TABLE).where(
+        F.col("word").isin(wanted) & F.col("bucket").isin([zlib.crc32(w.encode()) % WORD_BUCKETS for w in wanted])
+    )
+    docs = read_all(spark, table, SALE_TABLE)
+    if date:
+        days = F.col("sale_period").isin(date, date[:7]) & (F.col("dt") == date)
+        rows, docs = rows.where(days), docs.where(days)
+    ids = rows.select("word", "order_detail_id").distinct().groupBy("order_detail_id").agg(F.count("*").alias("n"))
+    found = docs.join(ids.where(F.col("n") == len(wanted)).select("order_detail_id"), "order_detail_id", "left_semi")
+    newest = latest_per(found, ["sale_period", "dt", "order_detail_id"], [*SALE_ORDER, "run", "batch_id"])
+    return newest.where(has_all_words(F.col("sku_name"), keyword)).drop("run", "batch_id")
+
+
+# --- orders and lines that never meet ---------------------------------------------------------------
+
+UNMATCHED_TABLE = "order_id STRING, order_detail_id STRING, seen_at TIMESTAMP, status STRING"
+
+
+def unmatched_sales(order_feed: DataFrame, detail_feed: DataFrame, expiry: str = K.JOIN_EXPIRY) -> DataFrame:
+    """(order_id, order_detail_id, seen_at, status): orders without any line and lines without order, once their time is over.
+
+    A full outer join in which both sides wait at most ``expiry``; keys and times are all that the state holds.
+    """
+    orders = parse(order_feed, schemas.ORDER_INFO, "id", keep=("timestamp",)).select(
+        F.col("id").alias("order_id"), F.col("timestamp").alias("order_ts")
+    ).withWatermark("order_ts", expiry)
+    details = parse(detail_feed, schemas.ORDER_DETAIL, "order_id", keep=("timestamp",)).select(
+        F.col("id").alias("order_detail_id"), F.col("order_id").alias("d_order_id"), F.col("timestamp").alias("detail_ts")
+    ).withWatermark("detail_ts", expiry)
+    on = (F.col("order_id") == F.col("d_order_id")) & sales.within_expiry(F.col("order_ts"), F.col("detail_ts"), expiry)
+    alone = orders.join(details, on, "full_outer").where(F.col("order_id").isNull() | F.col("d_order_id").isNull())
+    status = F.when(F.col("d_order_id").isNull(), "order_only").otherwise("detail_only")
+    return alone.select(
+        F.coalesce("order_id", "d_order_id").alias("order_id"), "order_detail_id",
+        F.coalesce("order_ts", "detail_ts").alias("seen_at"), status.alias("status"),
+    )
+
+
+def start_unmatched(
+    order_feed: DataFrame, detail_feed: DataFrame, table: str, checkpoint: str, trigger: dict | None = None, expiry: str = K.JOIN_EXPIRY,
+):
+    """The report of what never met, in folders by status."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        write_batch(batch, batch_id, table, "status")
+
+    rows = unmatched_sales(order_feed, detail_feed, expiry)
+    return _run(rows, write, checkpoint, trigger or {"processingTime": K.TRIGGER_ORDERS})

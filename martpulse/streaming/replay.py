@@ -16,7 +16,7 @@ def time_span(feed: DataFrame, time: str) -> tuple[int, int]:
 
 def replay(
     feeds: dict[str, DataFrame],
-    start: Callable[[], StreamingQuery],
+    start: Callable[[], StreamingQuery] | list[Callable[[], StreamingQuery]],
     pieces: int = 3,
     time: str = "timestamp",
     closing: dict[str, DataFrame] | None = None,
@@ -25,7 +25,8 @@ def replay(
     """Append the feeds to their folders slice by slice and run the job over each slice.
 
     ``start`` starts the job over those folders with the ``availableNow`` trigger and always the same
-    checkpoint, so each slice also resumes the job from it. Within a slice Spark reads any number of files at
+    checkpoint, so each slice also resumes the job from it; jobs of a list are run one after the other, each over what those
+    before it have written. Within a slice Spark reads any number of files at
     once; between slices time moves forward, so nothing comes late. ``closing`` rows are appended last, to move
     the watermark past the end. Returns the progress reports of all runs.
     """
@@ -41,11 +42,12 @@ def replay(
             else:
                 rows = feed.where((F.col(time) >= edges[piece]) & (F.col(time) < edges[piece + 1]))
             rows.write.mode("append").parquet(path)
-        query = start()
-        try:
-            if not query.awaitTermination(timeout):
-                raise TimeoutError(f"streaming job not done after {timeout} s")
-            reports += query.recentProgress
-        finally:
-            query.stop()
+        for begin in start if isinstance(start, list) else [start]:
+            query = begin()
+            try:
+                if not query.awaitTermination(timeout):
+                    raise TimeoutError(f"streaming job not done after {timeout} s")
+                reports += query.recentProgress
+            finally:
+                query.stop()
     return reports

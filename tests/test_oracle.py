@@ -1,5 +1,8 @@
 """Every registered query against its SQL twin, whole results."""
 
+import importlib.util
+import sys
+
 import pytest
 from compare import connect, spark_result, sql_result
 
@@ -29,6 +32,16 @@ def test_entry(spark):
     assert driver.entry(spark).count() > 0
 
 
-def test_entry_without_the_optional_subpackage(monkeypatch):
-    monkeypatch.setattr(driver.importlib.util, "find_spec", lambda name: None)
-    assert driver.queries() == QUERIES and driver.oracle_sql() == SQL
+@pytest.mark.parametrize("missing", ["martpulse.llm", "corpus_pipeline", "martpulse.llm.queries", "xxhash"])
+def test_entry_without_the_optional_subpackage(monkeypatch, missing):
+    """Whether the folders are gone, empty, or lack something they need: the other queries stay."""
+    for name in [m for m in sys.modules if m.startswith(("martpulse.llm", "corpus_pipeline", "xxhash"))]:
+        monkeypatch.delitem(sys.modules, name)
+    import martpulse
+
+    monkeypatch.delattr(martpulse, "llm", raising=False)
+    monkeypatch.setitem(sys.modules, missing, None)
+    spec = importlib.util.spec_from_file_location("entry_alone", driver.__file__)
+    alone = importlib.util.module_from_spec(spec)
+    spec.loader.exec_module(alone)
+    assert alone.queries() == QUERIES and alone.oracle_sql() == SQL

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from martpulse.catalog import queries as Q
 from martpulse.operators.joins import replicated, salted
-from martpulse.plans import alerts, cards, devices, orders, sales
+from martpulse.plans import alerts, cards, devices, orders, sales, search
 from martpulse.sources import shop
 
 TABLE_QUERIES = [n for n in Q.ALL if "stream" not in n and n not in ("q17c_stored_search", "q26_upsert_docs", "q29_multi_day_read")]
@@ -147,13 +147,40 @@ def test_stored_documents_are_pruned_by_partition(spark, folder):
 
 
 def test_streams_fold_before_their_shuffles(spark, tmp_path):
-    from martpulse.schemas import FEED
+    from martpulse.schemas import EVENT_LOG, FEED
     from martpulse.sources.feeds import file_feed
     from martpulse.streaming import jobs
 
     spark.createDataFrame([], FEED).write.parquet(str(tmp_path / "feed"))
     feed = file_feed(spark, str(tmp_path / "feed"))
-    for rows in (jobs.new_logins(feed), jobs.live_alerts(feed)):
+    for rows in (jobs.new_logins(feed), jobs.live_alerts(jobs.parsed_logs(feed, EVENT_LOG))):
         lines = [r for r in plan(rows, "simple").splitlines() if "Exchange" in r or "Aggregate" in r]
         shuffles = [i for i, row in enumerate(lines) if "Exchange" in row]
-        assert shuffles and all("partial_" in lines[i + 1] for i in shuffles)
+        folds = ("partial_", "functions=[]")  # the latter leaves distinct keys only
+        assert shuffles and all("Aggregate" in lines[i + 1] and any(f in lines[i + 1] for f in folds) for i in shuffles)
+
+
+def test_an_answer_reads_each_table_once(spark, folder):
+    rows, totals = search.observed_page(Q.found_sales(spark, folder), Q.KEYWORD, size=10)
+    assert len(re.findall(r"\(\d+\) Scan parquet", plan(rows))) == 4
+    assert len(rows.collect()) == 10 and totals.get["total"] > 10
+
+
+def test_a_walk_gives_the_numbered_pages_without_gathering_them(spark, folder):
+    sold = Q.found_sales(spark, folder).where("order_id < '2'").persist()
+    after, walked = None, []
+    while rows := search.next_page(sold, "widget", after=after, size=400).collect():
+        walked += [r.order_detail_id for r in rows]
+        after = (rows[-1].score, rows[-1].order_detail_id)
+    numbered = [r.order_detail_id for n in range(1, len(walked) // 400 + 2) for r in search.page(sold, "widget", page=n, size=400).collect()]
+    assert walked == numbered and len(walked) > 400
+    text = plan(search.next_page(sold, "widget", after=(0.25, "5"), size=30), "simple")
+    assert re.search(r"TakeOrderedAndProject\(limit=30,", text) and "offset" not in text.lower()
+    sold.unpersist()
+
+
+def test_cards_read_a_day_of_devices_and_its_slice_of_new_ones(spark, folder):
+    text = plan(Q.q43_cards_from_tables(spark, folder))
+    filters = [" ".join(re.findall("PartitionFilters.*", s)) for s in re.findall(r"\(\d+\) Scan parquet.*?ReadSchema", text, re.S)]
+    assert len(filters) == 3 and sum("log_date" in f for f in filters) == 1
+    assert sum("first_date" in f for f in filters) == 1 and sum("create_period" in f for f in filters) == 1

@@ -4,6 +4,7 @@ import datetime as dt
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from martpulse import schemas
 from martpulse.session import stream_session
@@ -15,7 +16,7 @@ NOW = {"availableNow": True}
 
 
 class Runner:
-    """A job over a growing folder; each ``send`` appends rows and runs the job over them."""
+    """A job (or some, one after the other) over a growing folder; each ``send`` appends rows and runs it over them."""
 
     def __init__(self, spark, tmp_path, start, feeds=("in",)):
         self.spark, self.start = spark, start
@@ -30,9 +31,10 @@ class Runner:
         for feed, rows in messages.items():
             data = [("t", m if isinstance(m, str) else json.dumps(m), dt.datetime.fromisoformat(at), None) for at, m in rows]
             self.spark.createDataFrame(data, schemas.FEED).coalesce(1).write.mode("append").parquet(self.paths[feed])
-        query = self.start(self)
-        assert query.awaitTermination(120)
-        self.reports += query.recentProgress
+        for begin in self.start if isinstance(self.start, list) else [self.start]:
+            query = begin(self)
+            assert query.awaitTermination(120)
+            self.reports += query.recentProgress
         return self
 
     def feed(self, name="in"):
@@ -82,8 +84,23 @@ def coupon(at, uid, kind="coupon", mid="m"):
     return at, {"mid": mid, "uid": uid, "evid": kind, "itemid": f"i-{uid}", "ts": ms}
 
 
+def alert_runner(spark, tmp_path, late="5 seconds"):
+    def events(r):
+        return r.table + "-events"
+
+    return Runner(spark, tmp_path, [
+        lambda r: jobs.start_landing(r.feed(), schemas.EVENT_LOG, events(r), r.checkpoint + "-landing", NOW, late),
+        lambda r: jobs.start_alerts(r.streams, events(r), r.table, r.checkpoint, NOW, late=late),
+        lambda r: jobs.start_late_alerts(r.streams, events(r), r.table + "-fixed", r.checkpoint + "-late", NOW),
+    ])
+
+
+def alert_docs(spark, runner):
+    return jobs.stored_alerts(spark, runner.table, runner.table + "-fixed")
+
+
 def test_alert_needs_three_users_and_no_click(spark, tmp_path):
-    runner = Runner(spark, tmp_path, lambda r: jobs.start_alerts(r.feed(), r.table, r.checkpoint, NOW))
+    runner = alert_runner(spark, tmp_path)
     runner.send(**{"in": [coupon("2024-01-01T00:00:10", "u1"), coupon("2024-01-01T00:00:20", "u2"),
                           coupon("2024-01-01T00:00:30", "u2"), coupon("2024-01-01T00:00:40", "u1", "addCart"),
                           coupon("2024-01-01T00:00:10", "v1", mid="n"), coupon("2024-01-01T00:00:20", "v2", mid="n"),
@@ -91,15 +108,41 @@ def test_alert_needs_three_users_and_no_click(spark, tmp_path):
     runner.send(**{"in": [coupon("2024-01-01T00:01:10", "u3"), coupon("2024-01-01T00:01:20", "v3", mid="n"),
                           coupon("2024-01-01T00:03:10", "u4", "clickItem")]})
     runner.send(**{"in": [coupon("2024-01-01T01:00:00", "x", mid="tick")]})
-    docs = read_latest(spark, runner.table, jobs.ALERT_TABLE, ["id"]).where("mid = 'm'").orderBy("id").collect()
+    docs = alert_docs(spark, runner).where("mid = 'm'").orderBy("id").collect()
     minute = 1704067200 // 60
     assert [d.id for d in docs] == [f"m_{minute + 2}", f"m_{minute + 3}"]
     assert docs[0].uids == ["u1", "u2", "u3"] and docs[0].itemIds == ["i-u1", "i-u2", "i-u3"]
     assert docs[0].events == ["addCart", "coupon", "coupon", "coupon", "coupon"]
-    silenced = read_latest(spark, runner.table, jobs.ALERT_TABLE, ["id"]).where("mid = 'n'").collect()
+    silenced = alert_docs(spark, runner).where("mid = 'n'").collect()
     assert silenced == []
 
 
+def test_late_events_raise_and_withdraw_alerts(spark, tmp_path):
+    runner = alert_runner(spark, tmp_path)
+    runner.send(**{"in": [coupon("2024-01-01T00:00:10", f"u{i}") for i in range(3)] + [coupon("2024-01-01T00:00:20", f"v{i}", mid="n") for i in range(2)]})
+    runner.send(**{"in": [coupon("2024-01-01T01:00:00", "x", mid="tick")]})
+    assert {d.mid for d in alert_docs(spark, runner).collect()} == {"m"}
+    before = alert_docs(spark, runner).count()
+    runner.send(**{"in": [coupon("2024-01-01T00:02:30", "u0", "clickItem"), coupon("2024-01-01T00:00:50", "v2", mid="n")]})
+    found = sorted((d.id, tuple(d.uids)) for d in alert_docs(spark, runner).collect())
+    minute = 1704067200 // 60
+    assert [i for i, _ in found if i.startswith("m")] == [f"m_{minute + 1}", f"m_{minute + 2}"] and before == 5
+    assert [u for i, u in found if i.startswith("n")] == [("v0", "v1", "v2")] * 5
+    marks = [s for r in runner.reports for s in r.stateOperators]
+    assert sum(s.numRowsDroppedByWatermark for s in marks) == 0
+
+
+def test_state_of_alerts_does_not_grow_with_traffic(spark, tmp_path):
+    rows = [0, 0]
+    for i, many in enumerate((1, 200)):
+        runner = alert_runner(spark, tmp_path / str(i))
+        actions = [coupon("2024-01-01T00:00:10", f"u{u}", kind) for u in range(2) for kind in ("coupon", "addCart", "error") for _ in range(many)]
+        runner.send(**{"in": actions})
+        last = next(r for r in reversed(runner.reports) if len(r.stateOperators) == 3)
+        rows[i] = sum(s.numRowsTotal for s in last.stateOperators)
+    assert rows[0] == rows[1] > 0
+
+
 def order(at, id_, user="u1"):
     return at, {"id": id_, "order_status": "1001", "create_time": at.replace("T", " "), "user_id": user,
                 "total_amount": "5.0", "consignee_tel": "13812345678"}
@@ -249,6 +292,138 @@ def test_a_new_checkpoint_keeps_old_rows_and_still_upserts(spark, tmp_path):
     assert runs == {(1, 0), (2, 0), (2, 1)}
 
 
+def test_an_old_feed_gone_over_again_leaves_newer_rows(spark, tmp_path):
+    """Newest is what was seen last, not what was written last; folding keeps it so."""
+    runner = Runner(spark, tmp_path, lambda r: jobs.start_orders(r.feed(), r.table, r.checkpoint, NOW))
+    runner.send(**{"in": [("2024-01-05T10:00:00", order("2024-01-01T10:00:00", "1", "new")[1])]})
+    runner.checkpoint = str(tmp_path / "another")
+    spark.createDataFrame([], schemas.FEED).write.parquet(str(tmp_path / "old"))
+    runner.paths["in"] = str(tmp_path / "old")
+    runner.send(**{"in": [order("2024-01-01T10:00:00", "1", "old"), order("2024-01-01T11:00:00", "2", "other")]})
+    runner.send(**{"in": [order("2024-01-01T12:00:00", "3", "third")]})
+    for _ in range(3):
+        rows = {r.id: r.user_id for r in jobs.stored_orders(spark, runner.table).collect()}
+        assert rows == {"1": "new", "2": "other", "3": "third"}
+        jobs.fold_orders(spark, runner.table, ["2024-01-01"])
+
+
+def test_sales_keep_the_times_that_decide(spark, tmp_path):
+    runner = sale_runner(spark, tmp_path)
+    runner.send(orders=[order("2024-01-01T10:00:00", "1")], lines=[line("2024-01-01T10:00:30", "d", "1", "9.0")])
+    runner.send(orders=[order("2024-01-01T10:00:10", "1")], lines=[line("2024-01-01T10:00:20", "d", "1", "1.0")])
+    docs = jobs.stored_sales(spark, runner.table)
+    assert [(r.order_detail_id, r.sku_price) for r in docs.collect()] == [("d", 9.0)]
+    assert docs.first().order_ts == dt.datetime(2024, 1, 1, 10, 0, 10)
+
+
+# --- rows that come late, wait in vain or are looked up -----------------------------------------------
+
+
+def late_runner(spark, tmp_path):
+    return Runner(spark, tmp_path, [
+        lambda r: jobs.start_landing(r.feed(), schemas.STARTUP_LOG, r.table + "-logs", r.checkpoint + "-landing", NOW),
+        lambda r: jobs.start_landed_devices(r.streams, r.table + "-logs", r.table, r.checkpoint, NOW),
+        lambda r: jobs.start_late_devices(r.streams, r.table + "-logs", r.table, r.table + "-fixed", r.checkpoint + "-late", NOW),
+        lambda r: jobs.start_first_seen(r.streams, [r.table, r.table + "-fixed"], r.table + "-seen", r.checkpoint + "-seen", NOW, buckets=3),
+    ])
+
+
+def test_late_logs_are_folded_into_closed_days(spark, tmp_path):
+    from martpulse.operators.keyed import first_per
+    from martpulse.plans import devices as plans
+
+    runner = late_runner(spark, tmp_path)
+
+    def stored():
+        return jobs.stored_devices(spark, runner.table, runner.table + "-fixed")
+
+    def found():
+        rows = first_per(stored(), ["mid", "log_date"], ["ts", "uid"])
+        return sorted((r.mid, r.uid, r.log_date, r.log_hour) for r in rows.collect())
+
+    def new_on(day):
+        return sorted(r.mid for r in jobs.first_seen_on(spark, runner.table + "-seen", F.lit(day)).collect())
+
+    runner.send(**{"in": [log("2024-01-01T10:00:00", "a", "late"), log("2024-01-03T10:00:00", "b")]})
+    assert new_on("2024-01-01") == ["a"] and new_on("2024-01-03") == ["b"]
+    runner.send(**{"in": [log("2024-01-01T09:00:00", "a", "first"), log("2024-01-01T11:00:00", "a", "no"), log("2024-01-02T11:00:00", "b", "early"),
+                          log("2024-01-02T23:30:00", "c"), log("2024-01-03T09:30:00", "d")]})
+    want = [("a", "first", "2024-01-01", "09"), ("b", "early", "2024-01-02", "11"), ("b", "u", "2024-01-03", "10"),
+            ("c", "u", "2024-01-02", "23"), ("d", "u", "2024-01-03", "09")]
+    assert found() == want
+    assert [plans.stored_total(stored(), f"2024-01-0{d}").first().dau for d in (1, 2, 3)] == [1, 2, 2]
+    assert [new_on(f"2024-01-0{d}") for d in (1, 2, 3)] == [["a"], ["b", "c"], ["d"]]
+    fixed = read_all(spark, runner.table + "-fixed", jobs.DEVICE_TABLE)
+    assert {(r.mid, r.log_hour) for r in fixed.collect()} == {("a", "09"), ("b", "11"), ("c", "23")}, "the log of 11 o'clock changes nothing"
+    runner.send(**{"in": [log("2024-01-01T09:00:00", "a", "first"), log("2024-01-02T11:00:00", "b", "early"), log("2024-01-01T08:00:00", "c")]})
+    assert found()[-2:] == [("c", "u", "2024-01-02", "23"), ("d", "u", "2024-01-03", "09")] and len(found()) == 6
+    assert [new_on(f"2024-01-0{d}") for d in (1, 2, 3)] == [["a", "c"], ["b"], ["d"]]
+    assert read_all(spark, runner.table + "-fixed", jobs.DEVICE_TABLE).count() == 4, "a feed delivered twice changes no table"
+    assert sum(s.numRowsDroppedByWatermark for r in runner.reports for s in r.stateOperators) == 0
+
+
+def test_a_shuffled_feed_loses_nothing(spark, tmp_path):
+    import random
+
+    rng = random.Random(5)
+    logs = [log(f"2024-01-{1 + i % 9:02d}T{rng.randrange(24):02d}:{rng.randrange(60):02d}:00", f"m{rng.randrange(12)}", f"u{i}") for i in range(240)]
+    first = {}
+    for _, m in logs:
+        key = (m["mid"], dt.datetime.fromtimestamp(m["ts"] / 1000, dt.UTC).strftime("%Y-%m-%d"))
+        first[key] = min(first.get(key, (m["ts"], m["uid"])), (m["ts"], m["uid"]))
+    rng.shuffle(logs)
+    logs = [("2024-02-01T00:00:00", m) for _, m in logs]
+    runner = late_runner(spark, tmp_path)
+    for i in range(0, 240, 80):
+        runner.send(**{"in": logs[i : i + 80]})
+    from martpulse.operators.keyed import first_per
+
+    rows = first_per(jobs.stored_devices(spark, runner.table, runner.table + "-fixed"), ["mid", "log_date"], ["ts", "uid"])
+    assert {(r.mid, r.log_date): (r.ts, r.uid) for r in rows.collect()} == first
+    news = {r.mid: d for d in sorted({d for _, d in first}) for r in jobs.first_seen_on(spark, runner.table + "-seen", F.lit(d)).collect()}
+    assert news == {m: min(d for n, d in first if n == m) for m, _ in first}
+
+
+def test_a_landing_batch_done_again_keeps_its_marks(spark, tmp_path):
+    from martpulse.sources import sinks
+
+    path = str(tmp_path / "t")
+    assert sinks.latest_mark(spark, path, 1, 0) is None
+    for batch, mark in enumerate((5, 9, 12)):
+        sinks.put_mark(spark, path, 1, batch, mark)
+    assert sinks.latest_mark(spark, path, 1, 2) == 9 and sinks.latest_mark(spark, path, 1, 3) == 12
+    assert sinks.latest_mark(spark, path, 2, 0) == 12
+
+
+def test_batches_hold_their_devices_against_the_stored_set(spark, tmp_path):
+    seen, table = str(tmp_path / "seen"), str(tmp_path / "table")
+    rows = spark.createDataFrame(
+        [(i, f"m{i % 7}", dt.datetime(2024, 1, 1 + i % 3, i % 24)) for i in range(200)], "event_id long, mid string, ts timestamp"
+    )
+    for batch in (0, 1, 1, 2):
+        jobs.write_unseen(rows.where(F.floor(F.hour("ts") / 8) == batch), batch, table, seen)
+    found = sorted((r.mid, str(r.log_date), r.batch_id, r.event_id) for r in spark.read.option("basePath", table).parquet(table).collect())
+    from martpulse.plans import devices as plans
+
+    want = sorted((r.mid, r.log_date, int(r.log_hour) // 8, r.event_id) for r in plans.first_logins(rows).collect())
+    assert found == want
+
+
+def test_what_never_met_is_reported_when_its_time_is_over(spark, tmp_path):
+    runner = Runner(spark, tmp_path, lambda r: jobs.start_unmatched(r.feed("orders"), r.feed("lines"), r.table, r.checkpoint, NOW), ("orders", "lines"))
+    runner.send(orders=[order("2024-01-01T10:00:00", "met"), order("2024-01-01T10:00:00", "alone"), order("2024-01-01T10:00:00", "late")],
+                lines=[line("2024-01-01T10:00:50", "d1", "met"), line("2024-01-01T10:00:20", "d2", "none"), line("2024-01-01T10:00:21", "d3", "none")])
+
+    def found():
+        rows = read_all(spark, runner.table, jobs.UNMATCHED_TABLE) if jobs.any_rows(spark, runner.table) else None
+        return sorted((r.order_id, r.order_detail_id or "", r.status) for r in rows.collect()) if rows is not None else []
+
+    assert found() == []
+    runner.send(orders=[order("2024-01-01T10:10:00", "x")], lines=[line("2024-01-01T10:01:35", "d4", "late"), line("2024-01-01T10:10:00", "d5", "x")])
+    runner.send(orders=[order("2024-01-01T10:20:00", "y")], lines=[line("2024-01-01T10:20:00", "d6", "y")])
+    assert found() == [("alone", "", "order_only"), ("none", "d2", "detail_only"), ("none", "d3", "detail_only")]
+
+
 def test_closed_days_are_folded_beside_the_running_job(spark, tmp_path):
     from martpulse.sources.sinks import fold_days
 
@@ -262,6 +437,9 @@ def test_closed_days_are_folded_beside_the_running_job(spark, tmp_path):
     fold_days(spark, runner.table, jobs.ORDER_TABLE, keys, "create_period", ["2024-01-01"], ["seen_at"])
     assert sorted(map(tuple, jobs.stored_orders(spark, runner.table).collect())) == before
     kept = read_all(spark, runner.table, jobs.ORDER_TABLE).where("create_period = '2024-01-01'")
+    assert (0, 0) in {(r.run, r.batch_id) for r in kept.collect()} and kept.count() > 4, "a reader may still be at the old folders"
+    fold_days(spark, runner.table, jobs.ORDER_TABLE, keys, "create_period", ["2024-01-01"], ["seen_at"])
+    kept = read_all(spark, runner.table, jobs.ORDER_TABLE).where("create_period = '2024-01-01'")
     assert kept.count() == 4 and {(r.run, r.batch_id) for r in kept.collect()} == {(0, 0)}
     runner.send(**{"in": [("2024-01-03T10:00:00", order("2024-01-01T10:00:00", "1", "d")[1])]})
     runner.send(**{"in": [order("2024-01-03T11:00:00", "zz")]})
@@ -369,3 +547,28 @@ def test_console_on_a_clock_trigger(spark, tmp_path):
         query.processAllAvailable()
     finally:
         query.stop()
+
+
+def test_the_word_index_leads_to_the_newest_documents(spark, tmp_path):
+    words = str(tmp_path / "words")
+    runner = sale_runner(spark, tmp_path, words=words)
+
+    def named(at, id_, order_id, name):
+        when, row = line(at, id_, order_id)
+        return when, {**row, "sku_name": name}
+
+    runner.send(orders=[order("2024-01-01T10:00:00", "1")], lines=[
+        named("2024-01-01T10:00:01", "a", "1", "Red Ring"), named("2024-01-01T10:00:02", "b", "1", "red-blue ring, red"), named("2024-01-01T10:00:03", "c", "1", "Ring"),
+        named("2024-01-01T10:00:04", "d", "1", None)])
+    runner.send(orders=[order("2024-01-02T10:00:00", "2")], lines=[
+        named("2024-01-02T10:00:01", "e", "2", "ring RED"), named("2024-01-01T10:00:30", "a", "1", "Green Ring"), named("2024-01-01T10:00:30", "c", "1", "red ring")])
+
+    def found(keyword, date=None):
+        return sorted(r.order_detail_id for r in jobs.indexed_sales(spark, runner.table, words, keyword, date).collect())
+
+    assert found("red ring") == ["b", "c", "e"] and found("RING red", "2024-01-01") == ["b", "c"]
+    assert found("ring") == ["a", "b", "c", "e"] and found("nothing") == [] == found("...")
+    text = plan(jobs.indexed_sales(spark, runner.table, words, "red ring", "2024-01-01"))
+    scans = [s[: s.index("ReadSchema")] for s in text.split("FileScan")[1:]]
+    index = next(s for s in scans if "words" in s)
+    assert "bucket" in index[index.index("PartitionFilters"):] and "sale_period" in index[index.index("PartitionFilters"):]
