@@ -76,7 +76,7 @@ def unseen_logins(spark: SparkSession, logs: DataFrame, batches: int = 24) -> Da
     at = _Folders(spark, "unseen")
     hour = F.hour("ts")
     for number in range(batches):
-        jobs.write_unseen(logs.where(F.floor(hour * batches / 24) == number), number, at.table, f"{at.root}/seen")
+        jobs.write_unseen(logs.where(F.floor(hour * batches / 24) == number), number, at.table, buckets=1)
     return spark.read.option("basePath", at.table).parquet(at.table)
 
 

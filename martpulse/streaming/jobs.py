@@ -265,30 +265,24 @@ def stored_devices(spark: SparkSession, table: str, corrections: str | None = No
     return rows
 
 
-SEEN_TABLE = "mid STRING, log_date STRING, bucket INT"
+SEEN_TABLE = "mid STRING, log_date STRING, bucket INT"  # what a batch reads of the table
 SEEN_BUCKETS = 4
 
 
-def write_unseen(logs: DataFrame, batch_id: int, table: str, seen: str) -> None:
-    """The first log of every device and day that no earlier batch has seen; the devices join the stored set.
+def write_unseen(logs: DataFrame, batch_id: int, table: str, buckets: int = SEEN_BUCKETS) -> None:
+    """The first log of every device and day that no earlier batch has seen joins the table, which is the stored set of these.
 
-    The set is stored by day and bucket of devices: a batch reads the days and buckets it has devices in, two columns of them.
+    It is stored by day and bucket of devices: a batch reads the days and buckets it has devices in, and their keys only.
     """
     spark = logs.sparkSession
-    bucket = F.pmod(F.crc32("mid"), F.lit(SEEN_BUCKETS)).cast("int")
+    bucket = F.pmod(F.crc32("mid"), F.lit(buckets)).cast("int")
     firsts = first_per(devices.dated(logs), ["mid", "log_date"], ["ts", "event_id"]).withColumn("bucket", bucket).persist()
     try:
         places = firsts.select("log_date", "bucket").distinct().collect()  # days times buckets at most
-        known = read_before(spark, seen, SEEN_TABLE, batch_id).where(
+        known = read_before(spark, table, SEEN_TABLE, batch_id).where(
             F.col("log_date").isin([p.log_date for p in places]) & F.col("bucket").isin(sorted({p.bucket for p in places}))
         )
-        fresh = unseen(firsts, known, ["mid", "log_date"]).persist()
-        try:
-            write_batch(fresh.drop("bucket"), batch_id, table, "log_date")
-            # Last: a batch that breaks off before is done again, and does not meet its own devices.
-            write_batch(fresh.select("mid", "log_date", "bucket"), batch_id, seen, ["log_date", "bucket"])
-        finally:
-            fresh.unpersist()
+        write_batch(unseen(firsts, known, ["mid", "log_date"]), batch_id, table, ["log_date", "bucket"])
     finally:
         firsts.unpersist()
 

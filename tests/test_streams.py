@@ -396,12 +396,12 @@ def test_a_landing_batch_done_again_keeps_its_marks(spark, tmp_path):
 
 
 def test_batches_hold_their_devices_against_the_stored_set(spark, tmp_path):
-    seen, table = str(tmp_path / "seen"), str(tmp_path / "table")
+    table = str(tmp_path / "table")
     rows = spark.createDataFrame(
         [(i, f"m{i % 7}", dt.datetime(2024, 1, 1 + i % 3, i % 24)) for i in range(200)], "event_id long, mid string, ts timestamp"
     )
     for batch in (0, 1, 1, 2):
-        jobs.write_unseen(rows.where(F.floor(F.hour("ts") / 8) == batch), batch, table, seen)
+        jobs.write_unseen(rows.where(F.floor(F.hour("ts") / 8) == batch), batch, table)
     found = sorted((r.mid, str(r.log_date), r.batch_id, r.event_id) for r in spark.read.option("basePath", table).parquet(table).collect())
     from martpulse.plans import devices as plans
 
