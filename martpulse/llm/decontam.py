@@ -1,17 +1,19 @@
 """Benchmark decontamination: BM25 over test items with block-max WAND, then overlap of question and answer.
 
-The test items are indexed by term; an entry's impact is its BM25 contribution divided by the item's score for itself, so one
-threshold fits long and short items. An item's cut is the threshold or, if that is less, the least score that a passage can
-have which passes both overlap bounds (:func:`cuts`), so retrieval loses no item that they accept. Every training text is cut
-into passages of one and a half item lengths, half such a length apart, so that any occurrence of an item lies whole within a
-passage, and an item counts as leaked if in one of them it reaches its cut and enough of the word n-grams of both its question
-and its answer occur. An item's passages depend on its own length alone, not on other items or shards.
-
-For retrieval, items are classed by doublings of length. Every passage of a class, wide enough to hold all passages of its items
-that begin in its stride, is a query, if it has an n-gram of a question of the class (without one there is no leak). With fixed
-cuts, the pivots of block-max WAND are the blocks of items whose terms' block maxima add up to the least cut in the block; all
-others are skipped unseen. The items of the blocks left are scored from their postings, and those found are held against their
-own passages.
+The test items are indexed by term: a posting is an item with the term's impact, its BM25 contribution divided by the item's score
+for itself, so one threshold fits long and short items. Postings stand in blocks of ``BLOCK`` items, and a term keeps the largest
+impact of its whole list and of each of its blocks. An item's cut is the threshold or, if that is less, the least score that a
+passage can have which passes both overlap bounds (:func:`cuts`), so retrieval loses no item that they accept.
+
+Every training text is cut into passages of one and a half item lengths, half such a length apart, so that any occurrence of an
+item lies whole within a passage, and an item counts as leaked if in one of them it reaches its cut and enough of the word n-grams
+of both its question and its answer occur. An item's passages depend on its own length alone, not on other items or shards.
+
+For retrieval, items are classed by doublings of length, and every passage of a class, wide enough to hold all passages of its
+items that begin in its stride, is a query. The cuts are fixed, so a query's pivots do not depend on the order of its finds, and
+:func:`block_max_wand` walks the lists of many queries abreast: a query whose list maxima do not add up to the least cut has
+no pivot; a block whose block maxima do not is skipped with its postings unread; the postings of the blocks left are summed.
+All items at or above their cut are held against their own passages.
 
 Items are indexed in shards of ``shard_items``, each broadcast on its own and compared in a pass of its own;
 document frequencies are those of all items. The texts are never shuffled.
@@ -26,7 +28,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import pairwise, repeat
+from itertools import chain, pairwise, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +40,9 @@ K1, B = 1.2, 0.75  # the usual BM25 parameters
 BLOCK = 4
 GRAM = 3
 LEAST = 8  # items of fewer words have the passages of so many
+SPAN = 4  # strides in a passage of a class
+ABREAST = 1 << 18  # entries that are summed at once
+TEXT_WORDS = 1 << 16  # short texts are searched together up to so many words
 SCHEMA = "item_id long, score double, question_overlap double, answer_overlap double, word long"
 
 
@@ -72,30 +77,39 @@ def overlap(part: list[str], passage: list[str]) -> float:
 
 
 @dataclass
-class Index:
-    """One shard, in blocks of up to ``BLOCK`` items of a class: the largest impact of each term, and the postings of each block.
+class Lists:
+    """Inverted lists of the items of a class. Term t has entries ``begin[t]`` to ``begin[t + 1]``, one per block that holds it, with
+    the block's largest impact; entry e has postings ``first[e]`` to ``first[e + 1]``, items by place with their impacts."""
+
+    longest: int
+    places: np.ndarray  # first place of each block, and the end of the last
+    begin: np.ndarray
+    top: np.ndarray  # largest impact of each term's list
+    block: np.ndarray
+    block_top: np.ndarray
+    first: np.ndarray
+    place: np.ndarray
+    impact: np.ndarray
 
-    Items ``first[k]`` to ``first[k + 1]`` are in block k; ``classes`` has the longest length and the blocks of each class.
-    """
+    @property
+    def blocks(self) -> int:
+        return len(self.places) - 1
+
+
+@dataclass
+class Index:
+    """One shard; items by place, in order of length. ``weights`` has each item's terms and impacts."""
 
     ids: list[int]
     parts: list[tuple[list[str], list[str]]]
     lengths: list[int]
     terms: dict[str, int]
-    block_max: np.ndarray
-    postings: list[tuple[np.ndarray, np.ndarray]]
-    first: np.ndarray
-    classes: list[tuple[int, np.ndarray]]
+    weights: list[dict[int, float]]
+    classes: list[Lists]
 
     @property
     def blocks(self) -> int:
-        return self.block_max.shape[1]
-
-    def block_of(self, place: int) -> tuple[np.ndarray, np.ndarray]:
-        """Terms of an item's block and the item's impacts."""
-        k = int(np.searchsorted(self.first, place, side="right")) - 1
-        own, table = self.postings[k]
-        return own, table[:, place - self.first[k]]
+        return sum(lists.blocks for lists in self.classes)
 
 
 def length_class(length: int) -> int:
@@ -125,24 +139,32 @@ def build_index(items: list[tuple[int, str]], df: dict[str, int], n_items: int,
         }
         total = sum(parts.values())
         weights.append({terms.setdefault(t, len(terms)): part / total for t, part in parts.items()})
-    first, classes = [], []
+    classes = []
     for top in sorted({length_class(n) for n in lengths}):
         of = [i for i, n in enumerate(lengths) if length_class(n) == top]
-        begins = list(range(of[0], of[-1] + 1, BLOCK))
-        classes.append((top, np.arange(len(first), len(first) + len(begins))))
-        first += begins
-    tops, postings = np.zeros((len(terms), max(1, len(first))), np.float32), []
-    for k, (start, end) in enumerate(pairwise([*first, len(items)])):
-        block = weights[start:end]
-        own = sorted(set().union(*block))
-        table = np.array([[item.get(t, 0.0) for item in block] for t in own]).reshape(len(own), len(block))
-        tops[own, k] = table.max(axis=1, initial=0.0)
-        postings.append((np.array(own, np.int64), table))
+        classes.append(build_lists(top, of[0], weights[of[0] : of[-1] + 1], len(terms)))
     parts = [question_answer(t) for _, t in items]
-    return Index([i for i, _ in items], parts, lengths, terms, tops, postings, np.array(first, np.int64), classes)
+    return Index([i for i, _ in items], parts, lengths, terms, weights, classes)
+
+
+def build_lists(longest: int, start: int, weights: list[dict[int, float]], n_terms: int) -> Lists:
+    """The lists of items in a row, the first of which has place ``start``."""
+    rows = sorted((t, place, impact) for place, item in enumerate(weights, start) for t, impact in item.items())
+    term, place = (np.array([r[i] for r in rows], np.int64) for i in (0, 1))
+    impact = np.array([r[2] for r in rows], float)
+    block = (place - start) // BLOCK
+    new = np.ones(len(rows), bool)
+    new[1:] = (np.diff(term) != 0) | (np.diff(block) != 0)
+    first = np.flatnonzero(new)
+    block_top = np.maximum.reduceat(impact, first) if len(first) else np.zeros(0)
+    top = np.zeros(n_terms)
+    np.maximum.at(top, term, impact)
+    places = np.append(np.arange(start, start + len(weights), BLOCK), start + len(weights))
+    begin = np.searchsorted(term[first], np.arange(n_terms + 1))
+    return Lists(longest, places, begin, top, block[first], block_top, np.append(first, len(rows)), place, impact)
 
 
-SLACK = 1e-5  # block maxima are single precision
+SLACK = 1e-9  # sums in another order
 
 
 def cuts(index: Index, threshold: float, question: float, answer: float) -> np.ndarray:
@@ -156,8 +178,7 @@ def cuts(index: Index, threshold: float, question: float, answer: float) -> np.n
         return out
     names = list(index.terms)
     for place, (asked, told) in enumerate(index.parts):
-        own, weights = index.block_of(place)
-        impact = {names[t]: w for t, w in zip(own.tolist(), weights.tolist(), strict=True)}
+        impact = {names[t]: w for t, w in index.weights[place].items()}
         bounds = [(grams(asked), max(question, answer))] if asked == told else [(grams(asked), question), (grams(told), answer)]
         best = 0.0
         for some in [bounds, *([b] for b in bounds)]:
@@ -173,7 +194,7 @@ def cuts(index: Index, threshold: float, question: float, answer: float) -> np.n
 
 @dataclass
 class Search:
-    """An index with what holds for all texts: cuts, and the n-grams without which an item cannot leak."""
+    """An index with what holds for all texts: cuts, and the n-grams without which a found item cannot pass the overlap bounds."""
 
     index: Index
     question: float
@@ -196,7 +217,7 @@ def grams_at(numbers: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def build_search(index: Index, threshold: float, question: float, answer: float) -> Search:
     bits: dict[int, dict[int, int]] = {}
-    bit_of = {top: 1 << k for k, (top, _) in enumerate(index.classes)}
+    bit_of = {lists.longest: 1 << k for k, lists in enumerate(index.classes)}
     for length, (asked, told) in zip(index.lengths, index.parts, strict=True):
         part = asked if question > 0 else told if answer > 0 else asked + told
         n = min(GRAM, len(part)) if question > 0 or answer > 0 else 1
@@ -208,73 +229,124 @@ def build_search(index: Index, threshold: float, question: float, answer: float)
     return Search(index, question, answer, cuts(index, threshold, question, answer), needed)
 
 
-def block_max_wand(
-    query: np.ndarray, index: Index, threshold: float | np.ndarray, blocks: np.ndarray | None = None
-) -> list[tuple[int, float]]:
-    """All (place, score) with score >= threshold (one, or one per place) for a query of distinct term numbers, within ``blocks`` or all.
+def runs(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(number of the run, member) of all members of the runs from ``begin`` up to ``end``."""
+    size = end - begin
+    of = np.repeat(np.arange(len(size)), size)
+    return of, np.arange(len(of)) + np.repeat(begin - (np.cumsum(size) - size), size)
+
 
-    A block is a pivot if its terms' block maxima reach the least threshold in it; its items are then scored.
+def block_max_wand(
+    query: np.ndarray, term: np.ndarray, n: int, lists: Lists, cut: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, place, score) of all items with at least their cut, for ``n`` queries given as distinct rows of query and term."""
+    least = np.minimum.reduceat(cut[lists.places[0] : lists.places[-1]], lists.places[:-1] - lists.places[0])
+    reach = np.bincount(query, lists.top[term], n)
+    able = reach[query] >= least.min() - SLACK
+    query, term = query[able], term[able]
+    of, entry = runs(lists.begin[term], lists.begin[term + 1])
+    cell = query[of] * lists.blocks + lists.block[entry]
+    bound = np.bincount(cell, lists.block_top[entry], n * lists.blocks).reshape(n, lists.blocks)
+    pivot = ((bound > 0) & (bound >= least - SLACK)).ravel()
+    live = pivot[cell]
+    cell, entry = cell[live], entry[live]
+    of, posting = runs(lists.first[entry], lists.first[entry + 1])
+    pivots = np.flatnonzero(pivot)
+    number = np.cumsum(pivot) - 1
+    offset = lists.place[posting] - lists.places[0]
+    score = np.bincount(number[cell[of]] * BLOCK + offset % BLOCK, lists.impact[posting], len(pivots) * BLOCK)
+    asked, block = np.divmod(np.repeat(pivots, BLOCK), lists.blocks)
+    place = lists.places[block] + np.tile(np.arange(BLOCK), len(pivots))
+    hit = (score > 0) & (score >= cut[np.minimum(place, len(cut) - 1)])
+    return asked[hit], place[hit], score[hit]
+
+
+def retrieve(numbers: np.ndarray, sizes: np.ndarray, lists: Lists, cut: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(text, first word, place) of the class's passages and the items found for them; ``numbers`` holds the terms of all texts.
+
+    Each passage is ``SPAN`` strides wide. A term is counted in the passages over its stride that have not met it in an earlier one.
     """
-    blocks = np.arange(len(index.first)) if blocks is None else blocks
-    if not len(blocks):
-        return []
-    per_item = np.broadcast_to(np.asarray(threshold, float), len(index.ids))
-    bounds = index.block_max[query[:, None], blocks].sum(axis=0)
-    pivots = blocks[bounds >= np.minimum.reduceat(per_item, index.first)[blocks] - SLACK]
-    if not len(pivots):
-        return []
-    asked = np.zeros(len(index.terms), bool)
-    asked[query] = True
-    found = []
-    for k in pivots.tolist():
-        own, table = index.postings[k]
-        start = int(index.first[k])
-        scores = table[asked[own]].sum(axis=0)
-        found += [(start + i, float(scores[i])) for i in np.flatnonzero(scores >= per_item[start : start + len(scores)]).tolist()]
-    return found
-
-
-def leaks(text: str | None, search: Search) -> list[tuple]:
-    """(item_id, score, question_overlap, answer_overlap, first word of the passage) per leaked item."""
-    found: dict[int, tuple] = {}
+    step = stride(lists.longest)
+    chunks = -(-sizes // step)
+    base = np.cumsum(chunks) - chunks
+    total, starts = int(chunks.sum()), np.cumsum(sizes) - sizes
+    if not total:
+        return
+    text = np.repeat(np.arange(len(sizes)), chunks)
+    at = np.flatnonzero(numbers >= 0)
+    of = np.searchsorted(starts, at, side="right") - 1
+    key = np.sort(numbers[at] * total + base[of] + (at - starts[of]) // step)
+    term, chunk = np.divmod(key[np.diff(key, prepend=-1) > 0], total)
+    before = np.full(len(term), -1)
+    before[1:] = np.where(term[1:] == term[:-1], chunk[:-1], -1)
+    low = np.maximum(np.maximum(chunk - SPAN + 1, base[text[chunk]]), before + 1)
+    order = np.argsort(chunk, kind="stable")
+    term, chunk, low = term[order], chunk[order], low[order]
+    # As many passages at once as have ABREAST entries.
+    cost = np.bincount(chunk, (chunk - low + 1) * (lists.begin[term + 1] - lists.begin[term]), total) + lists.blocks
+    edges = np.unique(np.searchsorted(np.cumsum(cost), np.arange(0, cost.sum(), ABREAST)))
+    for start, end in pairwise([*edges.tolist(), total]):
+        own = slice(np.searchsorted(chunk, start), np.searchsorted(chunk, end + SPAN - 1))
+        of, passage = runs(np.maximum(low[own], start), np.maximum(np.minimum(chunk[own], end - 1) + 1, np.maximum(low[own], start)))
+        asked, place, _ = block_max_wand(passage - start, term[own][of], end - start, lists, cut)
+        asked += start
+        yield text[asked], (asked - base[text[asked]]) * step, place
+
+
+def leaks(texts: list[str | None], search: Search) -> list[list[tuple]]:
+    """Per text (item_id, score, question_overlap, answer_overlap, first word of the passage) of each leaked item."""
+    out, held, size = [], [], 0
+    for text in texts:
+        tokens = words(text)
+        held.append(tokens)
+        size += len(tokens)
+        if size >= TEXT_WORDS:
+            out += _leaks(held, search)
+            held, size = [], 0
+    return out + _leaks(held, search)
+
+
+def _leaks(texts: list[list[str]], search: Search) -> list[list[tuple]]:
+    index = search.index
+    found: list[dict[int, tuple]] = [{} for _ in texts]
+    sizes = np.array([len(t) for t in texts], np.int64)
+    if not index.terms or not sizes.sum():
+        return [[] for _ in texts]
+    numbers = np.fromiter(map(index.terms.get, chain.from_iterable(texts), repeat(-1)), np.int64, int(sizes.sum()))
+    starts = np.cumsum(sizes) - sizes
+    needed = {n: _places(numbers, n, *known) for n, known in search.needed.items()}
+    for number, lists in enumerate(index.classes):
+        step = stride(lists.longest)
+        hits = np.unique(np.concatenate([at[bits >> number & 1 > 0] for at, bits in needed.values()] or [np.zeros(0, np.int64)]))
+        for text, begin, place in retrieve(numbers, sizes, lists, search.cuts):
+            near = np.searchsorted(hits, starts[text] + begin) < np.searchsorted(hits, starts[text] + begin + SPAN * step)
+            for t, first, p in zip(text[near].tolist(), begin[near].tolist(), place[near].tolist(), strict=True):
+                _verify(found[t], texts[t], numbers[starts[t] : starts[t] + sizes[t]], first, step, p, search)
+    return [sorted(f.values()) for f in found]
+
+
+def _places(numbers: np.ndarray, n: int, keys: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(positions, classes as bits) of the n-grams that are needed."""
+    at, key = grams_at(numbers, n)
+    near = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+    met = keys[near] == key
+    return at[met], bits[near[met]]
+
+
+def _verify(found: dict[int, tuple], tokens: list[str], numbers: np.ndarray, begin: int, step: int, place: int, search: Search) -> None:
+    """Holds a found item against its own passages that begin in the stride, and keeps the one of the highest score."""
     index = search.index
-    if not index.terms or not text:
-        return []
-    tokens = words(text)
-    numbers = np.fromiter(map(index.terms.get, tokens, repeat(-1)), np.int64, len(tokens))
-    places, bits = [], []
-    for n, (keys, of) in search.needed.items():
-        at, key = grams_at(numbers, n)
-        near = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-        met = keys[near] == key
-        places.append(at[met])
-        bits.append(of[near[met]])
-    if not sum(map(len, places)):
-        return []
-    places, bits = np.concatenate(places), np.concatenate(bits)
-    for number, (top, blocks) in enumerate(index.classes):
-        hits = np.unique(places[bits >> number & 1 > 0])
-        step, width = top // 2, 2 * top  # a stride, and the passage of an item that begins at its end
-        begins = np.unique((hits[:, None] // step - np.arange(width // step)).ravel()) * step
-        for begin in begins[begins >= 0].tolist():
-            inside = numbers[begin : begin + width]
-            query = np.unique(inside[inside >= 0])
-            for place, _ in block_max_wand(query, index, search.cuts, blocks):
-                length = index.lengths[place]
-                own, weights = index.block_of(place)
-                apart = stride(length)
-                last = min(begin + step, max(1, len(tokens) - length + 1))
-                for start in range(-(-begin // apart) * apart, last, apart):
-                    end = start + length + apart
-                    if np.searchsorted(hits, start) == np.searchsorted(hits, end):
-                        continue
-                    score = float(weights[np.isin(own, numbers[start:end])].sum())
-                    if score < search.cuts[place] or score <= found.get(place, (0, -1.0))[1]:
-                        continue
-                    asked, told = (overlap(p, tokens[start:end]) for p in index.parts[place])
-                    if asked >= search.question and told >= search.answer:
-                        found[place] = (index.ids[place], score, asked, told, start)
-    return sorted(found.values())
+    length, weights = index.lengths[place], index.weights[place]
+    apart = stride(length)
+    last = min(begin + step, max(1, len(tokens) - length + 1))
+    for start in range(-(-begin // apart) * apart, last, apart):
+        end = start + length + apart
+        score = sum(weights.get(t, 0.0) for t in np.unique(numbers[start:end]).tolist())
+        if score < search.cuts[place] or score <= found.get(place, (0, -1.0))[1]:
+            continue
+        asked, told = (overlap(p, tokens[start:end]) for p in index.parts[place])
+        if asked >= search.question and told >= search.answer:
+            found[place] = (index.ids[place], score, asked, told, start)
 
 
 def shards(benchmark: DataFrame, shard_items: int) -> Iterator[Index]:
@@ -309,7 +381,8 @@ def find(
 
         def rows(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                got = [(i, *leak) for i, t in enumerate(batch.column(1).to_pylist()) for leak in leaks(t, shared.value)]
+                found = leaks(batch.column(1).to_pylist(), shared.value)
+                got = [(i, *leak) for i, of in enumerate(found) for leak in of]
                 columns = list(zip(*got, strict=True)) if got else [()] * 6
                 ids = batch.column(0).take(pa.array(columns[0], pa.int64()))
                 types = [pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.int64()]
@@ -332,7 +405,7 @@ def clean(
 
         def rows(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                keep = [not leaks(t, shared.value) for t in batch.column(at).to_pylist()]
+                keep = [not found for found in leaks(batch.column(at).to_pylist(), shared.value)]
                 yield batch.filter(pa.array(keep, pa.bool_()))
 
         docs = docs.mapInArrow(rows, docs.schema)
