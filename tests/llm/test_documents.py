@@ -277,3 +277,40 @@ def test_no_pages(spark):
 def test_url_keys():
     assert warc.url_key("https://WWW.b.Example.com:80/Path?Q=1#x") == "com,example,b)/path?q=1"
     assert warc.url_key(None) == "-" and warc.url_key("http://[bad") == "http://[bad"
+
+
+def test_cut_decides_what_is_retrieved(text_of):
+    items = [(i, text_of(i, 20 + i % 30)) for i in range(40)]
+    df = {}
+    for _, t in items:
+        for w in set(decontam.words(t)):
+            df[w] = df.get(w, 0) + 1
+    index = decontam.build_index(items, df, len(items), 30.0)
+    texts = [decontam.words(f"{text_of(99 + i, 50)} {items[i][1]}" if i % 2 else text_of(99 + i, 9000)) for i in range(6)]
+    numbers, sizes = np.array([index.terms.get(w, -1) for t in texts for w in t]), np.array([len(t) for t in texts])
+
+    def plain(cut):
+        """Every passage of a class against every item of the class."""
+        want = set()
+        for lists in index.classes:
+            step = decontam.stride(lists.longest)
+            for t, tokens in enumerate(texts):
+                for begin in range(0, len(tokens), step):
+                    scores = plain_bm25(tokens[begin : begin + decontam.SPAN * step], items, df) if begin < 2000 else {}
+                    want |= {(t, begin, i) for i, s in scores.items() if s >= cut and i in index.ids[lists.places[0] : lists.places[-1]]}
+        return want
+
+    for cut in (0.2, 0.6, 2.0):
+        got = {
+            (t, b, index.ids[p])
+            for lists in index.classes
+            for rows in decontam.retrieve(numbers, sizes, lists, np.full(len(items), cut))
+            for t, b, p in zip(*(r.tolist() for r in rows), strict=True)
+        }
+        assert {g for g in got if g[1] < 2000} == plain(cut)
+        assert bool(got) == (cut < 1)
+    search = decontam.build_search(index, 0.5, 0.6, 0.5)
+    quoted = [" ".join(t) for t in texts]
+    assert [{leak[0] for leak in found} for found in decontam.leaks(quoted, search)] == [{i} if i % 2 else set() for i in range(6)]
+    search.cuts[:] = 1.1
+    assert not any(decontam.leaks(quoted, search))
