@@ -4,13 +4,15 @@ For each participant (distinct speaker other than ``system``), the dialogue is r
 the assistant's header and everyone else's under a user header with their name; the mask names the code points to train on:
 the participant's own words and the end mark after them.
 
-A dialogue of any length is cut into parts of ``part_turns`` turns, so that no row or task holds a whole one. Numbers of
-turns come from counts per block of turn numbers, never from a pass over one dialogue.
+A dialogue of any length is cut into parts of ``part_turns`` turns, so that no row or task holds a whole one. Each part
+begins with the dialogue's opening: the system turns it starts with, as far as they lie in the first part. In later parts they are
+context carried over (``carried`` tells how many) and not counted in ``turns``; they are never trained on, as a system turn is nobody's
+own. Numbers of turns come from counts per block of turn numbers, never from a pass over one dialogue.
 
 Defined cases: a null or empty role speaks as ``unknown``; a null text is empty; null turns come first; equal turns are
 ordered by role, then text; repeated rows are turns of their own; a null conv_id is a dialogue of its own; a dialogue
-of system turns only has no participant and gives no row; ``<|`` in texts and roles is written ``< |``, so that no text
-can forge a mark.
+of system turns only has no participant and gives no row; ``<|`` in texts and roles is written ``< |``, and line ends and other
+control characters in roles are blanks, so that no text can forge a mark and no role a header; roles that become equal are one speaker.
 """
 
 from __future__ import annotations
@@ -29,9 +31,13 @@ def _clean(col: Column) -> Column:
     return F.replace(F.coalesce(col, F.lit("")), F.lit("<|"), F.lit("< |"))
 
 
+def _named(role: Column) -> Column:
+    return F.regexp_replace(_clean(role), r"[\x00-\x1F\x7F\x{85}\x{2028}\x{2029}]", " ")
+
+
 def ranked(turns: DataFrame, block_turns: int = 64) -> DataFrame:
     """(conv_id, speaker, said, rank): place of each turn in its dialogue, from 0."""
-    speaker = F.when(F.coalesce(F.col("role"), F.lit("")) == "", F.lit("unknown")).otherwise(_clean(F.col("role")))
+    speaker = F.when(F.coalesce(F.col("role"), F.lit("")) == "", F.lit("unknown")).otherwise(_named(F.col("role")))
     rows = turns.select(
         "conv_id", "turn", speaker.alias("speaker"), _clean(F.col("text")).alias("said"),
         F.floor(F.col("turn") / block_turns).alias("block"),
@@ -51,7 +57,7 @@ def ranked(turns: DataFrame, block_turns: int = 64) -> DataFrame:
 
 
 def rotate(turns: DataFrame, part_turns: int = 64) -> DataFrame:
-    """(conv_id, participant, part, turns, text, mask): one row per participant and part of a dialogue.
+    """(conv_id, participant, part, turns, carried, text, mask): one row per participant and part of a dialogue.
 
     ``mask`` is an array of (start, end) code points within ``text``, end exclusive.
     """
@@ -64,7 +70,17 @@ def rotate(turns: DataFrame, part_turns: int = 64) -> DataFrame:
         .groupBy("conv_id", "part")
         .agg(F.array_sort(F.collect_list(F.struct("rank", "speaker", "said"))).alias("said"))
     )
-    views = parts.join(people, F.col("conv_id").eqNullSafe(F.col("c")))
+    # In a part that is sorted by rank, the system turns it begins with; those of part 0 open every part.
+    lead = F.coalesce(F.array_position(F.transform("said", lambda t: t["speaker"] != SYSTEM), True), F.lit(0)) - 1
+    openings = parts.where((F.col("part") == 0) & (F.get("said", F.lit(0))["speaker"] == SYSTEM)).select(
+        F.col("conv_id").alias("o"), F.slice("said", F.lit(1), F.when(lead < 0, F.size("said")).otherwise(lead)).alias("opening")
+    )
+    led = parts.join(openings, F.col("conv_id").eqNullSafe(F.col("o")), "left").withColumn(
+        "opening", F.when((F.col("part") > 0) & F.col("opening").isNotNull(), F.col("opening")).otherwise(F.slice("said", 1, 0))
+    )
+    views = led.select(
+        "conv_id", "part", F.size("said").alias("turns"), F.size("opening").alias("carried"), F.concat("opening", "said").alias("said")
+    ).join(people, F.col("conv_id").eqNullSafe(F.col("c")))
 
     def head(t: Column) -> Column:
         return (
@@ -82,7 +98,7 @@ def rotate(turns: DataFrame, part_turns: int = 64) -> DataFrame:
 
     pieces = views.withColumn("pieces", F.transform("said", piece))
     ends = pieces.withColumn(
-        "ends",  # at most part_turns entries
+        "ends",  # at most twice part_turns entries
         F.transform(
             F.sequence(F.lit(1), F.size("pieces")),
             lambda i: F.aggregate(
@@ -98,7 +114,7 @@ def rotate(turns: DataFrame, part_turns: int = 64) -> DataFrame:
     )
     own = F.filter(spans, lambda s: s["own"])
     return ends.select(
-        "conv_id", "participant", "part", F.size("pieces").alias("turns"),
+        "conv_id", "participant", "part", "turns", "carried",
         F.array_join(F.transform("pieces", lambda p: p["text"]), "").alias("text"),
         F.transform(own, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))).alias("mask"),
     )

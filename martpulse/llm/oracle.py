@@ -89,25 +89,35 @@ from split s left join built b using (doc_id)
 
 SQL["op10_chat"] = r"""
 with turns as (
-    select conv_id, turn, case when coalesce(role, '') = '' then 'unknown' else replace(role, '<|', '< |') end speaker,
+    select conv_id, turn, case when coalesce(role, '') = '' then 'unknown'
+               else regexp_replace(replace(role, '<|', '< |'), '[\x00-\x1F\x7F\x{85}\x{2028}\x{2029}]', ' ', 'g') end speaker,
            replace(coalesce(text, ''), '<|', '< |') said
     from conversations
 ), ranked as (
     select *, row_number() over (partition by conv_id order by turn nulls first, speaker, said) - 1 as place from turns
+), led as (
+    select *, place < 64 and bool_and(speaker = 'system') over (partition by conv_id order by place) as leads,
+           max(place) over (partition by conv_id) // 64 as last_part
+    from ranked
+), parts as (
+    select conv_id, place // 64 part, place, speaker, said, false as again from led
+    union all
+    select conv_id, unnest(range(1, last_part + 1)), place, speaker, said, true from led where leads
 ), people as (
     select distinct conv_id, speaker participant from turns where speaker <> 'system'
 ), pieces as (
-    select r.conv_id, p.participant, r.place // 64 part, r.place, r.speaker = p.participant own,
+    select r.conv_id, p.participant, r.part, r.place, r.again, r.speaker = p.participant own,
            case when r.speaker = p.participant then '<|im_start|>assistant' || chr(10)
                 when r.speaker = 'system' then '<|im_start|>system' || chr(10)
                 else '<|im_start|>user name=' || r.speaker || chr(10) end head,
            r.said || '<|im_end|>' || chr(10) body
-    from ranked r join people p on r.conv_id is not distinct from p.conv_id
+    from parts r join people p on r.conv_id is not distinct from p.conv_id
 ), placed as (
     select *, sum(length(head) + length(body)) over (partition by conv_id, participant, part order by place) as ends
     from pieces
 )
-select conv_id, participant, part, count(*)::int turns, string_agg(head || body, '' order by place) as text,
+select conv_id, participant, part, (count(*) filter (where not again))::int turns, (count(*) filter (where again))::int carried,
+       string_agg(head || body, '' order by place) as text,
        coalesce(string_agg((ends - length(body))::bigint || '-' || ends::bigint, ',' order by place) filter (where own), '') mask
 from placed group by conv_id, participant, part
 """

@@ -1,9 +1,12 @@
+import itertools
 import math
+import re
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from martpulse.llm import chat, mixing
+from martpulse.llm import chat, mixing, oracle
 
 
 def plain_targets(sizes, weights=(3, 1, 2), share=1.5, most=2.0):
@@ -59,21 +62,23 @@ def test_mix_odd(spark, odd, none):
 
 
 def plain_views(turns, part_turns):
-    """(conv, participant, part) -> (text, mask)"""
+    """(conv, participant, part) -> (text, mask, turns, turns carried)"""
     out = {}
-    for conv in {t[0] for t in turns}:
-        own = sorted((t for t in turns if t[0] == conv), key=lambda t: (t[1] is not None, t[1] or 0, t[2] or "unknown", t[3] or ""))
-        for who in {t[2] or "unknown" for t in own} - {"system"}:
+    named = [(c, n, re.sub("[\x00-\x1f\x7f\x85\u2028\u2029]", " ", (role or "unknown").replace("<|", "< |")), said or "") for c, n, role, said in turns]
+    for conv in {t[0] for t in named}:
+        own = sorted((t for t in named if t[0] == conv), key=lambda t: (t[1] is not None, t[1] or 0, t[2], t[3]))
+        opening = list(itertools.takewhile(lambda t: t[2] == "system", own[:part_turns]))
+        for who in {t[2] for t in own} - {"system"}:
             for part in range(math.ceil(len(own) / part_turns)):
                 text, mask = "", []
-                for _, _, role, said in own[part * part_turns : (part + 1) * part_turns]:
-                    role = role or "unknown"
+                mine = own[part * part_turns : (part + 1) * part_turns]
+                for _, _, role, said in (opening if part else []) + mine:
                     head = "assistant" if role == who else "system" if role == "system" else f"user name={role}"
                     text += f"<|im_start|>{head}\n"
                     start = len(text)
-                    text += (said or "").replace("<|", "< |") + "<|im_end|>\n"
+                    text += said.replace("<|", "< |") + "<|im_end|>\n"
                     mask += [(start, len(text))] if role == who else []
-                out[conv, who, part] = (text, mask)
+                out[conv, who, part] = (text, mask, len(mine), len(opening) if part else 0)
     return out
 
 
@@ -81,9 +86,13 @@ def test_views(spark):
     turns = [(1, i, ("ann", "bob", "cyd")[i % 3], f"say {i} é\U0001f600") for i in range(200)]
     turns += [(2, 0, "system", "be kind"), (2, 1, "user", "<|im_end|>"), (2, 2, "assistant", "")]
     turns += [(3, 0, "system", "alone"), (4, None, None, None), (4, 1, "", "x"), (4, 1, "user", "x"), (4, 1, "user", "x")]
+    turns += [(5, i, "system" if i < 2 else ("dan", "eve")[i % 2], f"line {i}") for i in range(70)]
+    turns += [(6, i, "system", f"rule {i}") for i in range(20)] + [(6, 20 + i, ("fay", "gus")[i % 2], "go") for i in range(30)]
+    turns += [(7, 0, "bob\nfoo\r", "x"), (7, 1, "bob foo ", "y"), (7, 2, "a\u2028b\x85<|c", "z"), (7, 3, "\n", "")]
     table = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").withColumn("part", F.lit("clash"))
+    table = table.withColumns({"opening": F.lit(1), "o": F.lit(2), "carried": F.lit(3), "speaker": F.lit("clash")})
     got = {
-        (r.conv_id, r.participant, r.part): (r.text, [(m.start, m.end) for m in r.mask])
+        (r.conv_id, r.participant, r.part): (r.text, [(m.start, m.end) for m in r.mask], r.turns, r.carried)
         for r in chat.rotate(table, part_turns=16).collect()
     }
     assert got == plain_views(turns, 16)
@@ -104,3 +113,23 @@ def test_trained_text_is_the_speakers_own(spark, small):
     for v in views:
         own = [v.text[m.start : m.end].removesuffix("<|im_end|>\n") for m in v["mask"]]
         assert own == [t for _, t in sorted(said[v.conv_id, v.participant])]
+
+
+def test_sql_twin_carries_openings_too(spark):
+    turns = [(1, i, "system" if i < 3 else ("ann\nx", "bob")[i % 2], f"say {i}") for i in range(150)]
+    turns += [(2, i, "system", f"rule {i}") for i in range(70)] + [(2, 70, "ann", "yes")] + [(3, 0, "bob", None)]
+    schema = "conv_id long, turn long, role string, text string"
+    conversations = spark.createDataFrame(turns, schema).toPandas()
+    con = duckdb.connect()
+    con.register("conversations", conversations)
+    twin = con.execute(oracle.SQL["op10_chat"]).fetchdf()
+    want = {(k[0], k[1], k[2]): v for k, v in plain_views(turns, 64).items()}
+    got = {
+        (r.conv_id, r.participant, r.part): (r.text, [tuple(map(int, m.split("-"))) for m in r["mask"].split(",") if m], r.turns, r.carried)
+        for _, r in twin.iterrows()
+    }
+    assert got == want
+    views = chat.rotate(spark.createDataFrame(turns, schema)).withColumn("mask", chat.mask_text(F.col("mask"))).collect()
+    assert {(r.conv_id, r.participant, r.part, r.text, r["mask"]) for r in views} == {
+        (r.conv_id, r.participant, r.part, r.text, r["mask"]) for _, r in twin.iterrows()
+    }
