@@ -31,7 +31,8 @@ def minute_id(mid: Column, at: Column) -> Column:
 
 
 def detect(
-    events: DataFrame, window: str = K.ALERT_WINDOW, slide: str = K.ALERT_SLIDE, min_users: int = K.ALERT_MIN_USERS
+    events: DataFrame, window: str = K.ALERT_WINDOW, slide: str = K.ALERT_SLIDE, min_users: int = K.ALERT_MIN_USERS,
+    block: str = "1 day",
 ) -> DataFrame:
     """Rows (mid, window_start, window_end, uid_count) of all alerts; ``window`` is a multiple of ``slide``.
 
@@ -40,35 +41,52 @@ def detect(
     so a window counts a user once. Where such a span begins, the device's count rises by one, where it ends, it
     falls; running sums over these steps give the count of every window. Marks are made distinct before the
     shuffle and a device has at most one step per pane, so no group grows with the number of events.
+
+    Time is cut into blocks (of a window's length at least), and a device's blocks are worked on apart, so its history
+    is spread over tasks. Spans are no longer than a window: marks of a block's first panes are shown to the block before,
+    which may have to end a span there, and a span over an edge is cut in two, so that sums start from nothing in each block.
     """
     spark = events.sparkSession
-    step, length = spark.range(1).select(micros(slide), micros(window)).first()
+    step, length, cut = spark.range(1).select(micros(slide), micros(window), micros(block)).first()
     if length % step:
         raise ValueError("the window must be a multiple of its slide")
+    if min_users < 1:
+        raise ValueError("an alert has one user at least")
+    panes = length // step
+    in_block = max(cut // step, panes)
     named = events.where(F.col("mid").isNotNull())  # rows without a device belong to no device
     marks = named.where(is_click() | (is_coupon() & F.col("uid").isNotNull())).select(
         "mid",
         F.when(is_coupon(), F.col("uid")).alias("user"),
         F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / step).alias("pane"),
     ).distinct()
-    following = F.lead("pane").over(Window.partitionBy("mid", "user").orderBy("pane"))
-    last = F.least(following - 1, F.col("pane") + (length // step - 1))
-    users, clicks = F.col("user").isNotNull().cast("int"), F.col("user").isNull().cast("int")
-    steps = (
-        marks.select("mid", "pane", users.alias("users"), clicks.alias("clicks"), last.alias("last"))
+    own = F.floor(F.col("pane") / in_block)
+    shown = F.when(F.col("pane") - own * in_block < panes, F.array(own, own - 1)).otherwise(F.array(own))
+    following = F.lead("pane").over(Window.partitionBy("mid", "user", "block").orderBy("pane"))
+    last = F.least(following - 1, F.col("pane") + (panes - 1))
+    spans = (
+        marks.withColumn("block", F.explode(shown))
         .select(
-            "mid",
-            F.inline(
-                F.array(
-                    F.struct(F.col("pane").alias("pane"), F.col("users").alias("users"), F.col("clicks").alias("clicks")),
-                    F.struct((F.col("last") + 1).alias("pane"), (-F.col("users")).alias("users"), (-F.col("clicks")).alias("clicks")),
-                )
-            ),
+            "mid", "block", "pane", last.alias("last"), F.col("user").isNotNull().cast("int").alias("users"),
+            F.col("user").isNull().cast("int").alias("clicks"),
+        )
+        .where(own == F.col("block"))
+    )
+    edge = (F.col("block") + 1) * in_block  # first pane of the next block
+
+    def change(place: Column, pane: Column, sign: int) -> Column:
+        return F.struct(
+            place.alias("block"), pane.alias("pane"), (sign * F.col("users")).alias("users"), (sign * F.col("clicks")).alias("clicks")
         )
-        .groupBy("mid", "pane")
+
+    here = [change(F.col("block"), F.col("pane"), 1), change(F.col("block"), F.least(F.col("last") + 1, edge), -1)]
+    beyond = [change(F.col("block") + 1, edge, 1), change(F.col("block") + 1, F.col("last") + 1, -1)]
+    steps = (
+        spans.select("mid", F.inline(F.when(F.col("last") < edge, F.array(*here)).otherwise(F.array(*here, *beyond))))
+        .groupBy("mid", "block", "pane")
         .agg(F.sum("users").alias("users"), F.sum("clicks").alias("clicks"))
     )
-    along = Window.partitionBy("mid").orderBy("pane")
+    along = Window.partitionBy("mid", "block").orderBy("pane")
     so_far = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     counts = steps.select(
         "mid", "pane", F.lead("pane").over(along).alias("until"),

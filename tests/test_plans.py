@@ -64,6 +64,20 @@ def test_alert_detection_does_not_copy_rows_or_collect(spark, folder):
     assert "Expand" not in text and "collect_" not in text
 
 
+def test_one_device_is_spread_over_days(spark, small_limits):
+    days = spark.range(30 * 1440).select(
+        F.lit("hot").alias("mid"), F.concat(F.lit("u"), F.col("id") % 5).alias("uid"), F.lit("coupon").alias("evid"),
+        F.lit("i").alias("itemid"), F.timestamp_seconds(F.col("id") * 60).alias("ts"),
+    )
+    found = alerts.detect(days)
+    text = plan(found, "simple")
+    windows = [row for row in text.splitlines() if "Window " in row or "Window(" in row]
+    assert windows and all("block" in row for row in windows)
+    tasks = found.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert len(tasks) > 1 and max(t["count"] for t in tasks) < 0.8 * sum(t["count"] for t in tasks)
+    assert found.where("uid_count >= 5").count() == 30 * 1440 - 4
+
+
 def test_page_is_a_top_k(spark, folder):
     assert "TakeOrderedAndProject" in plan(Q.q16_sale_search_page(spark, folder))
 

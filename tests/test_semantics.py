@@ -362,7 +362,8 @@ def test_window_must_be_a_multiple_of_its_slide(spark):
         alerts.detect(events(spark, COUPONS), "5 minutes", "2 minutes")
 
 
-def test_detection_equals_windows_written_out(spark, folder):
+@pytest.mark.parametrize("block", ["1 minute", "2 hours", "3 hours 15 minutes", "1 day"])
+def test_detection_equals_windows_written_out(spark, folder, block):
     from martpulse.sources import shop
 
     log = shop.event_log(spark, folder)
@@ -373,7 +374,7 @@ def test_detection_equals_windows_written_out(spark, folder):
         .where("uid_count >= 3 and not clicked")
         .select("mid", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "uid_count")
     )
-    ours = alerts.detect(log, "2 hours", "15 minutes")
+    ours = alerts.detect(log, "2 hours", "15 minutes", block=block)
     assert ours.count() > 0
     assert ours.exceptAll(plain).count() == 0 and plain.exceptAll(ours).count() == 0
 
