@@ -30,6 +30,8 @@ CASTS = {"ts": "bigint", "total_amount": "double", "birthday": "date"}
 # A feed row as a message broker delivers it.
 # ``pos`` is the row's place among those of one change entry, which share their time; other feeds leave it empty.
 FEED = "topic STRING, value STRING, timestamp TIMESTAMP, pos INT"
+# The same with the row's place in the topic's log, which feeds without a broker may lack.
+PLACED_FEED = FEED + ", partition INT, offset BIGINT"
 
 # One entry of a database change log.
 CHANGE_ENTRY = (

@@ -1,4 +1,4 @@
-"""Message feeds: rows of (topic, value, timestamp, pos) from a broker or from files, and their parsing.
+"""Message feeds: rows of (topic, value, timestamp, pos, partition, offset) from a broker or from files, and their parsing.
 
 The same parsing serves streams and tables.
 """
@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from martpulse.functions.numbers import MONEY
 from martpulse.functions.times import is_millis
-from martpulse.schemas import CASTS, CHANGE_ENTRY, FEED
+from martpulse.schemas import CASTS, CHANGE_ENTRY, PLACED_FEED
 
 
 def broker_options(servers: str, topic: str, starting: str = "latest", max_offsets: int | None = None) -> dict:
@@ -28,12 +28,14 @@ def broker_feed(spark: SparkSession, servers: str, topic: str, **options) -> Dat
     """A topic as a stream; needs Spark's kafka connector on the class path."""
     stream = spark.readStream.format("kafka").option("includeHeaders", "true").options(**broker_options(servers, topic, **options)).load()
     pos = F.element_at(F.map_from_entries(F.col("headers")), F.lit("pos")).cast("string").try_cast("int")
-    return stream.select("topic", F.col("value").cast("string").alias("value"), "timestamp", pos.alias("pos"))
+    return stream.select(
+        "topic", F.col("value").cast("string").alias("value"), "timestamp", pos.alias("pos"), "partition", "offset"
+    )
 
 
 def file_feed(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """A folder of Parquet files with feed rows as a stream."""
-    reader = spark.readStream.schema(FEED)
+    """A folder of Parquet files with feed rows as a stream; files without places in the log have empty ones."""
+    reader = spark.readStream.schema(PLACED_FEED)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.parquet(path)

@@ -32,6 +32,7 @@ from martpulse.functions.times import micros
 from martpulse.operators.keyed import first_per, latest_per, unseen
 from martpulse.plans import alerts, changes, devices, sales
 from martpulse.plans.orders import order_rows
+from martpulse.sources import positions
 from martpulse.sources.feeds import ahead, parse, unsound
 from martpulse.sources.sinks import (
     fold_days, latest_mark, put_mark, read_all, read_before, read_latest, run_number, stream_all, any_rows, write_batch,
@@ -102,6 +103,9 @@ def start_landing(
 
     A row is late if it lies more than ``late`` behind the largest time of all batches before its own. A job that reads the rows on
     time has seen no later time than these batches when it comes to the row, so a watermark of the same length keeps it.
+
+    A message that is delivered again, in the same batch, a later one or to a job with a new checkpoint, is known by its place in
+    the topic's log and left out.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -109,21 +113,27 @@ def start_landing(
         run = run_number(spark, table)
         before = latest_mark(spark, table, run, batch_id)
         rows = batch.persist()
+        block = positions.block_of(F.col("offset"))
         try:
-            most, length = rows.agg(F.unix_micros(F.max("event_ts")), F.any_value(micros(late))).first()
+            most, length, low, high = rows.agg(
+                F.unix_micros(F.max("event_ts")), F.any_value(micros(late)), F.min(block), F.max(block)
+            ).first()
             if most is None:
                 return
             edge = F.lit(None if before is None else before - length).cast("bigint")
             behind = F.coalesce(F.unix_micros("event_ts") < edge, F.lit(False))
+            fresh = positions.fresh_rows(rows, low, high, batch_id, table).drop(*positions.PLACE)
             write_batch(
-                rows.withColumn("late", behind).withColumn("event_period", event_hour(F.col("event_ts")).substr(1, PERIOD[period])),
+                fresh.withColumn("late", behind).withColumn("event_period", event_hour(F.col("event_ts")).substr(1, PERIOD[period])),
                 batch_id, table, ["late", "event_period"],
             )
+            if high is not None:
+                positions.take(rows, batch_id, table)
             put_mark(spark, table, run, batch_id, max(most, before or most))
         finally:
             rows.unpersist()
 
-    return _run(parsed_logs(feed, schema), write, checkpoint, trigger or {"processingTime": K.TRIGGER_LOGS})
+    return _run(parsed_logs(positions.placed(feed), schema, keep=tuple(positions.PLACE)), write, checkpoint, trigger or {"processingTime": K.TRIGGER_LOGS})
 
 
 def event_hour(ts: Column) -> Column:
@@ -145,9 +155,9 @@ DEVICE_TABLE = (
 )
 
 
-def parsed_logs(feed: DataFrame, schema=schemas.STARTUP_LOG, most_ahead: str = AHEAD) -> DataFrame:
-    """Sound logs with ``event_ts``, without those whose clock runs ahead."""
-    logs = parse(feed, schema, "mid", keep=("timestamp",)).withColumn("event_ts", from_millis(F.col("ts")))
+def parsed_logs(feed: DataFrame, schema=schemas.STARTUP_LOG, most_ahead: str = AHEAD, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Sound logs with ``event_ts``, without those whose clock runs ahead; feed columns in ``keep`` are carried along."""
+    logs = parse(feed, schema, "mid", keep=("timestamp", *keep)).withColumn("event_ts", from_millis(F.col("ts")))
     return logs.where(~ahead(F.col("event_ts"), F.col("timestamp"), most_ahead)).drop("timestamp")
 
 

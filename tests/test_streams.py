@@ -572,3 +572,50 @@ def test_the_word_index_leads_to_the_newest_documents(spark, tmp_path):
     scans = [s[: s.index("ReadSchema")] for s in text.split("FileScan")[1:]]
     index = next(s for s in scans if "words" in s)
     assert "bucket" in index[index.index("PartitionFilters"):] and "sale_period" in index[index.index("PartitionFilters"):]
+
+
+# --- places in the log ------------------------------------------------------------------------------
+
+
+def test_a_feed_delivered_again_changes_no_table(spark, tmp_path):
+    runner = alert_runner(spark, tmp_path, late="1 hour")
+    path = runner.paths["in"]
+    said = [coupon("2024-01-01T00:00:10", f"u{i % 3}") for i in range(7)] + [coupon("2024-01-01T02:00:00", "x", mid="tick")]
+    message = [("t", json.dumps(m), dt.datetime.fromisoformat(at), None, i % 2, i // 2) for i, (at, m) in enumerate(said)]
+
+    def deliver(*messages, checkpoint=""):
+        runner.checkpoint += checkpoint
+        if messages:
+            spark.createDataFrame(list(messages), schemas.PLACED_FEED).coalesce(1).write.mode("append").parquet(path)
+        runner.send()
+
+    def tables():
+        kept = spark.read.schema(jobs.landed_schema(schemas.EVENT_LOG)).parquet(runner.table + "-events")
+        docs = sorted((d.id, tuple(d.uids), tuple(d.itemIds), tuple(d.events)) for d in alert_docs(spark, runner).collect())
+        return sorted((r.mid, r.uid, r.ts) for r in kept.collect()), docs
+
+    deliver(*message, *message[:3])  # some twice within a batch
+    rows, docs = tables()
+    assert len(rows) == len(message) and docs and all(d[3] == ("coupon",) * 7 for d in docs)
+    deliver(*message)  # all in a later batch
+    assert tables() == (rows, docs)
+    deliver(checkpoint="-new")  # all three deliveries to jobs with new checkpoints
+    assert tables() == (rows, docs)
+    other = ("t", json.dumps(coupon("2024-01-01T02:00:01", "y", mid="tick")[1]), dt.datetime(2024, 1, 1, 2, 0, 1), None, 0, 4)
+    deliver(other, message[0])
+    assert len(tables()[0]) == len(rows) + 1
+
+
+def test_taken_places_are_runs_without_gaps(spark):
+    from martpulse.sources import positions
+
+    places = [("t", 0, o) for o in (1, 2, 3, 5, 6, 6, 4095, 4096, 4097)] + [("t", 1, 3), (None, None, 7), ("t", 0, None)]
+    rows = spark.createDataFrame(places, "topic string, partition int, offset bigint")
+    runs = {(r.topic, r.partition, r.low, r.high) for r in positions.taken_by(rows).collect()}
+    assert runs == {("t", 0, 1, 3), ("t", 0, 5, 6), ("t", 0, 4095, 4095), ("t", 0, 4096, 4097), ("t", 1, 3, 3), (None, None, 7, 7)}
+    again = spark.createDataFrame([*places, ("t", 0, 4), ("t", 0, 4), ("u", 0, 1), ("t", 0, None)], rows.schema)
+    left = positions.not_taken(again, positions.taken_by(rows)).collect()
+    assert sorted((r.topic, r.partition, r.offset or 0) for r in left) == [("t", 0, 0), ("t", 0, 0), ("t", 0, 4), ("u", 0, 1)]
+    plain = spark.createDataFrame([("t", "v")], "topic string, value string")
+    assert positions.placed(plain).dtypes[-2:] == [("partition", "int"), ("offset", "bigint")]
+    assert positions.not_taken(positions.placed(plain), positions.taken_by(rows)).count() == 1
