@@ -87,6 +87,11 @@ def parse(feed: DataFrame, schema: T.StructType, key: str, keep: tuple[str, ...]
     return good.select(*[_cast(f.name) for f in schema.fields], *keep)
 
 
+def only(schema: T.StructType, *names: str) -> T.StructType:
+    """The named fields of a schema, and those by which ``parse`` tells whether a record is sound."""
+    return T.StructType([f for f in schema.fields if f.name in (*names, "ts", "total_amount")])
+
+
 def _sound(schema: T.StructType, key: str, field: Callable[[str], Column]) -> Column:
     """The key is there, event times are times, and amounts that are numbers are money."""
     sound = field(key).isNotNull()

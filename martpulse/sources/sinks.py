@@ -54,11 +54,14 @@ def even_files(rows: DataFrame, *partition: str) -> DataFrame:
     return rows.hint("rebalance", *partition)
 
 
-def write_batch(rows: DataFrame, batch_id: int, path: str, partition: str | list[str] | None = None) -> None:
+def write_batch(
+    rows: DataFrame, batch_id: int, path: str, partition: str | list[str] | None = None, even: bool = True,
+) -> None:
+    """``even=False`` writes the tasks' rows as they lie, without a shuffle: for rows whose tasks hold few folders each."""
     target = f"{path}/run={run_number(rows.sparkSession, path)}/batch_id={batch_id}"
     if partition:
         by = [partition] if isinstance(partition, str) else partition
-        even_files(rows, *by).write.mode("overwrite").partitionBy(*by).parquet(target)
+        (even_files(rows, *by) if even else rows).write.mode("overwrite").partitionBy(*by).parquet(target)
     else:
         rows.write.mode("overwrite").parquet(target)
 

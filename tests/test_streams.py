@@ -424,6 +424,56 @@ def test_what_never_met_is_reported_when_its_time_is_over(spark, tmp_path):
     assert found() == [("alone", "", "order_only"), ("none", "d2", "detail_only"), ("none", "d3", "detail_only")]
 
 
+def slots(runner):
+    from pathlib import Path
+
+    return {(p.parent.name, p.name) for p in Path(runner.checkpoint, "waiting").glob("run=*/batch_id=*/side=*/slot=*")}
+
+
+def test_waiting_rows_are_kept_by_slot_and_go_with_the_watermark(spark, tmp_path):
+    """No row costs a lookup in a state store, and what waits does not grow with the feed."""
+    runner = sale_runner(spark, tmp_path)
+    for minute in range(0, 50, 5):
+        at = f"2024-01-01T10:{minute:02}:00"
+        runner.send(orders=[order(at, f"o{minute}")], lines=[line(at[:-2] + "20", f"d{minute}", f"o{minute}"),
+                                                              line(at, f"e{minute}", f"o{minute - 5}")])
+    assert set(sold(spark, runner)) == {f"d{minute}" for minute in range(0, 50, 5)}
+    assert not any(r.stateOperators for r in runner.reports) and 0 < len(slots(runner)) <= 12
+    runner.send(orders=[order("2024-01-01T10:40:00", "late")], lines=[line("2024-01-01T10:45:10", "f", "late"), line("2024-01-01T10:45:30", "g", "o45")])
+    assert set(sold(spark, runner)) == {f"d{minute}" for minute in range(0, 50, 5)} | {"g"}
+
+
+@pytest.mark.parametrize("lost", ["before the marks", "after the marks"])
+def test_a_batch_of_waiting_rows_that_fails_is_run_again_without_doubles(spark, tmp_path, monkeypatch, lost):
+    sale = sale_runner(spark, tmp_path)
+    (tmp_path / "other").mkdir()
+    alone = Runner(spark, tmp_path / "other", lambda r: jobs.start_unmatched(r.feed("orders"), r.feed("lines"), r.table, r.checkpoint, NOW), ("orders", "lines"))
+    for runner in (sale, alone):
+        runner.send(orders=[order("2024-01-01T10:00:00", "1"), order("2024-01-01T10:00:00", "2")], lines=[line("2024-01-01T10:00:10", "a", "1")])
+        done, calls = jobs.Waiting.done, []
+
+        def failing(self, done=done, calls=calls):
+            calls.append(self.batch_id)
+            if len(calls) == 1:
+                if lost == "after the marks":
+                    done(self)
+                raise RuntimeError("lost")
+            done(self)
+
+        more = {"orders": [order("2024-01-01T10:20:00", "3"), order("2024-01-01T10:00:20", "4")], "lines": [line("2024-01-01T10:01:00", "b", "1"), line("2024-01-01T10:20:00", "c", "3")]}
+        with monkeypatch.context() as patch:
+            patch.setattr(jobs.Waiting, "done", failing)
+            with pytest.raises(Exception):
+                runner.send(**more)
+            runner.send()
+        assert calls == [1, 1]
+        runner.send(orders=[order("2024-01-01T11:00:00", "5")], lines=[line("2024-01-01T11:00:00", "d", "5")])
+    docs = read_all(spark, sale.table, jobs.SALE_TABLE).collect()
+    assert sorted(d.order_detail_id for d in docs) == ["a", "b", "c", "d"]
+    rows = read_all(spark, alone.table, jobs.UNMATCHED_TABLE).collect()
+    assert sorted((r.order_id, r.status) for r in rows) == [("2", "order_only"), ("4", "order_only")]
+
+
 def test_closed_days_are_folded_beside_the_running_job(spark, tmp_path):
     from martpulse.sources.sinks import fold_days
 
