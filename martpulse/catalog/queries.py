@@ -309,10 +309,10 @@ def q25_user_latest(spark, folder):
 def q26_upsert_docs(spark, folder):
     """All sales as documents, then those of finished orders again with a new status."""
     path = work_dir(spark, "documents")
-    docs = sale_table(spark, folder)
-    sinks.write_batch(docs, 0, path)
+    sinks.write_batch(sale_table(spark, folder), 0, path)
+    docs = sinks.read_all(spark, path, schemas.SALE_DETAIL).drop("run", "batch_id")
     sinks.write_batch(docs.where("order_status = 'F'").withColumn("order_status", F.lit("DONE")), 1, path)
-    newest = sinks.read_latest(spark, path, schemas.SALE_DETAIL, ["order_detail_id"])
+    newest = sinks.read_latest(spark, path, schemas.SALE_DETAIL, ["order_detail_id"], columns=["order_status", "sku_price"])
     return newest.select("order_detail_id", "order_status", "sku_price")
 
 

@@ -456,3 +456,12 @@ def test_folders_come_from_the_cluster(spark):
     with pytest.raises(ValueError):
         work_dir(FakeSession("yarn", None), "x")
     assert work_dir(FakeSession("local[2]", None), "x") != work_dir(FakeSession("local[2]", None), "x")
+
+
+def test_upserted_documents_are_joined_once_and_shuffled_without_unused_columns(spark, folder):
+    from martpulse.catalog import queries as Q
+
+    found = Q.q26_upsert_docs(spark, folder)
+    text = found._jdf.queryExecution().simpleString()
+    assert "sku_name" not in text and "user_gender" not in text
+    assert found.where("order_status = 'F'").isEmpty() and not found.where("order_status = 'DONE'").isEmpty()
