@@ -171,7 +171,7 @@ def backfilled_orders(spark: SparkSession, feed: DataFrame, old: DataFrame):
             lambda: jobs.start_orders(file_feed(streams, source), at.table, f"{at.checkpoint}-{number}", NOW, period="month"),  # noqa: B023
             1,
         )
-    months = [r.m for r in jobs.stored_orders(spark, at.table).select(F.col("create_period").alias("m")).distinct().collect()]
+    months = [r.m for r in read_all(spark, at.table, jobs.ORDER_TABLE).select(F.col("create_period").alias("m")).distinct().collect()]
     for _ in range(2):
         jobs.fold_orders(spark, at.table, months)
     return jobs.stored_orders(spark, at.table)

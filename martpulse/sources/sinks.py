@@ -139,10 +139,13 @@ def fold_days(
         for batch in _names(spark, f"{path}/{run}") if batch.startswith("batch_id=")
     ]
     done = sorted(places)[:-1]
-    folders = [
-        folder for run, batch in done for day in days
-        if _files(spark, folder := f"{path}/run={run}/batch_id={batch}/{partition}={day}")[0].exists(_files(spark, folder)[1])
-    ]
+    found = {
+        day: [(run, folder) for run, batch in done
+              if _files(spark, folder := f"{path}/run={run}/batch_id={batch}/{partition}={day}")[0].exists(_files(spark, folder)[1])]
+        for day in days
+    }
+    # A day that lies in one folder of run 0 is folded already.
+    folders = [folder for of in found.values() if [run for run, _ in of] != [0] for _, folder in of]
     if len(folders) < 2:
         return
     rows = spark.read.schema(f"{schema}, {WRITTEN}").option("basePath", path).parquet(*folders)

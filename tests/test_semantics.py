@@ -465,3 +465,18 @@ def test_upserted_documents_are_joined_once_and_shuffled_without_unused_columns(
     text = found._jdf.queryExecution().simpleString()
     assert "sku_name" not in text and "user_gender" not in text
     assert found.where("order_status = 'F'").isEmpty() and not found.where("order_status = 'DONE'").isEmpty()
+
+
+def test_folded_days_are_not_folded_again(spark, tmp_path):
+    from martpulse.sources import sinks
+
+    path = str(tmp_path / "folds")
+    rows = spark.createDataFrame([("a", 1, "d1"), ("b", 1, "d2")], "id STRING, n INT, day STRING")
+    for batch in range(3):
+        sinks.write_batch(rows.withColumn("n", F.lit(batch)), batch, path, "day")
+    for _ in range(3):
+        sinks.fold_days(spark, path, "id STRING, n INT, day STRING", ["day", "id"], "day", ["d1", "d2"], ["n"])
+    batches = {n for n in sinks._names(spark, f"{path}/run=0") if sinks._names(spark, f"{path}/run=0/{n}/day=d1")}
+    newest = sinks.read_latest(spark, path, "id STRING, n INT, day STRING", ["day", "id"], ["n"])
+    assert sorted((r.id, r.n) for r in newest.collect()) == [("a", 2), ("b", 2)] and batches <= {"batch_id=2", "batch_id=3"}
+
