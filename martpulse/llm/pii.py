@@ -6,17 +6,19 @@ Spans of the base forms are always kept; the model adds what those forms miss or
 each other, written-out addresses, forms with other separators.
 
 No labels of personal data exist, so the model learns from the data itself: candidates that pass the check of their
-kind and stand free count as positive. It is fitted on at most ``sample`` texts (those with the smallest hashes that
-hold three digits or an at sign, each text once); every text is scored.
+kind and stand free count as positive. It learns from every candidate of every text, each text once: features are cut at
+fixed edges, Spark counts the candidates of equal bins and label, and trees, scaling and thresholds come from sums over
+these counts, a distributed pass each. The driver holds the sums and the model, both of a fixed size.
 
 Defined cases: a null text is empty; repeated rows get equal results; a null doc_id is kept; other columns are ignored.
-Without any candidates in the sample only base spans are reported. No text is cut.
+Without candidates of both labels only base spans are reported. No text is cut.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,7 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martpulse.llm.boost import Trees, calibrate, sigmoid
+from martpulse.llm.boost import Trees, calibrate, platt, sigmoid, summed, to_bins
+from martpulse.llm.store import pieces, settle
 
 # The kinds and their base forms.
 KINDS = ("email", "ip", "card", "phone")
@@ -199,46 +202,98 @@ class Model:
         return sigmoid(self.slope * self.trees.margin(x) + self.offset)
 
 
-WIDTH = 21
+# Edges of the bins, per feature: every number up to 64, then four per doubling; for the largest part of an address tens, the
+# bound of 256 and powers of ten; shares in sixteenths. A vector of bins is a string of bytes, led by the label.
+FLAG = np.array([1.0])
+NUMBER = np.unique([*range(1, 65), *np.rint(64 * 2 ** (np.arange(1, 57) / 4))]).astype(float)
+PART = np.array([*range(1, 10), *range(10, 250, 10), 250, 255, 256, 300, 500, 1000, *(10.0**k for k in range(4, 10))])
+SHARE = np.arange(1, 17) / 16.0
+EDGES = [
+    np.array([1.0, 2.0, 3.0]), NUMBER, NUMBER, NUMBER, NUMBER, NUMBER, FLAG, PART, FLAG, FLAG, NUMBER, NUMBER, NUMBER, NUMBER,
+    FLAG, FLAG, FLAG, NUMBER, FLAG, SHARE, FLAG,
+]
+CUTS = (0.5, 0.6, 0.7, 0.8, 0.9)
 
 
-def fit(docs: DataFrame, sample: int = 4000, precision: float = 0.99) -> Model | None:
-    """Fits on the candidates of ``sample`` texts; every fourth candidate is held out for scaling and thresholds."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    texts = docs.select(text.alias("text")).where(F.col("text").rlike("[0-9]{3}|@")).withColumn("h", F.xxhash64("text"))
-    cut = texts.select("h").distinct().orderBy("h").limit(sample).agg(F.max("h")).first()[0]
-    if cut is None:
-        return None
-    some = texts.where(F.col("h") <= cut).groupBy("h").agg(F.min("text").alias("text")).select("text")
+def counted(docs: DataFrame) -> DataFrame:
+    """(vector, n, held): the candidates of all texts, each text once, by label and bins; every fourth of each is held out."""
+    texts = docs.select(F.coalesce("text", F.lit("")).alias("text")).select(F.xxhash64("text").alias("h"), "text")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = [[float(label(t, *c)), *features(t, *c)] for t in batch.column(0).to_pylist() for c in candidates(t)]
-            got = np.array(out, float).reshape(-1, WIDTH + 1)
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in got.T], [f"f{i}" for i in range(WIDTH + 1)])
-
-    schema = ", ".join(f"f{i} double" for i in range(WIDTH + 1))
-    got = some.mapInArrow(rows, schema).toPandas().to_numpy(float)
-    if not len(got) or got[:, 0].min() == got[:, 0].max():
+        for batch in pieces(batches):
+            found: Counter[tuple[int, bytes]] = Counter()
+            whose, held = [], []
+
+            def count() -> None:
+                got = np.array(held, float)
+                vectors = np.column_stack([got[:, 0], to_bins(got[:, 1:], EDGES)]).astype(np.uint8)
+                found.update(zip(whose, (v.tobytes() for v in vectors), strict=True))
+                whose.clear()
+                held.clear()
+
+            for h, text in dict(zip(*(c.to_pylist() for c in batch.columns), strict=True)).items():
+                for c in candidates(text):
+                    whose.append(h)
+                    held.append([label(text, *c), *features(text, *c)])
+                    if len(held) == 5000:
+                        count()
+            if held:
+                count()
+            arrays = [pa.array([h for h, _ in found], pa.int64()), pa.array([v for _, v in found], pa.binary()), pa.array(found.values(), pa.int64())]
+            yield pa.RecordBatch.from_arrays(arrays, ["h", "vector", "n"])
+
+    each = texts.mapInArrow(rows, "h long, vector binary, n long").distinct()  # copies of a text have equal rows
+    total = each.groupBy("vector").agg(F.sum("n").alias("n"))
+    return total.withColumn("held", F.floor((F.col("n") + F.pmod(F.xxhash64("vector"), F.lit(4))) / 4))
+
+
+def unpacked(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(labels, bins, numbers to learn from, numbers held out) of a block."""
+    rows = np.frombuffer(b"".join(batch.column(0).to_pylist()), np.uint8).reshape(-1, len(EDGES) + 1)
+    n, held = (c.to_numpy() for c in batch.columns[1:])
+    return rows[:, 0], np.asfortranarray(rows[:, 1:]), n - held, held
+
+
+def fit(docs: DataFrame, precision: float = 0.99, block: int = 100_000) -> Model | None:
+    """Fits on the candidates of all texts; ``block`` is the number of different vectors that a task works on in a pass."""
+    table = settle(counted(docs), "pii-candidates")
+    by_label = table.groupBy((F.substring("vector", 1, 1) == F.lit(b"\1")).alias("y"))
+    totals = {r.y: r for r in by_label.agg(F.count("*").alias("rows"), F.sum("n").alias("n"), F.sum("held").alias("held")).collect()}
+    if len(totals) < 2:
         return None
-    got = got[np.lexsort(got.T[::-1])]  # the order of tasks does not matter
-    x, y, held = got[:, 1:], got[:, 0], np.arange(len(got)) % 4 == 3
-    trees = Trees().fit(x[~held], y[~held])
-    margin = trees.margin(x[held])
-    slope, offset = calibrate(margin, y[held])
-    chance = sigmoid(slope * margin + offset)
-    cuts = []
-    for kind in range(len(KINDS)):
-        of = x[held][:, 0] == kind
-        p, t = chance[of], y[held][of]
-        best = 0.9
-        for cut in (0.5, 0.6, 0.7, 0.8, 0.9):
-            over = p >= cut
-            if over.any() and t[over].mean() >= precision:
-                best = cut
-                break
-        cuts.append(best)
-    return Model(trees, slope, offset, tuple(cuts))
+    n0, n1 = (totals[y].n - totals[y].held for y in (False, True))
+    vectors = table.repartition(-(-sum(r.rows for r in totals.values()) // block)).persist()
+    trees = Trees(edges=EDGES)
+
+    def histograms(feature: np.ndarray, cut: np.ndarray, level: int) -> np.ndarray:
+        def part(batch: pa.RecordBatch) -> np.ndarray:
+            y, b, n, _ = unpacked(batch)
+            return trees.histogram(b, n, n * y, feature, cut, level)
+
+        return summed(vectors, part, trees.slots(level))
+
+    trees.learn(n1 / max(1, n0 + n1), histograms)
+    targets = 1 / (totals[False].held + 2), (totals[True].held + 1) / (totals[True].held + 2)
+
+    def steps(a: float, b: float) -> np.ndarray:
+        def part(batch: pa.RecordBatch) -> np.ndarray:
+            y, bins, _, n = unpacked(batch)
+            return platt(trees.total(bins), y, n, targets, a, b)
+
+        return summed(vectors, part, 10)
+
+    slope, offset = calibrate(steps)
+
+    def over(batch: pa.RecordBatch) -> np.ndarray:
+        y, b, _, n = unpacked(batch)
+        chance = sigmoid(slope * trees.total(b) + offset)
+        ones = [[n[of].sum(), (n * y)[of].sum()] for k in range(len(KINDS)) for c in CUTS for of in [(b[:, 0] == k) & (chance >= c)]]
+        return np.array(ones, np.int64).ravel()
+
+    passed = summed(vectors, over, len(KINDS) * len(CUTS) * 2).reshape(len(KINDS), len(CUTS), 2)
+    vectors.unpersist()
+    thresholds = tuple(next((c for c, (n, right) in zip(CUTS, of, strict=True) if n and right >= precision * n), 0.9) for of in passed.tolist())
+    return Model(trees, slope, offset, thresholds)
 
 
 def select(text: str, model: Model | None, base: list[list[tuple[int, int]]]) -> list[tuple[int, int, int]]:

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from martpulse.llm import pii, secrets
-from martpulse.llm.boost import Trees, sigmoid
+from martpulse.llm.boost import Trees, calibrate, platt, sigmoid, to_bins
 
 
 def digits(s):
@@ -95,6 +95,56 @@ def test_plain_phone_numbers(spark, folder):
     assert [pii.label(t, 3, 5, len(t)) for t in ("call 2024-01-15 10", "call 192.168.100.200", "call 743-555-3824")] == [0, 0, 1]
 
 
+def parts(model):
+    trees = [[a.tolist() for a in t] for t in model.trees.trees]
+    return model.trees.start, trees, model.slope, model.offset, model.thresholds
+
+
+@pytest.fixture(scope="module")
+def called(spark):
+    """Texts with candidates of both labels, and the model fitted on them alone."""
+    texts = []
+    for i in range(240):
+        a, b, c = 200 + i * 7 % 700, 100 + i * 13 % 800, 1000 + i * 37 % 9000
+        texts.append([f"tel {a}-{b}-{c} ok", f"order no {a}-{b}-{c} was sent", f"host 10.{i % 99}.{i % 88}.{i % 77} up", f"x{i % 50}.{i}.{i % 300}.4 is a version"][i % 4])
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return table, parts(pii.fit(table))
+
+
+def test_the_model_learns_from_every_text(spark, called):
+    table, alone = called
+    others = spark.range(1000, 31_000).selectExpr("id doc_id", "concat('no 123, page ', id) text")  # without candidates
+    assert parts(pii.fit(table.unionByName(others))) == alone
+
+
+def test_the_model_does_not_depend_on_layout_or_copies(called):
+    table, alone = called
+    twice = table.unionByName(table).unionByName(table.limit(20)).repartition(7)
+    assert parts(pii.fit(twice, block=30)) == alone
+
+
+def test_the_counts_hold_every_candidate(spark, called):
+    table, _ = called
+    rows = pii.counted(table.unionByName(table)).collect()
+    want = [pii.label(t, *c) for (t,) in table.select("text").distinct().collect() for c in pii.candidates(t)]
+    assert sum(r.n for r in rows) == len(want) and sum(r.n for r in rows if r.vector[0]) == sum(want)
+    assert 0.15 < sum(r.held for r in rows) / len(want) < 0.35 and all(0 <= r.held <= r.n for r in rows)
+    assert pii.EDGES[0].tolist() == [1, 2, 3] and {r.vector[1] for r in rows} >= {1, 3}  # kinds, of texts without three digits in a row too
+
+
+@pytest.mark.parametrize("far", [0.5, 6, 20])
+def test_scaling_settles_on_labels_that_are_kept_apart(far):
+    margin, y, n = np.array([-far, far]), np.array([0, 1]), np.array([300, 700])
+    slope, offset = calibrate(lambda a, b: platt(margin, y, n, (1 / 302, 701 / 702), a, b))
+    assert np.allclose(sigmoid(slope * margin + offset), [1 / 302, 701 / 702], atol=1e-4)
+
+
+def test_bins_keep_small_numbers_apart():
+    x = np.tile(np.arange(300.0)[:, None], (1, len(pii.EDGES)))
+    b = to_bins(x, pii.EDGES)
+    assert b.max() < 256 and len(np.unique(b[:65, 1])) == 65 and b[255, 7] < b[256, 7]
+
+
 def test_pii_null_ids_and_no_rows(spark, odd, none):
     assert pii.scan(odd, None).count() == odd.count()
     assert pii.fit(none) is None and pii.scan(none, None).count() == 0
