@@ -72,7 +72,7 @@ def valid(kind: int, s: str) -> bool:
         return "." in s or "dot" in s.lower()
     if kind == 1:
         parts = s.split(".")
-        return len(parts) == 4 and all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in parts)
+        return len(parts) == 4 and all(p.isdecimal() and len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in parts)
     digits = only_digits(s)
     if kind == 2:
         return 13 <= len(digits) <= 19 and luhn(digits)
