@@ -11,14 +11,16 @@ segments, so that few segments can differ:
 * one deletion: with more than H / 2 segments, some segment differs in at most one token; keys are the segment and
   each of it with one token left out.
 
-The mode of a band is allocated by cost: keys to write, against chance meetings expected from the number of sets in the
-band. Each set writes keys for its own band and, as the larger side, for the band below.
+The mode of a band is allocated by cost: keys to write, against the meetings of its different sets under either mode. These are
+measured over all sets, by signed counts of their keys. Each set writes keys for its own band and, as the larger side, for the band
+below.
 
 Equal sets need no join: they are one class, named by its smallest doc_id. Of the sets that share a key, each is
 first verified against the smallest doc_id of the key. The components found so far then settle most groups of copies: only pairs across
 components are formed, and all of them, so no link between components is lost, while links within one change nothing.
-A parity sketch of 512 bits (each differing token flips one bit) drops pairs that cannot link before their sets are
-compared; comparison is exact.
+A parity sketch of 512 bits (each differing token flips one bit) drops pairs that cannot link, one of at least as many bits as
+tokens (the outline) those of larger sets, before their sets are compared; comparison is exact, and only the sets of pairs left are
+built.
 
 Defined cases: null or empty texts have no set and link with nothing; with fewer words than n the whole sequence is
 the one token; rows sharing a doc_id are one document; a null doc_id gets n_shingles and no component.
@@ -42,6 +44,7 @@ from martpulse.llm.store import pieces, settle
 ODD = np.uint64(0x9E3779B97F4A7C15)  # the usual odd multiplier
 SHIFT = np.uint64(31)
 SKETCH = 8  # longs
+TALLY = 32  # signed counts per mode
 
 
 class WordHashes(dict):
@@ -92,33 +95,46 @@ class Band:
 
 
 def band_of(size: int, percent: int) -> int:
+    return _band_at(size, percent)[0]
+
+
+def _band_at(size: int, percent: int) -> tuple[int, int]:
+    """The number of the band of a size, and the smallest size in it."""
     low, number = 1, 0
     while (high := low * 100 // percent) < size:
         low, number = high + 1, number + 1
-    return number
+    return number, low
+
+
+def modes(number: int, low: int, percent: int) -> tuple[Band, Band]:
+    """A band with exact segments, and with one deletion."""
+    high = low * 100 // percent
+    apart = most_apart(high + high * 100 // percent, percent)
+    fill = low / (apart + 1)
+    spare = math.ceil((apart + 1) * 1.2 * math.exp(-fill) + 4 * math.sqrt((apart + 1) * math.exp(-fill))) if apart else 0
+    return Band(number, low, high, apart, apart + 1 + spare, spare, False), Band(number, low, high, apart, (apart + 2) // 2, 0, True)
 
 
-def bands(counts: dict[int, int], percent: int) -> dict[int, Band]:
-    """Bands for sizes with their numbers of sets, and the mode of each by expected cost."""
+def bands(counts: dict[int, int], percent: int, met: dict[int, tuple[float, float]] | None = None) -> dict[int, Band]:
+    """Bands for sizes with their numbers of sets, and the mode of each by expected cost.
+
+    ``met`` has the pairs of sets that share keys under either mode, by band; without it, one in a hundred lone tokens counts as equal.
+    """
     out, low, number = {}, 1, 0
     largest = max(counts, default=0)
     while low <= largest:
-        high = low * 100 // percent
-        apart = most_apart(high + high * 100 // percent, percent)
-        held = sum(c for s, c in counts.items() if low <= s <= high)
-        fill = low / (apart + 1)
-        spare = math.ceil((apart + 1) * 1.2 * math.exp(-fill) + 4 * math.sqrt((apart + 1) * math.exp(-fill))) if apart else 0
-        pairs = held * held / 2
-        lone = fill * math.exp(-fill)  # chance that a segment holds a single token
-        exact = held * (apart + 1) + 0.01 * pairs * (apart + 1) * lone**2
-        halves = (apart + 2) // 2
-        wide = low / halves
-        deletion = held * (halves + high) + 0.01 * pairs * (halves + high) * (wide * math.exp(-wide)) ** 2
-        if deletion < exact:
-            out[number] = Band(number, low, high, apart, halves, 0, True)
+        exact, deletion = modes(number, low, percent)
+        held = sum(c for s, c in counts.items() if low <= s <= exact.high)
+        written = held * (exact.apart + 1), held * (deletion.segments + deletion.high)
+        if met is None:
+            meetings = tuple(
+                0.01 * held * held / 2 * n * (fill * math.exp(-fill)) ** 2  # chance that a segment holds a single token
+                for n, fill in ((exact.apart + 1, low / (exact.apart + 1)), (deletion.segments + deletion.high, low / deletion.segments))
+            )
         else:
-            out[number] = Band(number, low, high, apart, apart + 1 + spare, spare, False)
-        low, number = high + 1, number + 1
+            meetings = met.get(number, (0, 0))
+        out[number] = deletion if written[1] + meetings[1] < written[0] + meetings[0] else exact
+        low, number = exact.high + 1, number + 1
     return out
 
 
@@ -145,36 +161,92 @@ def _sketch(tokens: np.ndarray) -> np.ndarray:
     return np.packbits(bits.astype(np.uint8)).view(np.int64)
 
 
-def describe(docs: DataFrame, n: int) -> DataFrame:
-    """(doc_id, size, h1, h2, k0..k7): size, 128-bit hash and sketch of every document's set."""
+def _outline(tokens: np.ndarray) -> bytes | None:
+    """Parity of the number of tokens per bit, with a power of two of bits, as many as tokens at least; none where the sketch has that."""
+    bits = 1 << (len(tokens) - 1).bit_length()
+    if bits <= 64 * SKETCH:
+        return None
+    return np.packbits((np.bincount((mix(tokens) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1).astype(np.uint8)).tobytes()
+
+
+def _flipped(x: bytes, y: bytes) -> int:
+    """Bits in which two outlines differ; the longer one is folded to the length of the other."""
+    p, q = sorted((np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)), key=len)
+    while len(p) < len(q):
+        q = q[: len(q) // 2] ^ q[len(q) // 2 :]
+    return int(np.bitwise_count(p ^ q).sum())
+
+
+def _tally(tokens: np.ndarray, percent: int) -> bytes:
+    """For either mode of the set's own band: its number of keys, and their signed counts.
+
+    Summed over sets, the squares of the signed counts add up to those of the frequencies of keys, within a quarter or so.
+    """
+    out = np.zeros((2, 1 + TALLY), np.int32)
+    for row, band in zip(out, modes(*_band_at(len(tokens), percent), percent), strict=True):
+        found = mix(keys(tokens, band).view(np.uint64))
+        signs = 1.0 - 2.0 * (found & np.uint64(1))
+        row[0] = len(found)
+        row[1:] = np.bincount((found >> np.uint64(59)).astype(np.int64), weights=signs, minlength=TALLY)
+    return out.tobytes()
+
+
+def meetings(distinct: DataFrame, percent: int) -> dict[int, tuple[float, float]]:
+    """By band, the pairs of its different sets that share a key, for either mode, counted once for every key they share."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in pieces(batches):
+            tallies = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.int32).reshape(batch.num_rows, -1)
+            own = np.array([band_of(s, percent) for s in batch.column(0).to_pylist()])
+            for number in set(own.tolist()):
+                sums[number] = sums.get(number, 0) + tallies[own == number].sum(axis=0, dtype=np.int64)
+        if sums:
+            band, place = np.repeat(list(sums), 2 + 2 * TALLY), np.tile(np.arange(2 + 2 * TALLY), len(sums))
+            yield pa.RecordBatch.from_arrays([pa.array(band), pa.array(place), pa.array(np.concatenate(list(sums.values())))], ["band", "place", "n"])
+
+    total = distinct.select("size", "tally").mapInArrow(rows, "band long, place long, n long").groupBy("band", "place").agg(F.sum("n").alias("n"))
+    sums: dict[int, list[int]] = {}
+    for r in total.toLocalIterator():  # 66 rows per band
+        sums.setdefault(r.band, [0] * (2 + 2 * TALLY))[r.place] = r.n
+    halves = {k: (v[: 1 + TALLY], v[1 + TALLY :]) for k, v in sums.items()}
+    return {k: tuple(max(0, sum(x * x for x in v[1:]) - v[0]) / 2 for v in both) for k, both in halves.items()}
+
+
+def describe(docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """(doc_id, size, h1, h2, k0..k7, tally, outline): size, 128-bit hash, sketch, tally and outline of every document's set."""
     names = ["size", "h1", "h2", *(f"k{i}" for i in range(SKETCH))]
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
             out = np.zeros((batch.num_rows, 3 + SKETCH), np.int64)
+            tallies, outlines = [None] * batch.num_rows, [None] * batch.num_rows
             for i, text in enumerate(batch.column(1).to_pylist()):
                 tokens = shingles(text, n)
                 if len(tokens):
                     h1, h2 = (np.add.reduce(mix(tokens + np.uint64(s))) for s in (1, 2))
                     out[i, :3] = len(tokens), h1.view(np.int64), h2.view(np.int64)
                     out[i, 3:] = _sketch(tokens)
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c) for c in out.T)], ["doc_id", *names])
+                    tallies[i], outlines[i] = _tally(tokens, percent), _outline(tokens)
+            more = [pa.array(x, pa.binary()) for x in (tallies, outlines)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c) for c in out.T), *more], ["doc_id", *names, "tally", "outline"])
 
-    schema = f"doc_id {kind}, " + ", ".join(f"{c} long" for c in names)
+    schema = f"doc_id {kind}, " + ", ".join(f"{c} long" for c in names) + ", tally binary, outline binary"
     return settle(docs.select("doc_id", "text").mapInArrow(rows, schema), "sets")
 
 
-def classes(described: DataFrame) -> DataFrame:
-    """``described`` with ``rep``, the smallest doc_id with an equal set."""
-    known = described.where("size > 0 and doc_id is not null")
+def classes(described: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``described`` with ``rep``, the smallest doc_id with an equal set; (size, tally) of every different set."""
+    known = described.where("size > 0 and doc_id is not null").drop("outline")
     reps = settle(
-        known.groupBy("size", "h1", "h2").agg(F.min("doc_id").alias("rep"))
-        .select(F.col("size").alias("s"), F.col("h1").alias("x"), F.col("h2").alias("y"), "rep"),
+        known.groupBy("size", "h1", "h2").agg(F.min("doc_id").alias("rep"), F.first("tally").alias("tally"))
+        .select(F.col("size").alias("s"), F.col("h1").alias("x"), F.col("h2").alias("y"), "rep", "tally"),
         "set-classes",
     )
     same = (F.col("size") == F.col("s")) & (F.col("h1") == F.col("x")) & (F.col("h2") == F.col("y"))
-    return settle(known.join(reps, same).drop("s", "x", "y"), "set-members")
+    members = settle(known.drop("tally").join(reps.drop("tally"), same).drop("s", "x", "y"), "set-members")
+    return members, reps.select(F.col("s").alias("size"), "tally")
 
 
 def shared_keys(docs: DataFrame, n: int, percent: int, plan: dict[int, Band]) -> DataFrame:
@@ -228,9 +300,28 @@ def may_link(percent: int) -> Column:
     return sizes & (flipped * (100 + percent) <= (100 - percent) * total)
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def outlined(pairs: DataFrame, described: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that may link by their outlines."""
+    kind = pairs.schema["a"].dataType.simpleString()
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches):
+            total, x, y = (c.to_pylist() for c in batch.columns[2:])
+            keep = [p is None or q is None or _flipped(p, q) * (100 + percent) <= (100 - percent) * t for t, p, q in zip(total, x, y, strict=True)]
+            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+
+    known = described.where("size > 0 and doc_id is not null")
+    left = known.select(F.col("doc_id").alias("a"), F.col("size").alias("s"), F.col("outline").alias("x"))
+    right = known.select(F.col("doc_id").alias("b"), F.col("size").alias("t"), F.col("outline").alias("y"))
+    met = pairs.join(left, "a").join(right, "b").select("a", "b", F.expr("s + t"), "x", "y")
+    return settle(met.mapInArrow(rows, f"a {kind}, b {kind}").distinct(), "set-pairs")
+
+
+def verified(pairs: DataFrame, docs: DataFrame, described: DataFrame, n: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets link."""
     kind = pairs.schema["a"].dataType.simpleString()
+    pairs = outlined(pairs, described, percent)
+    sets = _sets(docs, pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct(), n)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
@@ -269,11 +360,10 @@ def _across(shared: DataFrame, members: DataFrame, joined: DataFrame, percent: i
 
 def join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id) per row of ``docs``."""
-    described = describe(docs, n)
-    members = classes(described)
-    plan = bands({r.size: r["count"] for r in members.groupBy("size").count().toLocalIterator()}, percent)
+    described = describe(docs, n, percent)
+    members, distinct = classes(described)
+    plan = bands({r.size: r["count"] for r in members.groupBy("size").count().toLocalIterator()}, percent, meetings(distinct, percent))
     shared = shared_keys(docs, n, percent, plan)
-    sets = _sets(docs, shared.select("doc_id").distinct(), n)
 
     sides = members.select("doc_id", "rep", "size", *[f"k{i}" for i in range(SKETCH)])
     stars = settle(shared.where("doc_id <> first").select("doc_id", "first").distinct(), "set-stars")
@@ -282,9 +372,9 @@ def join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
         .where((F.col("a.rep") != F.col("b.rep")) & may_link(percent))
         .select(F.least("a.rep", "b.rep").alias("a"), F.greatest("a.rep", "b.rep").alias("b")).distinct()
     )
-    links = verified(first, sets, percent)
+    links = verified(first, docs, described, n, percent)
     across = _across(shared, members, components(links), percent)
-    found = components(links.unionByName(verified(across, sets, percent)))
+    found = components(links.unionByName(verified(across, docs, described, n, percent)))
 
     # a document with rows of different sets joins their classes
     ties = members.select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).where("a <> b")

@@ -9,15 +9,24 @@ from pyspark.sql import DataFrame
 
 from martpulse.session import work_dir
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def settle(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet below the shared checkpoint folder and read it back.
 
-    This cuts the lineage: later reads come from committed files, so a lost executor costs only its running tasks.
+    This cuts the lineage: later reads come from committed files, so a lost executor costs only its running tasks. Its shuffle files
+    go when it is written, and not when the driver happens to collect its garbage.
     """
-    path = work_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = work_dir(spark, name)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before) if before is not None else spark.conf.unset(CLEANUP)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def pieces(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:

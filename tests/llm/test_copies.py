@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from martpulse.llm import components, jaccard, lines, mixing
+from martpulse.llm import components, jaccard, lines, mixing, store
 
 
 def apart(a, b):
@@ -217,6 +217,69 @@ def test_modes_are_allocated_by_cost():
     assert not few.deletion and many.deletion and many.segments < few.segments
 
 
+def test_modes_follow_the_meetings_measured(spark):
+    """Sets whose tokens differ write one key per segment, however many there are; those that share some take deletions."""
+    rng = np.random.default_rng(0)
+
+    def met(sets):
+        rows = [(len(s), jaccard._tally(s, 80)) for s in sets]
+        return jaccard.meetings(spark.createDataFrame(rows, "size long, tally binary").repartition(3), 80)
+
+    apart = [rng.integers(0, 2**63, 400, dtype=np.uint64) for _ in range(2000)]
+    number = jaccard.band_of(400, 80)
+    assert jaccard.bands({400: 10**6}, 80)[number].deletion  # by the guess
+    exact, _ = met(apart)[number]
+    assert exact < 0.5 * 2000 * len(jaccard.keys(apart[0], jaccard.bands({400: 1}, 80)[number]))
+    assert not jaccard.bands({400: 2000}, 80, met(apart))[number].deletion
+
+    few = rng.integers(0, 2**63, 1200, dtype=np.uint64)  # of which every set has a third
+    shared = [np.sort(rng.permutation(few)[:400]) for _ in range(2000)]
+    plan = jaccard.modes(*jaccard._band_at(400, 80), 80)
+    for measured, band in zip(met(shared)[number], plan, strict=True):
+        times = np.unique(np.concatenate([jaccard.keys(s, band) for s in shared]), return_counts=True)[1]
+        pairs = (times * (times - 1) // 2).sum()
+        assert abs(measured - pairs) < 0.8 * (pairs + times.sum())
+    assert met([]) == {}
+
+
+def test_sets_are_built_for_pairs_that_may_link_only(spark, monkeypatch):
+    """Long texts that share a segment by a common line, but little else, are dropped by their outlines."""
+    rng = random.Random(3)
+    line = " ".join(f"common{i}" for i in range(400))
+    texts = [line + " " + " ".join(f"w{rng.randrange(10**6)}" for _ in range(1600)) for _ in range(30)]
+    docs = [(i, t) for i, t in enumerate(texts)] + [(100, texts[0] + " end")]
+    built, sets = [], jaccard._sets
+    monkeypatch.setattr(jaccard, "_sets", lambda *a: built.append(out := sets(*a)) or out)
+    rows = jaccard.join(spark.createDataFrame(docs, "doc_id long, text string"), 5, 80).collect()
+    assert {r.doc_id: r.component_id for r in rows} == {i: i for i in range(30)} | {100: 0}
+    assert {r.doc_id for df in built for r in df.collect()} == {0, 100}
+
+
+@pytest.mark.parametrize("percent", [50, 80, 95])
+def test_outlines_drop_no_link(percent):
+    rng = np.random.default_rng(percent)
+    for _ in range(200):
+        size = int(rng.integers(513, 5000))
+        less = int(rng.integers(0, jaccard.most_apart(2 * size, percent) + 1))
+        a = np.unique(rng.integers(0, 2**63, size + less, dtype=np.uint64))
+        x, y = a[: len(a) - less // 2], a[less - less // 2 :]
+        both = len(np.intersect1d(x, y))
+        p, q = jaccard._outline(x), jaccard._outline(y)
+        assert p is None or q is None or jaccard._flipped(p, q) <= len(x) + len(y) - 2 * both
+
+
+def test_shuffle_files_go_when_a_table_is_settled(spark):
+    import glob
+
+    def files():
+        local = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+        return {f for d in local for f in glob.glob(f"{d}/*/shuffle_*")}
+
+    before = files()
+    out = store.settle(spark.range(100_000).groupBy((F.col("id") % 1000).alias("k")).count().repartition(3), "cleanup")
+    assert not files() - before and out.count() == 1000
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(0, 60)] + [(100, 200), (300, 200), (7, 7)] + [(500, 500 + i) for i in range(1, 300)]
     links = spark.createDataFrame(chain, "a long, b long")
